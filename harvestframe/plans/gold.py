@@ -67,3 +67,14 @@ def build_gold(silver: DataFrame, cfg: Config = Config()) -> DataFrame:
     df = cross.add(df, f)
     df = target.add(df, f)
     return df.select(*gold_columns(cfg))
+
+
+def market_features(cfg: Config = Config()) -> list[str]:
+    """Features that depend only on the series' own bars and the calendar (no joined legs).
+
+    The weather and cross-asset families are NULL wherever the other source has
+    gaps; a model over complete rows of all 80 features can be empty on such data,
+    so the registered model queries use this set (``feature_cols`` is a parameter)."""
+    f = cfg.features
+    return (["returns_1d", "log_return_1d", "high_low_pct", "day_of_week", "month"] + price.names(f)
+            + technical.names(f) + volatility.names(f) + calendar.names(f))

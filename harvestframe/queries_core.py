@@ -33,3 +33,67 @@ def f32_silver_build(spark, sf):
 def f31_gold_build(spark, sf):
     """all 80 features + target over every symbol."""
     return gold(spark, sf)
+
+
+# ---------------------------------------------------------------- views / sources read
+@register("s1_read_weather", S.views_sql(), "SELECT * FROM weather_long",
+          kinds_for(["date", "region", "datatype", "value"], dates=(), strs={"date", "region", "datatype"}))
+def s1_read_weather(spark, sf):
+    """Long-format daily observations (date as landed string)."""
+    return T.weather_long(spark, sf)
+
+
+@register("s2_read_futures", S.views_sql(), "SELECT * FROM bars",
+          kinds_for(["symbol", "date", "open", "high", "low", "close", "volume"]))
+def s2_read_futures(spark, sf):
+    """Daily OHLCV per symbol."""
+    return T.bars(spark, sf)
+
+
+# ---------------------------------------------------------------- F1-F30 projections of gold
+FEATURE_QUERIES = {
+    "f1_return": [f"return_{w}d" for w in CFG.features.rolling_windows],
+    "f2_sma": [f"sma_{w}" for w in CFG.features.rolling_windows],
+    "f3_ema": [f"ema_{w}" for w in CFG.features.rolling_windows],
+    "f4_price_to_sma": [f"price_to_sma_{w}" for w in CFG.features.rolling_windows],
+    "f5_high_low_range": ["high_low_range"],
+    "f6_overnight_gap": ["overnight_gap"],
+    "f7_volume_ratio": ["volume_ratio_20"],
+    "f8_rsi": ["rsi"],
+    "f9_macd": ["macd", "macd_signal_line", "macd_hist"],
+    "f10_bollinger": ["bb_upper", "bb_lower", "bb_pct_b", "bb_bandwidth"],
+    "f11_atr": ["atr", "atr_pct"],
+    "f12_obv": ["obv", "obv_sma20", "obv_ratio"],
+    "f13_realized_vol": [f"rvol_{w}d" for w in CFG.features.rvol_windows],
+    "f14_vol_regime": ["vol_regime"],
+    "f15_parkinson_vol": ["parkinson_vol"],
+    "f16_returns": ["returns_1d", "log_return_1d"],
+    "f17_gdd_daily": ["gdd_daily"],
+    "f18_gdd_cumulative": ["gdd_cumulative"],
+    "f19_heat_stress": ["heat_stress_flag"] + [f"heat_stress_{w}d" for w in CFG.features.heat_windows],
+    "f20_prcp_zscore": ["prcp_zscore"],
+    "f21_prcp_sum": [f"prcp_sum_{w}d" for w in CFG.features.prcp_sum_windows],
+    "f22_tmax_trend": ["tmax_7d_avg", "tmax_anomaly_30d"],
+    "f23_cyclical": ["month_sin", "month_cos", "doy_sin", "doy_cos", "week_sin", "week_cos"],
+    "f24_crop_flags": ["is_planting", "is_pollination", "is_harvest", "is_growing_season"],
+    "f25_wasde": ["days_to_wasde", "wasde_week", "is_monday"],
+    "f26_calendar": ["day_of_week", "month"],
+    "f27_wheat_spread": ["corn_wheat_ratio", "corn_wheat_spread"],
+    "f28_cross_corr": ["corn_crude_corr_20d", "corn_usd_corr_20d"],
+    "f29_usd_return": ["usd_return_5d"],
+    "f30_target": ["target", "target_horizon"],
+}
+
+
+def _feature_query(name, cols):
+    sel = ["symbol", "date", *cols]
+
+    @register(name, S.gold_sql(), f"SELECT {', '.join(sel)} FROM gold", kinds_for(sel))
+    def q(spark, sf):
+        return gold(spark, sf).select(*sel)
+    q.__doc__ = f"{name.split('_')[0].upper()}: {', '.join(cols)} for every symbol and day."
+    return q
+
+
+for _n, _c in FEATURE_QUERIES.items():
+    _feature_query(_n, _c)
