@@ -21,7 +21,7 @@ KEY = "symbol"
 
 def _row(check: str, passed, value, threshold, hard: bool):
     return F.struct(F.lit(check).alias("check"), passed.alias("passed"),
-                    value.cast("double").alias("value"), F.lit(threshold).cast("double").alias("threshold"),
+                    value.cast("double").alias("value"), threshold.cast("double").alias("threshold"),
                     F.lit(hard).alias("hard"))
 
 
@@ -96,28 +96,26 @@ def quality_report(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = C
     drift = psi.groupBy(*keys).agg(F.count_if(F.col("psi") > m.psi_critical).alias("n_drift"))
     s = s.join(drift, keys, "left").fillna(0, ["n_drift"])
     allowed_null = F.lit(3.0 * h) / F.col("n")
-    rows = F.array(
-        _row("row_count", F.col("n") >= mr, F.col("n"), mr, True),
-        _row("target_nulls", F.col("target_null") <= allowed_null, F.col("target_null"), None, True),
-        _row("leakage_check", F.coalesce(F.abs(F.col("leak_corr")) < m.leakage_max_corr, F.lit(False)),
-             F.col("leak_corr"), m.leakage_max_corr, True),
-        _row("date_continuity", F.coalesce(F.col("max_gap") <= m.max_gap_days, F.lit(True)), F.col("max_gap"),
-             m.max_gap_days, False),
-        _row("feature_nulls", n_high_null == 0, n_high_null, 0, False),
-        _row("distribution_drift", F.col("n_drift") == 0, F.col("n_drift"), m.psi_critical, False),
-        _row("lookahead_check", F.coalesce(max_la < m.lookahead_max_corr, F.lit(True)), max_la,
-             m.lookahead_max_corr, False),
-    )
-    checks = s.select(*keys, F.explode(rows).alias("x")).select(*keys, "x.*")
-    # the target threshold is per-series: fill it in
-    checks = checks.join(s.select(*keys, (F.lit(3.0 * h) / F.col("n")).alias("__thr")), keys) \
-        .withColumn("threshold", F.coalesce("threshold", "__thr")).drop("__thr")
-    verdict = (checks.groupBy(*keys)
-                     .agg(F.bool_and(F.when(F.col("hard"), F.col("passed"))).alias("passed"))
-                     .select(*keys, F.lit("overall").alias("check"), F.coalesce("passed", F.lit(False)).alias("passed"),
-                             F.lit(None).cast("double").alias("value"), F.lit(None).cast("double").alias("threshold"),
-                             F.lit(True).alias("hard")))
-    return checks.unionByName(verdict)
+    checks = [
+        ("row_count", F.col("n") >= mr, F.col("n"), F.lit(float(mr)), True),
+        ("target_nulls", F.col("target_null") <= allowed_null, F.col("target_null"), allowed_null, True),
+        ("leakage_check", F.coalesce(F.abs(F.col("leak_corr")) < m.leakage_max_corr, F.lit(False)),
+         F.col("leak_corr"), F.lit(m.leakage_max_corr), True),
+        ("date_continuity", F.coalesce(F.col("max_gap") <= m.max_gap_days, F.lit(True)), F.col("max_gap"),
+         F.lit(float(m.max_gap_days)), False),
+        ("feature_nulls", n_high_null == 0, n_high_null, F.lit(0.0), False),
+        ("distribution_drift", F.col("n_drift") == 0, F.col("n_drift"), F.lit(m.psi_critical), False),
+        ("lookahead_check", F.coalesce(max_la < m.lookahead_max_corr, F.lit(True)), max_la,
+         F.lit(m.lookahead_max_corr), False),
+    ]
+    verdict = None
+    for _, passed, _, _, hard in checks:
+        if hard:
+            verdict = passed if verdict is None else (verdict & passed)
+    rows = [_row(c, p, v, t, hd) for c, p, v, t, hd in checks]
+    rows.append(_row("overall", F.coalesce(verdict, F.lit(False)), F.lit(None), F.lit(None), True))
+    # One aggregate row per series -> one exploded row per check; nothing is recomputed.
+    return s.select(*keys, F.explode(F.array(*rows)).alias("x")).select(*keys, "x.*")
 
 
 def empty_report(gold: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:

@@ -161,14 +161,22 @@ def l3_pipeline_metrics(spark, sf):
 
 
 # ---------------------------------------------------------------- Spark ML (rows-only checks)
+_MODELS: dict = {}
+
+
 def _fit(spark, sf):
+    """Fit once per (application, data dir); M5, M6 and C1 share the model."""
     from harvestframe.plans.train import fit
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _MODELS:
+        return _MODELS[key]
     sp = split(spark, sf)
     trn = sp.where(F.col("role") == "train")
     stats = M.robust_stats(trn, MF)
     scaled = M.robust_apply(sp, stats, MF)
     model = fit(scaled.where(F.col("role") == "train"), MF, CFG)
-    return model, scaled, stats
+    _MODELS[key] = (model, scaled, stats)
+    return _MODELS[key]
 
 
 @register("m5_gbt_train")

@@ -199,8 +199,16 @@ QCOLS = ["symbol", "check", "passed", "value", "threshold", "hard"]
 QKINDS = kinds_for(QCOLS, bools=("passed", "hard"))
 
 
+def gold_table(spark, sf):
+    """Gold materialised once (reliable checkpoint in the shared folder), as the pipeline
+    reads its written gold table: the quality plan then scans it twice, not rebuilds it."""
+    from harvestframe.session import shared_dir
+    shared_dir(spark)
+    return gold(spark, sf).checkpoint(eager=True)
+
+
 def report(spark, sf):
-    g = gold(spark, sf)
+    g = gold_table(spark, sf)
     return quality_report(g, feature_columns(g), CFG)
 
 
