@@ -40,6 +40,11 @@ def alpha_from_com(com: float) -> float:
     return 1.0 / (com + 1.0)
 
 
+def ema_memory(alpha: float) -> int:
+    """Rows after which a start value weighs less than 1e-18 (the scan's block size)."""
+    return max(1, math.ceil(-TRUNC_LOG / -math.log(1.0 - alpha))) if alpha < 1.0 else 1
+
+
 @dataclass(frozen=True)
 class EmaSpec:
     out: str

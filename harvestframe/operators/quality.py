@@ -82,16 +82,23 @@ def quality_report(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = C
     mr = min_rows(cfg)
     g = gold.withColumns({"__gap": day_gap("date", keys),
                           "__next_lr": F.lead("log_return_1d").over(Window.partitionBy(*keys).orderBy("date"))})
-    aggs = [F.count(F.lit(1)).alias("n"),
-            F.avg(F.col("target").isNull().cast("double")).alias("target_null"),
-            corr("close", "target").alias("leak_corr"),
-            F.max("__gap").alias("max_gap")]
-    aggs += [F.avg(F.col(c).isNull().cast("double")).alias(f"__nr_{c}") for c in feature_cols]
-    aggs += [F.abs(corr(c, "__next_lr")).alias(f"__la_{c}") for c in feature_cols]
-    s = g.groupBy(*keys).agg(*aggs)
-    n_high_null = sum((F.col(f"__nr_{c}") > m.max_feature_null_rate).cast("int") for c in feature_cols)
-    la_cols = [F.col(f"__la_{c}") for c in feature_cols]
-    max_la = F.greatest(*la_cols) if len(la_cols) > 1 else la_cols[0]
+    s = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                             F.avg(F.col("target").isNull().cast("double")).alias("target_null"),
+                             corr("close", "target").alias("leak_corr"),
+                             F.max("__gap").alias("max_gap"))
+    # Per-feature checks in long format: the plan does not grow with the number of
+    # features, and the (series, feature) groups aggregate partially before the shuffle.
+    long = (g.select(*keys, "__next_lr", *[F.col(c).cast("double").alias(c) for c in feature_cols])
+             .unpivot([*keys, "__next_lr"], list(feature_cols), "feature", "value"))
+    per_feature = long.groupBy(*keys, "feature").agg(
+        F.avg(F.col("value").isNull().cast("double")).alias("null_rate"),
+        F.abs(corr("value", "__next_lr")).alias("la"))
+    per_series = per_feature.groupBy(*keys).agg(
+        F.count_if(F.col("null_rate") > m.max_feature_null_rate).alias("n_high_null"),
+        F.max("la").alias("max_la"))
+    s = s.join(per_series, keys, "left")
+    n_high_null = F.coalesce(F.col("n_high_null"), F.lit(0))
+    max_la = F.col("max_la")
     psi = psi_long(gold, [c for c in m.psi_columns if c in gold.columns], m.psi_bins, m.psi_min_values, keys)
     drift = psi.groupBy(*keys).agg(F.count_if(F.col("psi") > m.psi_critical).alias("n_drift"))
     s = s.join(drift, keys, "left").fillna(0, ["n_drift"])

@@ -14,7 +14,8 @@ from pyspark.sql.types import NumericType
 from harvestframe.config import Config
 from harvestframe.functions import calendar, cross, price, technical, target, volatility, weather
 from harvestframe.functions.numeric import clip_lower, clip_upper
-from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, with_ema
+from harvestframe.operators.chunking import CHUNK, HOME, POS, running_sum_with_carry, with_halo, with_positions
+from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_memory, with_ema
 from harvestframe.operators.windows import lag, pad
 
 SILVER_PASSTHROUGH = ["returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
@@ -41,32 +42,74 @@ def feature_columns(df: DataFrame) -> list[str]:
             if f.name not in EXCLUDE and isinstance(f.dataType, NumericType)]
 
 
-def build_gold(silver: DataFrame, cfg: Config = Config()) -> DataFrame:
+def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
+    """Stages (a)-(h) on a frame whose series windows are ``partitionBy(*keys)``."""
     f = cfg.features
-    df = silver.withColumns({
-        "__close_pad": pad("close"),
-        "__close_lag1": lag("close"),
+    df = df.withColumns({
+        "__close_pad": pad("close", keys=keys),
+        "__close_lag1": lag("close", keys=keys),
     })
     df = df.withColumn("__delta", F.col("close") - F.col("__close_lag1"))
     df = df.withColumns({
         "__gain": clip_lower("__delta", 0.0),
         "__loss": -clip_upper("__delta", 0.0),
     })
-    spans = sorted(set(f.rolling_windows) | {f.macd_fast, f.macd_slow})
-    specs = [EmaSpec(f"__ema_close_{s}", "close", alpha_from_span(s)) for s in spans]
-    specs += [EmaSpec("__rsi_up", "__gain", alpha_from_com(f.rsi_period - 1)),
-              EmaSpec("__rsi_dn", "__loss", alpha_from_com(f.rsi_period - 1))]
-    df = with_ema(df, specs)                                            # (b)
+    df = with_ema(df, ema_specs(cfg), keys=keys)                                  # (b)
     df = technical.add_macd(df, f)
-    df = with_ema(df, [EmaSpec("macd_signal_line", "macd", alpha_from_span(f.macd_signal))])  # (c)
-    df = price.add(df, f)
-    df = technical.add(df, f)
-    df = volatility.add(df, f)
-    df = weather.add(df, f)
+    df = with_ema(df, [EmaSpec("macd_signal_line", "macd", alpha_from_span(f.macd_signal))], keys=keys)  # (c)
+    df = price.add(df, f, keys)
+    df = technical.add(df, f, keys)
+    df = volatility.add(df, f, keys)
+    df = weather.add(df, f, keys)
     df = calendar.add(df, f)
-    df = cross.add(df, f)
-    df = target.add(df, f)
-    return df.select(*gold_columns(cfg))
+    df = cross.add(df, f, keys)
+    return target.add(df, f, keys)
+
+
+def ema_specs(cfg: Config = Config()) -> list[EmaSpec]:
+    f = cfg.features
+    spans = sorted(set(f.rolling_windows) | {f.macd_fast, f.macd_slow})
+    specs = [EmaSpec(f"__ema_close_{s}", "close", alpha_from_span(s)) for s in spans]
+    return specs + [EmaSpec("__rsi_up", "__gain", alpha_from_com(f.rsi_period - 1)),
+                    EmaSpec("__rsi_dn", "__loss", alpha_from_com(f.rsi_period - 1))]
+
+
+def lookback_rows(cfg: Config = Config()) -> int:
+    """Rows of history a chunk needs so every feature equals the unchunked value:
+    EMA memory to 1e-18 (close, then the signal line on MACD) or the longest rolling chain."""
+    f = cfg.features
+    mem = max(ema_memory(s.alpha) for s in ema_specs(cfg))
+    ema_chain = 1 + mem + ema_memory(alpha_from_span(f.macd_signal))
+    rolling_chain = max(f.long_window, 1 + 20 + 60, 1 + f.corr_window, max(f.rolling_windows) + 1)
+    return max(ema_chain, rolling_chain)
+
+
+def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None = None,
+               bucket: str = "year") -> DataFrame:
+    """F31.  ``chunk_rows`` splits each series into chunks of that many rows (with halos),
+    so a series holding a large share of all rows is spread over many tasks; results
+    are the same as the one-partition-per-series plan."""
+    if not chunk_rows:
+        return _features(silver, cfg).select(*gold_columns(cfg))
+    keys = ("symbol",)
+    f = cfg.features
+    d = with_positions(silver, keys, "date", F.date_trunc(bucket, F.col("date")))
+    # phase A: a one-row halo gives each chunk the previous close; exact running sums
+    a = with_halo(d, chunk_rows, back=1, ahead=0)
+    a = a.withColumn("__delta", F.col("close") - lag("close", keys=(*keys, CHUNK)))
+    a = a.where(F.col(HOME)).withColumns({
+        "__obv_term": F.coalesce(F.signum("__delta") * F.col("volume"), F.lit(0.0)),
+        "__gdd": clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
+        "__season": weather.season_year("date", f.season_start_month),
+    }).drop("__delta", CHUNK, HOME)
+    a = a.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)))
+    a = running_sum_with_carry(a, "__obv_term", "__obv", keys, "date")
+    a = running_sum_with_carry(a, "__gdd", "__gdd_cum", (*keys, "__season"), "date", keep_null=True)
+    a = a.drop("__obv_term", "__gdd", "__season", CHUNK)
+    # phase B: full halo, the unchanged feature chain on (symbol, chunk), home rows kept
+    b = with_halo(a, chunk_rows, back=lookback_rows(cfg), ahead=f.target_horizon_days)
+    g = _features(b, cfg, keys=(*keys, CHUNK))
+    return g.where(F.col(HOME)).select(*gold_columns(cfg))
 
 
 def market_features(cfg: Config = Config()) -> list[str]:

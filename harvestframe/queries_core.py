@@ -97,3 +97,10 @@ def _feature_query(name, cols):
 
 for _n, _c in FEATURE_QUERIES.items():
     _feature_query(_n, _c)
+
+
+@register("f31_gold_build_chunked", S.gold_sql(), f"SELECT {', '.join(GOLD_COLS)} FROM gold", kinds_for(GOLD_COLS))
+def f31_gold_build_chunked(spark, sf):
+    """F31 with each series split into 250-row chunks plus halos (the hot-series plan):
+    same rows and values as the one-task-per-series plan."""
+    return build_gold(silver(spark, sf), CFG, chunk_rows=250)

@@ -233,7 +233,7 @@ _q("q9_lookahead", "lookahead_check", "Q9: max |corr(feature, next-day log retur
 def q7_psi(spark, sf):
     """Q7: PSI of rsi, rvol_20d, gdd_cumulative, close: first vs second half of each series."""
     m = CFG.monitoring
-    p = psi_long(gold(spark, sf), list(m.psi_columns), m.psi_bins, m.psi_min_values)
+    p = psi_long(gold_table(spark, sf), list(m.psi_columns), m.psi_bins, m.psi_min_values)
     return p.withColumnRenamed("column", "feature")
 
 

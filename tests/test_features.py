@@ -87,3 +87,24 @@ def test_no_lookahead(gold_pdf):
         for c in feature_names():
             if g[c].notna().sum() > 30 and g[c].std() > 0:
                 assert abs(g[c].corr(nxt)) < 0.95, c
+
+
+def test_chunked_build_equals_series_build(spark):
+    """A long series split in 400-row chunks (halo ~1430 rows) gives the same gold."""
+    from conftest import SILVER_ORDER, synthetic_silver
+    from harvestframe.plans.gold import build_gold, lookback_rows
+    pdf = pd.concat([synthetic_silver(n=3000, seed=5, symbol="hot"), synthetic_silver(n=120, seed=6, symbol="cold")])
+    pdf = pdf[SILVER_ORDER]
+    assert lookback_rows() < 3000
+    s = spark.createDataFrame(pdf)
+    a = build_gold(s).toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
+    b = build_gold(s, chunk_rows=400).toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
+    assert len(a) == len(b) == len(pdf)
+    for c in a.columns:
+        if c in ("symbol", "date"):
+            assert (a[c] == b[c]).all()
+            continue
+        x, y = a[c].astype(float).values, b[c].astype(float).values
+        assert (np.isnan(x) == np.isnan(y)).all(), c
+        m = ~np.isnan(x)
+        np.testing.assert_allclose(y[m], x[m], rtol=1e-10, atol=1e-8, err_msg=c)
