@@ -86,3 +86,6 @@ class Config:
     spine_symbols: tuple[str, ...] | None = None
     weather_datatypes: tuple[str, ...] = ("TMAX", "TMIN", "PRCP", "SNOW")
     refresh_window_days: int = 30
+    # Split every series into chunks of this many rows (with halos) so that one series
+    # holding a large share of all rows runs as many tasks; None = one task per series.
+    series_chunk_rows: int | None = None

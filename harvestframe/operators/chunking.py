@@ -64,3 +64,24 @@ def running_sum_with_carry(df: DataFrame, value: str, out: str, keys: Sequence[s
     total = F.coalesce(F.col("__local"), F.lit(0.0)) + F.col("__carry")
     res = F.when(F.col(value).isNotNull(), total) if keep_null else total
     return df.withColumn(out, res).drop("__local", "__carry")
+
+
+def series_positions(df: DataFrame, keys: Sequence[str], order: str, bucket: str = "year",
+                     pos: str = "pos", n: str = "n") -> DataFrame:
+    """0-based position and series length without a whole-series window:
+    ``with_positions`` plus the series length from a partial aggregate."""
+    keys = list(keys)
+    d = with_positions(df, keys, order, F.date_trunc(bucket, F.col(order)))
+    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
+    return d.join(lengths, keys).withColumnRenamed(POS, pos)
+
+
+def neighbour(df: DataFrame, keys: Sequence[str], cols: Sequence[str], offset: int, pos: str = "pos",
+              suffix: str | None = None) -> DataFrame:
+    """Values of ``cols`` from the row ``offset`` positions away (lag for offset < 0,
+    lead for offset > 0) by an equi-join on (keys, position): no whole-series window,
+    and a position key cannot be skewed."""
+    keys = list(keys)
+    suffix = suffix or (f"_lag{-offset}" if offset < 0 else f"_lead{offset}")
+    other = df.select(*keys, (F.col(pos) - F.lit(offset)).alias(pos), *[F.col(c).alias(c + suffix) for c in cols])
+    return df.join(other, [*keys, pos], "left")

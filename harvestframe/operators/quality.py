@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import Config
 from harvestframe.operators.stats import bin_index, corr, decile_probs, percentiles
-from harvestframe.operators.windows import day_gap
+from harvestframe.operators.chunking import neighbour, series_positions
 
 KEY = "symbol"
 
@@ -40,11 +40,7 @@ def psi_long(gold: DataFrame, columns: Sequence[str], n_bins: int = 10, min_valu
     on either side are left out.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(order)
-    base = gold.select(*keys, order, *columns).withColumns({
-        "__rn": F.row_number().over(w) - 1,
-        "__n": F.count(F.lit(1)).over(Window.partitionBy(*keys)),
-    })
+    base = series_positions(gold.select(*keys, order, *columns), keys, order, pos="__rn", n="__n")
     long = base.unpivot([*keys, "__rn", "__n"], list(columns), "column", "value").where(F.col("value").isNotNull())
     long = long.withColumn("half", F.when(F.col("__rn") < F.floor(F.col("__n") / 2), "ref").otherwise("cur"))
     gk = [*keys, "column"]
@@ -80,8 +76,11 @@ def quality_report(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = C
     keys = list(keys)
     h = f.target_horizon_days
     mr = min_rows(cfg)
-    g = gold.withColumns({"__gap": day_gap("date", keys),
-                          "__next_lr": F.lead("log_return_1d").over(Window.partitionBy(*keys).orderBy("date"))})
+    # previous date and next-day return by a positional equi-join (no whole-series window)
+    g = series_positions(gold, keys, "date", pos="__pos", n="__len")
+    g = neighbour(g, keys, ["date"], -1, pos="__pos")
+    g = neighbour(g, keys, ["log_return_1d"], 1, pos="__pos", suffix="__next")
+    g = g.withColumns({"__gap": F.datediff("date", "date_lag1"), "__next_lr": F.col("log_return_1d__next")})
     s = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
                              F.avg(F.col("target").isNull().cast("double")).alias("target_null"),
                              corr("close", "target").alias("leak_corr"),

@@ -89,6 +89,7 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
     """F31.  ``chunk_rows`` splits each series into chunks of that many rows (with halos),
     so a series holding a large share of all rows is spread over many tasks; results
     are the same as the one-partition-per-series plan."""
+    chunk_rows = chunk_rows or cfg.series_chunk_rows
     if not chunk_rows:
         return _features(silver, cfg).select(*gold_columns(cfg))
     keys = ("symbol",)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import Config
 from harvestframe.functions.numeric import div
+from harvestframe.operators.chunking import series_positions
 from harvestframe.operators.stats import corr, percentiles
 
 KEY = "symbol"
@@ -30,10 +31,7 @@ def chrono_split(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Con
     """M1: adds ``pos`` (0-based, by date), ``n`` and ``role`` in {train, test}; the last
     ``int(n * test_size)`` rows of each series are the test set."""
     keys = list(keys)
-    df = complete_rows(gold, feature_cols)
-    w = Window.partitionBy(*keys).orderBy("date")
-    df = df.withColumns({"pos": F.row_number().over(w) - 1,
-                         "n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    df = series_positions(complete_rows(gold, feature_cols), keys, "date")
     test_n = F.floor(F.col("n") * F.lit(cfg.model.test_size))
     return df.withColumn("role", F.when(F.col("pos") >= F.col("n") - test_n, "test").otherwise("train"))
 
@@ -86,10 +84,8 @@ def walk_forward(train: DataFrame, cfg: Config = Config(), keys: Sequence[str] =
 
 
 def renumber(df: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
-    keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy("date")
-    return df.withColumns({"pos": F.row_number().over(w) - 1,
-                           "n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
+    """Fresh 0-based positions and lengths (e.g. for the training rows only)."""
+    return series_positions(df, keys, "date")
 
 
 def regression_metrics(df: DataFrame, group: Sequence[str], y: str = "target", p: str = "prediction") -> DataFrame:

@@ -17,6 +17,7 @@ from harvestframe.config import Config
 from harvestframe.functions.calendar import silver_calendar
 from harvestframe.functions.numeric import div, ln_pos, nan_to_null
 from harvestframe.operators.asof import asof_join
+from harvestframe.operators.chunking import neighbour, series_positions
 from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null, pivot_labels
 from harvestframe.operators.windows import lag, pad, pct_change_of_padded
 
@@ -57,10 +58,19 @@ def clean_futures(raw: DataFrame, cfg: Config = Config(), label: str | None = No
     if ingest_order:                                                      # T4
         df = dedupe_keep(df, [symbol_col, "date"], ingest_order, cfg.transforms.dedupe_keep)
     df = df.where(F.col("volume") >= F.lit(float(cfg.transforms.min_daily_volume)))  # P3, before returns
-    df = df.withColumn("__close_pad", pad("close", keys=(symbol_col,)))
+    if cfg.series_chunk_rows:
+        # hot-series plan: the previous close by a positional equi-join (close is
+        # contract non-null, so the forward fill is the previous row)
+        df = neighbour(series_positions(df, [symbol_col], "date"), [symbol_col], ["close"], -1)
+        prev = F.col("close_lag1")
+        returns = div(F.col("close"), prev) - F.lit(1.0)
+    else:
+        df = df.withColumn("__close_pad", pad("close", keys=(symbol_col,)))
+        prev = lag("close", 1, keys=(symbol_col,))
+        returns = pct_change_of_padded("__close_pad", 1, keys=(symbol_col,))
     df = df.withColumns({                                                 # F16
-        "returns_1d": pct_change_of_padded("__close_pad", 1, keys=(symbol_col,)),
-        "log_return_1d": ln_pos(div(F.col("close"), lag("close", 1, keys=(symbol_col,)))),
+        "returns_1d": returns,
+        "log_return_1d": ln_pos(div(F.col("close"), prev)),
         "high_low_pct": div(F.col("high") - F.col("low"), F.col("close")),   # P5
     })
     return df.select(symbol_col, *FUTURES_COLS)                            # P6

@@ -104,3 +104,11 @@ def f31_gold_build_chunked(spark, sf):
     """F31 with each series split into 250-row chunks plus halos (the hot-series plan):
     same rows and values as the one-task-per-series plan."""
     return build_gold(silver(spark, sf), CFG, chunk_rows=250)
+
+
+@register("f32_silver_build_chunked", S.silver_sql(), "SELECT * FROM silver", kinds_for(SILVER_COLS))
+def f32_silver_build_chunked(spark, sf):
+    """F32 with the hot-series plan (positions + positional join for the returns)."""
+    from dataclasses import replace
+    cfg = replace(CFG, series_chunk_rows=250)
+    return build_silver(T.bars(spark, sf), T.weather_long(spark, sf), cfg)
