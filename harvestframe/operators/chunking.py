@@ -28,12 +28,15 @@ from pyspark.sql import functions as F
 POS, CHUNK, HOME = "__pos", "__chunk", "__home"
 
 
-def with_positions(df: DataFrame, keys: Sequence[str], order: str, bucket: Column) -> DataFrame:
+def with_positions(df: DataFrame, keys: Sequence[str], order: str, bucket: Column,
+                   length: str | None = None) -> DataFrame:
+    """Adds ``__pos`` (and the series length as ``length`` when given) in one counting pass."""
     keys = list(keys)
     d = df.withColumn("__bucket", bucket)
     counts = d.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, "__bucket", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
+    extra = [F.sum("__cnt").over(Window.partitionBy(*keys)).alias(length)] if length else []
+    offs = counts.select(*keys, "__bucket", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"), *extra)
     d = d.join(offs, [*keys, "__bucket"])
     wr = Window.partitionBy(*keys, "__bucket").orderBy(order)
     return d.withColumn(POS, F.col("__off") + F.row_number().over(wr) - 1).drop("__bucket", "__off")
@@ -70,10 +73,8 @@ def series_positions(df: DataFrame, keys: Sequence[str], order: str, bucket: str
                      pos: str = "pos", n: str = "n") -> DataFrame:
     """0-based position and series length without a whole-series window:
     ``with_positions`` plus the series length from a partial aggregate."""
-    keys = list(keys)
-    d = with_positions(df, keys, order, F.date_trunc(bucket, F.col(order)))
-    lengths = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
-    return d.join(lengths, keys).withColumnRenamed(POS, pos)
+    d = with_positions(df, keys, order, F.date_trunc(bucket, F.col(order)), length=n)
+    return d.withColumnRenamed(POS, pos)
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], cols: Sequence[str], offset: int, pos: str = "pos",

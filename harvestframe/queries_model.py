@@ -16,7 +16,7 @@ from harvestframe.plans.gold import market_features
 from harvestframe.plans.lineage import dataset_digest, pipeline_metrics, prediction_histogram, run_record
 from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_row, snapshot_long
 from harvestframe.queries_core import gold, silver
-from harvestframe.queries_quality import QSQL, report
+from harvestframe.queries_quality import QSQL, gold_table, report
 from harvestframe.registry import CFG, kinds_for, register
 
 GOLD = S.gold_sql()
@@ -51,7 +51,8 @@ MSQL = model_sql()
 
 
 def split(spark, sf):
-    return M.chrono_split(gold(spark, sf), MF, CFG)
+    """Model data is prepared from the materialised gold table (as in the pipeline)."""
+    return M.chrono_split(gold_table(spark, sf), MF, CFG)
 
 
 def train_rows(spark, sf):

@@ -16,6 +16,8 @@ from harvestframe.config import Config
 from harvestframe.plans.gold import gold_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# The same queries without the oracle normalisation (what a user runs; used by bench.py).
+RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 GOLD_INTS = {"day_of_week", "month", "heat_stress_flag", "vol_regime", "is_planting", "is_pollination",
@@ -51,6 +53,7 @@ def register(name: str, sql_with: str | None = None, select: str | None = None,
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        RAW[name] = fn
         if select is not None and cols is not None:
             inner = f"({select}) AS q"
             body = sql_normalized(inner, cols)
