@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import FeatureConfig
 from harvestframe.functions.numeric import div, ln_pos, nullif0
-from harvestframe.operators.windows import KEY, lag, pad, pct_change_of_padded, rolling_corr
+from harvestframe.operators.windows import KEY, ORDER, lag, pad, pct_change_of_padded, rolling_corr
 
 NAMES = ["corn_wheat_ratio", "corn_wheat_spread", "corn_crude_corr_20d", "usd_return_5d", "corn_usd_corr_20d"]
 
@@ -16,19 +16,19 @@ def names(f: FeatureConfig | None = None) -> list[str]:
     return list(NAMES)
 
 
-def add(df: DataFrame, f: FeatureConfig, keys=KEY) -> DataFrame:
+def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER) -> DataFrame:
     n = f.corr_window
     # The other leg's log return is taken on the spine after the left join, so a
     # holiday NULL removes two returns (as in the reference).
     df = df.withColumns({
-        "__crude_lr": ln_pos(div(F.col("crude_close"), lag("crude_close", keys=keys))),
-        "__usd_lr": ln_pos(div(F.col("usd_close"), lag("usd_close", keys=keys))),
-        "__usd_pad": pad("usd_close", keys=keys),
+        "__crude_lr": ln_pos(div(F.col("crude_close"), lag("crude_close", keys=keys, order=order))),
+        "__usd_lr": ln_pos(div(F.col("usd_close"), lag("usd_close", keys=keys, order=order))),
+        "__usd_pad": pad("usd_close", keys=keys, order=order),
     })
     return df.withColumns({
         "corn_wheat_ratio": div(F.col("close"), nullif0("wheat_close")),
         "corn_wheat_spread": F.col("close") - F.col("wheat_close"),
-        "corn_crude_corr_20d": rolling_corr("log_return_1d", "__crude_lr", n, keys=keys),
-        "usd_return_5d": pct_change_of_padded("__usd_pad", 5, keys=keys),
-        "corn_usd_corr_20d": rolling_corr("log_return_1d", "__usd_lr", n, keys=keys),
+        "corn_crude_corr_20d": rolling_corr("log_return_1d", "__crude_lr", n, keys=keys, order=order),
+        "usd_return_5d": pct_change_of_padded("__usd_pad", 5, keys=keys, order=order),
+        "corn_usd_corr_20d": rolling_corr("log_return_1d", "__usd_lr", n, keys=keys, order=order),
     }).drop("__crude_lr", "__usd_lr", "__usd_pad")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import FeatureConfig
 from harvestframe.functions.numeric import clip_lower, div, flag, nullif0
-from harvestframe.operators.windows import KEY, rolling_mean, rolling_std, rolling_sum, running_sum_keep_null
+from harvestframe.operators.windows import KEY, ORDER, rolling_mean, rolling_std, rolling_sum, running_sum_keep_null
 
 
 def names(f: FeatureConfig) -> list[str]:
@@ -23,22 +23,27 @@ def season_year(date_col: str, start_month: int):
     return F.year(d) if start_month == 1 else F.year(F.add_months(d, -(start_month - 1)))
 
 
-def add(df: DataFrame, f: FeatureConfig, keys=KEY) -> DataFrame:
+def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative: bool = False) -> DataFrame:
     tmax, tmin, prcp = F.col("tmax_f"), F.col("tmin_f"), F.col("prcp_in")
     L, mp = f.long_window, f.long_min_periods
     df = df.withColumns({
         "gdd_daily": clip_lower((tmax + tmin) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
         "heat_stress_flag": flag(tmax > F.lit(float(f.gdd_heat_stress_f))),
         "__season": season_year("date", f.season_start_month),
-        "prcp_zscore": div(prcp - rolling_mean(prcp, L, mp, keys=keys), nullif0(rolling_std(prcp, L, mp, keys=keys))),
-        "tmax_7d_avg": rolling_mean(tmax, 7, keys=keys),
-        "tmax_anomaly_30d": tmax - rolling_mean(tmax, L, mp, keys=keys),
-        **{f"prcp_sum_{w}d": rolling_sum(prcp, w, 1, keys=keys) for w in f.prcp_sum_windows},
+        "prcp_zscore": div(prcp - rolling_mean(prcp, L, mp, keys=keys, order=order), nullif0(rolling_std(prcp, L, mp, keys=keys, order=order))),
+        "tmax_7d_avg": rolling_mean(tmax, 7, keys=keys, order=order),
+        "tmax_anomaly_30d": tmax - rolling_mean(tmax, L, mp, keys=keys, order=order),
+        **{f"prcp_sum_{w}d": rolling_sum(prcp, w, 1, keys=keys, order=order) for w in f.prcp_sum_windows},
     })
-    df = df.withColumns({
-        # a chunked build passes the exact series-wide value in "__gdd_cum"
-        "gdd_cumulative": (F.col("__gdd_cum") if "__gdd_cum" in df.columns
-                           else running_sum_keep_null("gdd_daily", keys=(*keys, "__season"))),
-        **{f"heat_stress_{w}d": rolling_sum("heat_stress_flag", w, 1, keys=keys) for w in f.heat_windows},
-    })
-    return df.drop("__season")
+    df = df.withColumns({f"heat_stress_{w}d": rolling_sum("heat_stress_flag", w, 1, keys=keys, order=order)
+                         for w in f.heat_windows})
+    return df if defer_cumulative else add_cumulative(df, f, keys, order)
+
+
+def add_cumulative(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER) -> DataFrame:
+    """F18 GDD running sum per season.  Its window is partitioned by (series, season);
+    a caller runs it last so the other windows keep sharing one sort."""
+    # a chunked build passes the exact series-wide value in "__gdd_cum"
+    gdd = (F.col("__gdd_cum") if "__gdd_cum" in df.columns
+           else running_sum_keep_null("gdd_daily", keys=(*keys, "__season"), order=order))
+    return df.withColumn("gdd_cumulative", gdd).drop("__season")

@@ -68,55 +68,77 @@ def _groups(specs: Sequence[EmaSpec]) -> list[tuple[int, list[EmaSpec]]]:
     return groups
 
 
+def shared_block(specs: Sequence[EmaSpec]) -> int | None:
+    """One block size valid for every spec (None if the decays are too far apart)."""
+    groups = _groups(specs)
+    return groups[0][0] if len(groups) == 1 else None
+
+
 def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("symbol",),
-             order: str = "date") -> DataFrame:
+             order: str = "date", rn: str | None = None, blk: str | None = None,
+             block: int | None = None) -> DataFrame:
     """Add one EMA column per spec.
 
     Leading NULLs of a source are skipped (the EMA starts at its first value, as
     pandas does); rows before it get NULL.  Sources must have no NULL after
     their first value (true for closes, price deltas and MACD); an interior NULL
     yields NULL on that row.
+
+    A caller that already has the 0-based row index ``rn`` and the block number
+    ``blk = rn div block`` passes them: every window here is then ordered by
+    ``(blk, rn)`` and shares one sort with the caller's other windows.
     """
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(order)
+    own = rn is None or blk is None or block is None
+    if not own:
+        for s in specs:
+            lb = -math.log(1.0 - s.alpha)
+            if block * lb > MAX_LOG_SCALE or block < ema_memory(s.alpha):
+                own = True
+    if own:
+        rn, tmp_rn = "__rn", True
+        df = df.withColumn(rn, F.row_number().over(Window.partitionBy(*keys).orderBy(order)) - 1)
+        groups = _groups(specs)
+        w = Window.partitionBy(*keys).orderBy(order)
+    else:
+        tmp_rn = False
+        groups = [(block, list(specs))]
+        w = Window.partitionBy(*keys).orderBy(blk, rn)
     w_all = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     srcs = sorted({s.src for s in specs})
 
     tmp = {}
-    tmp["__rn"] = F.row_number().over(w) - 1
     for c in srcs:
         tmp[f"__first_{c}"] = F.first(c, ignorenulls=True).over(w_all)
         tmp[f"__started_{c}"] = F.count(c).over(w_run) > 0
     df = df.withColumns(tmp)
     # Shift to non-negative: pad the head with the first value (y stays x_first
     # through the padding), then subtract the series minimum.
-    tmp = {}
-    for c in srcs:
-        padded = F.when(F.col(f"__started_{c}"), F.col(c)).otherwise(F.col(f"__first_{c}"))
-        tmp[f"__pad_{c}"] = padded
-    df = df.withColumns(tmp)
+    df = df.withColumns({f"__pad_{c}": F.when(F.col(f"__started_{c}"), F.col(c)).otherwise(F.col(f"__first_{c}"))
+                         for c in srcs})
     df = df.withColumns({f"__min_{c}": F.min(f"__pad_{c}").over(w_all) for c in srcs})
     df = df.withColumns({f"__x_{c}": F.col(f"__pad_{c}") - F.col(f"__min_{c}") for c in srcs})
 
-    for gi, (block, group) in enumerate(_groups(specs)):
-        blk, j = f"__blk{gi}", f"__j{gi}"
-        df = df.withColumns({blk: F.floor(F.col("__rn") / F.lit(block)),
-                             j: F.pmod(F.col("__rn"), F.lit(block)).cast("double")})
-        wb = (Window.partitionBy(*keys, blk).orderBy("__rn")
+    for gi, (bsize, group) in enumerate(groups):
+        b_col = f"__blk{gi}" if own else blk
+        j = f"__j{gi}"
+        if own:
+            df = df.withColumn(b_col, F.floor(F.col(rn) / F.lit(bsize)))
+        df = df.withColumn(j, F.pmod(F.col(rn), F.lit(bsize)).cast("double"))
+        wb = (Window.partitionBy(*keys, b_col).orderBy(rn)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         locs = {}
         for s in group:
             b = 1.0 - s.alpha
-            wt = F.when(F.col("__rn") == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
+            wt = F.when(F.col(rn) == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
             term = wt * F.col(f"__x_{s.src}") * F.pow(F.lit(b), -F.col(j))
             locs[f"__loc_{s.out}"] = F.sum(term).over(wb) * F.pow(F.lit(b), F.col(j))
         df = df.withColumns(locs)
-        wprev = Window.partitionBy(*keys).orderBy(blk).rangeBetween(-1, -1)
-        carry = {f"__carry_{s.out}": F.coalesce(
-            F.max(F.when(F.col(j) == block - 1, F.col(f"__loc_{s.out}"))).over(wprev), F.lit(0.0))
-            for s in group}
-        df = df.withColumns(carry)
+        wprev = Window.partitionBy(*keys).orderBy(b_col).rangeBetween(-1, -1)
+        df = df.withColumns({f"__carry_{s.out}": F.coalesce(
+            F.max(F.when(F.col(j) == bsize - 1, F.col(f"__loc_{s.out}"))).over(wprev), F.lit(0.0))
+            for s in group})
         outs = {}
         for s in group:
             b = 1.0 - s.alpha
@@ -124,6 +146,10 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
                  + F.col(f"__min_{s.src}"))
             outs[s.out] = F.when(F.col(f"__started_{s.src}") & F.col(s.src).isNotNull(), y)
         df = df.withColumns(outs)
-        df = df.drop(blk, j, *[f"__loc_{s.out}" for s in group], *[f"__carry_{s.out}" for s in group])
-    drop = ["__rn"] + [f"__{p}_{c}" for c in srcs for p in ("first", "started", "pad", "min", "x")]
+        df = df.drop(j, *[f"__loc_{s.out}" for s in group], *[f"__carry_{s.out}" for s in group])
+        if own:
+            df = df.drop(b_col)
+    drop = [f"__{p}_{c}" for c in srcs for p in ("first", "started", "pad", "min", "x")]
+    if tmp_rn:
+        drop.append(rn)
     return df.drop(*drop)

@@ -18,22 +18,22 @@ KEY = ("symbol",)
 ORDER = "date"
 
 
-def series(keys: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
-    """``wo``: the ordered series window (no frame)."""
-    return Window.partitionBy(*keys).orderBy(order)
+def series(keys: Sequence[str] = KEY, order: str | Sequence[str] = ORDER) -> WindowSpec:
+    """``wo``: the ordered series window (no frame); ``order`` is a column or a tuple of columns."""
+    return Window.partitionBy(*keys).orderBy(*([order] if isinstance(order, str) else order))
 
 
-def trailing(n: int, keys: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
+def trailing(n: int, keys: Sequence[str] = KEY, order: str | Sequence[str] = ORDER) -> WindowSpec:
     """``w(n)``: the current row and the n-1 rows before it."""
     return series(keys, order).rowsBetween(-(n - 1), Window.currentRow)
 
 
-def running(keys: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
+def running(keys: Sequence[str] = KEY, order: str | Sequence[str] = ORDER) -> WindowSpec:
     """``wr``: from the first row of the series to the current row."""
     return series(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def whole(keys: Sequence[str] = KEY, order: str = ORDER) -> WindowSpec:
+def whole(keys: Sequence[str] = KEY, order: str | Sequence[str] = ORDER) -> WindowSpec:
     return series(keys, order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 

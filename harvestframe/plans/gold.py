@@ -15,8 +15,8 @@ from harvestframe.config import Config
 from harvestframe.functions import calendar, cross, price, technical, target, volatility, weather
 from harvestframe.functions.numeric import clip_lower, clip_upper
 from harvestframe.operators.chunking import CHUNK, HOME, POS, running_sum_with_carry, with_halo, with_positions
-from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_memory, with_ema
-from harvestframe.operators.windows import lag, pad
+from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_memory, shared_block, with_ema
+from harvestframe.operators.windows import lag, pad, row_index
 
 SILVER_PASSTHROUGH = ["returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
                       "snow_mm", "wheat_close", "crude_close", "usd_close", "day_of_week", "month"]
@@ -43,27 +43,45 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 
 def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
-    """Stages (a)-(h) on a frame whose series windows are ``partitionBy(*keys)``."""
+    """Stages (a)-(h) on a frame whose series windows are ``partitionBy(*keys)``.
+
+    The row index and the EMA block number are computed once; every window is then
+    ordered by ``(block, row)`` - the same order as by date - so the whole chain
+    shares a single sort (plus one for the per-season GDD partition)."""
     f = cfg.features
+    all_specs = ema_specs(cfg) + [signal_spec(cfg)]
+    block = shared_block(all_specs)
+    ema_kw: dict = {}
+    order: str | tuple = "date"
+    if block:
+        df = df.withColumn("__rn", row_index(keys, "date"))
+        df = df.withColumn("__blk", F.floor(F.col("__rn") / F.lit(block)))
+        order = ("__blk", "__rn")
+        ema_kw = {"rn": "__rn", "blk": "__blk", "block": block}
     df = df.withColumns({
-        "__close_pad": pad("close", keys=keys),
-        "__close_lag1": lag("close", keys=keys),
+        "__close_pad": pad("close", keys=keys, order=order),
+        "__close_lag1": lag("close", keys=keys, order=order),
     })
     df = df.withColumn("__delta", F.col("close") - F.col("__close_lag1"))
     df = df.withColumns({
         "__gain": clip_lower("__delta", 0.0),
         "__loss": -clip_upper("__delta", 0.0),
     })
-    df = with_ema(df, ema_specs(cfg), keys=keys)                                  # (b)
+    df = with_ema(df, ema_specs(cfg), keys=keys, order="date", **ema_kw)              # (b)
     df = technical.add_macd(df, f)
-    df = with_ema(df, [EmaSpec("macd_signal_line", "macd", alpha_from_span(f.macd_signal))], keys=keys)  # (c)
-    df = price.add(df, f, keys)
-    df = technical.add(df, f, keys)
-    df = volatility.add(df, f, keys)
-    df = weather.add(df, f, keys)
+    df = with_ema(df, [signal_spec(cfg)], keys=keys, order="date", **ema_kw)          # (c)
+    df = price.add(df, f, keys, order)
+    df = technical.add(df, f, keys, order)
+    df = volatility.add(df, f, keys, order)
+    df = weather.add(df, f, keys, order, defer_cumulative=True)
     df = calendar.add(df, f)
-    df = cross.add(df, f, keys)
-    return target.add(df, f, keys)
+    df = cross.add(df, f, keys, order)
+    df = target.add(df, f, keys, order)
+    return weather.add_cumulative(df, f, keys, order)
+
+
+def signal_spec(cfg: Config = Config()) -> EmaSpec:
+    return EmaSpec("macd_signal_line", "macd", alpha_from_span(cfg.features.macd_signal))
 
 
 def ema_specs(cfg: Config = Config()) -> list[EmaSpec]:
@@ -79,7 +97,7 @@ def lookback_rows(cfg: Config = Config()) -> int:
     EMA memory to 1e-18 (close, then the signal line on MACD) or the longest rolling chain."""
     f = cfg.features
     mem = max(ema_memory(s.alpha) for s in ema_specs(cfg))
-    ema_chain = 1 + mem + ema_memory(alpha_from_span(f.macd_signal))
+    ema_chain = 1 + mem + ema_memory(signal_spec(cfg).alpha)
     rolling_chain = max(f.long_window, 1 + 20 + 60, 1 + f.corr_window, max(f.rolling_windows) + 1)
     return max(ema_chain, rolling_chain)
 
