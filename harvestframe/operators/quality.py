@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestframe.config import Config
-from harvestframe.operators.stats import bin_index, corr, decile_probs, percentiles
+from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles
 from harvestframe.operators.chunking import neighbour, series_positions
 
 KEY = "symbol"
@@ -46,8 +46,8 @@ def psi_long(gold: DataFrame, columns: Sequence[str], n_bins: int = 10, min_valu
     gk = [*keys, "column"]
     sizes = long.groupBy(*gk).agg(F.count_if(F.col("half") == "ref").alias("n_ref"),
                                   F.count_if(F.col("half") == "cur").alias("n_cur"))
-    edges = (long.where(F.col("half") == "ref").groupBy(*gk)
-                 .agg(F.array_distinct(percentiles("value", decile_probs(n_bins))).alias("edges")))
+    edges = exact_percentiles(long.where(F.col("half") == "ref"), gk, "value", decile_probs(n_bins), out="edges")
+    edges = edges.withColumn("edges", F.array_distinct("edges"))
     binned = (long.join(edges, gk).withColumn("bin", bin_index(F.col("edges"), F.col("value")))
                   .where(F.col("bin").isNotNull())
                   .groupBy(*gk, "bin").agg(F.count_if(F.col("half") == "ref").alias("c_ref"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from harvestframe.config import Config
 from harvestframe.functions.numeric import div
 from harvestframe.operators.chunking import series_positions
-from harvestframe.operators.stats import corr, percentiles
+from harvestframe.operators.stats import corr, exact_percentiles
 
 KEY = "symbol"
 
@@ -39,12 +39,14 @@ def chrono_split(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Con
 def robust_stats(train: DataFrame, feature_cols: Sequence[str], keys: Sequence[str] = (KEY,)) -> DataFrame:
     """M2 fit: (keys..., feature, center, scale) with center = median, scale = IQR (0 -> 1).
 
-    Exact percentiles per series (bounded by the series length), one aggregation
-    over all features."""
+    Exact percentiles per (series, feature) from the distributed order statistic
+    (no group is held in one task)."""
     keys = list(keys)
-    q = train.groupBy(*keys).agg(*[percentiles(c, [0.25, 0.5, 0.75]).alias(c) for c in feature_cols])
-    long = q.unpivot(keys, list(feature_cols), "feature", "q")
+    long = (train.select(*keys, *[F.col(c).cast("double").alias(c) for c in feature_cols])
+                 .unpivot(keys, list(feature_cols), "feature", "value"))
+    q = exact_percentiles(long, [*keys, "feature"], "value", [0.25, 0.5, 0.75])
     iqr = F.col("q")[2] - F.col("q")[0]
+    long = q
     return long.select(*keys, "feature", F.col("q")[1].alias("center"),
                        F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
 

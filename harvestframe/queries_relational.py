@@ -11,7 +11,7 @@ from harvestframe.operators import windows as Wn
 from harvestframe.operators.asof import asof_date_map
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, with_ema
 from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null, union_all
-from harvestframe.operators.stats import bin_index, corr, decile_probs, null_rates, percentiles
+from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
 from harvestframe.plans.silver import clean_futures, clean_weather, correlated_closes
 from harvestframe.queries_core import gold, silver
@@ -24,6 +24,13 @@ FEATS = feature_names(CFG)
 DEC = "[" + ", ".join(repr(p) for p in decile_probs()) + "]"
 
 
+def gold_table(spark, sf):
+    """Gold materialised once (reliable checkpoint in the shared folder) for multi-pass operators."""
+    from harvestframe.session import shared_dir
+    shared_dir(spark)
+    return gold(spark, sf).checkpoint(eager=True)
+
+
 def weather_daily(spark, sf):
     return clean_weather(T.weather_long(spark, sf), CFG)
 
@@ -391,7 +398,7 @@ PCOLS = [f"p{int(round(p * 100))}" for p in decile_probs()]
           kinds_for(["symbol", *PCOLS]))
 def a8_percentiles(spark, sf):
     """Exact deciles of close (linear interpolation) per symbol."""
-    q = gold(spark, sf).groupBy("symbol").agg(percentiles("close", decile_probs()).alias("q"))
+    q = exact_percentiles(gold_table(spark, sf), ["symbol"], "close", decile_probs())
     return q.select("symbol", *[F.col("q")[i].alias(c) for i, c in enumerate(PCOLS)])
 
 
@@ -405,8 +412,8 @@ hb AS (SELECT g.symbol, CASE WHEN g.close < e.edges[1] OR g.close > e.edges[len(
           kinds_for(["symbol", "bin", "count"], ints=("bin", "count")))
 def a9_histogram(spark, sf):
     """Histogram of close with explicit (decile) edges: half-open bins, last closed."""
-    g = gold(spark, sf)
-    e = g.groupBy("symbol").agg(F.array_distinct(percentiles("close", decile_probs())).alias("edges"))
+    g = gold_table(spark, sf)
+    e = exact_percentiles(g, ["symbol"], "close", decile_probs(), out="edges").withColumn("edges", F.array_distinct("edges"))
     b = g.join(e, "symbol").withColumn("bin", bin_index(F.col("edges"), F.col("close")))
     return b.where(F.col("bin").isNotNull()).groupBy("symbol", "bin").agg(F.count(F.lit(1)).alias("count"))
 

@@ -156,3 +156,17 @@ def test_bronze_idempotent_overwrite(spark, tmp_path):
     assert read_bronze(spark, root, "weather").count() == 4
     assert read_bronze(spark, root, "weather", "2024-01-02", "2024-01-02").count() == 2
     assert list_partitions(spark, root).count() == 2
+
+
+@pytest.mark.parametrize("limit", [None, 10**9])
+def test_exact_percentiles_both_paths_match_numpy(spark, limit):
+    from harvestframe.operators.stats import exact_percentiles
+    rng = np.random.default_rng(0)
+    pdf = pd.concat([pd.DataFrame({"g": "a", "v": rng.normal(0, 1, 5000)}),
+                     pd.DataFrame({"g": "b", "v": rng.integers(0, 5, 999).astype(float)}),
+                     pd.DataFrame({"g": "c", "v": [3.0]}), pd.DataFrame({"g": "d", "v": [1.0, 2.0]})])
+    probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {r.g: r.q for r in exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", probs, buckets=16,
+                                               max_group_rows=limit).collect()}
+    for g, sub in pdf.groupby("g"):
+        np.testing.assert_allclose(got[g], np.percentile(sub.v.values, [p * 100 for p in probs]), rtol=1e-12, atol=1e-12)
