@@ -48,8 +48,20 @@ def asof_date_map(spine_dates: DataFrame, right: DataFrame, tolerance_days: int
     return best.select(on, *[F.col(f"__v.{c}").alias(c) for c in value_cols])
 
 
+def calendar_dates(right: DataFrame, tolerance_days: int, on: str = "date") -> DataFrame:
+    """Every calendar day within ``tolerance_days`` of the right table's date range
+    (one row per day: bounded by the calendar, derived from the right side only)."""
+    k = int(tolerance_days)
+    bounds = right.agg(F.min(on).alias("lo"), F.max(on).alias("hi"))
+    return bounds.select(F.explode(F.sequence(F.date_sub("lo", k), F.date_add("hi", k))).alias(on))
+
+
 def asof_join(spine: DataFrame, right: DataFrame, tolerance_days: int = 3,
               direction: str = "nearest", on: str = "date",
-              value_cols: Sequence[str] | None = None) -> DataFrame:
-    mapping = asof_date_map(spine, right, tolerance_days, direction, on, value_cols)
+              value_cols: Sequence[str] | None = None, mapping_on: str = "calendar") -> DataFrame:
+    """J1.  ``mapping_on="calendar"`` (default) maps every day of the right table's
+    range, so the spine's source is read once; ``"spine"`` maps the distinct spine
+    dates instead (smaller when the right side spans far more days than the spine)."""
+    dates = calendar_dates(right, tolerance_days, on) if mapping_on == "calendar" else spine
+    mapping = asof_date_map(dates, right, tolerance_days, direction, on, value_cols)
     return spine.join(mapping, on, "left")

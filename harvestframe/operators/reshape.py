@@ -46,10 +46,15 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def pivot_labels(bars: DataFrame, labels: Sequence[tuple[str, str]], value: str = "close",
-                 key: str = "symbol", on: str = "date") -> DataFrame:
-    """Full outer join of several label series on date == one pivot of label -> value."""
+                 key: str = "symbol", on: str = "date", prefilter: bool = True) -> DataFrame:
+    """Full outer join of several label series on date == one pivot of label -> value.
+
+    ``prefilter=False`` keeps the input's plan unchanged below the pivot, so when the
+    same bars also feed the spine Spark reuses their shuffle instead of re-reading the
+    source (other symbols map to no label and only add days whose closes are all NULL,
+    harmless under the spine's left join)."""
     sym_to_label = F.create_map(*[x for lab, sym in labels for x in (F.lit(sym), F.lit(lab))])
-    src = (bars.where(F.col(key).isin([s for _, s in labels]))
-               .select(on, sym_to_label[F.col(key)].alias("__label"), value))
+    src = bars.where(F.col(key).isin([s for _, s in labels])) if prefilter else bars
+    src = src.select(on, sym_to_label[F.col(key)].alias("__label"), value)
     out = src.groupBy(on).pivot("__label", [lab for lab, _ in labels]).agg(F.max(value))
     return out.select(on, *[F.col(lab).alias(f"{lab}_close") for lab, _ in labels])

@@ -89,13 +89,14 @@ def clean_weather(raw: DataFrame, cfg: Config = Config(), ingest_order: str | No
 
 
 def correlated_closes(raw_bars: DataFrame, cfg: Config = Config(), ingest_order: Sequence[str] | None = None,
-                      symbol_col: str = "symbol") -> DataFrame:
+                      symbol_col: str = "symbol", prefilter: bool = True) -> DataFrame:
     """Date, wheat_close, crude_close, usd_close (one pivot instead of outer joins)."""
     df = normalise_columns(raw_bars).withColumn("date", F.to_date("date"))
-    df = df.where(F.col(symbol_col).isin([s for _, s in cfg.correlated]))
+    if prefilter:
+        df = df.where(F.col(symbol_col).isin([s for _, s in cfg.correlated]))
     if ingest_order:
         df = dedupe_keep(df, [symbol_col, "date"], ingest_order, cfg.transforms.dedupe_keep)
-    return pivot_labels(df, cfg.correlated, "close", symbol_col)
+    return pivot_labels(df, cfg.correlated, "close", symbol_col, prefilter=prefilter)
 
 
 def build_silver(bars: DataFrame, weather_long: DataFrame, cfg: Config = Config(),
@@ -106,7 +107,7 @@ def build_silver(bars: DataFrame, weather_long: DataFrame, cfg: Config = Config(
         spine_src = bars.where(F.col("symbol").isin(list(cfg.spine_symbols)))
     futures = clean_futures(spine_src, cfg, ingest_order=ingest_order)
     weather = clean_weather(weather_long, cfg)
-    corr = correlated_closes(bars, cfg, ingest_order)
+    corr = correlated_closes(bars, cfg, ingest_order, prefilter=False)
     t = cfg.transforms
     silver = asof_join(futures, weather, t.asof_tolerance_days, t.asof_direction)   # J1
     silver = silver.join(corr, "date", "left")                                        # J3

@@ -15,8 +15,18 @@ SILVER_COLS = ["symbol", "date", "open", "high", "low", "close", "volume", "retu
                "usd_close", "day_of_week", "month"]
 
 
+def landed(spark, sf):
+    """The two landed inputs, staged once (reliable checkpoints in the shared folder) the way
+    bronze tables are: silver reads each of them twice (spine + correlated closes, weather
+    range + values), and each fact table behind them is then scanned exactly once."""
+    from harvestframe.session import shared_dir
+    shared_dir(spark)
+    return T.bars(spark, sf).checkpoint(eager=True), T.weather_long(spark, sf).checkpoint(eager=True)
+
+
 def silver(spark, sf):
-    return build_silver(T.bars(spark, sf), T.weather_long(spark, sf), CFG)
+    bars, weather = landed(spark, sf)
+    return build_silver(bars, weather, CFG)
 
 
 def gold(spark, sf):
@@ -111,4 +121,4 @@ def f32_silver_build_chunked(spark, sf):
     """F32 with the hot-series plan (positions + positional join for the returns)."""
     from dataclasses import replace
     cfg = replace(CFG, series_chunk_rows=250)
-    return build_silver(T.bars(spark, sf), T.weather_long(spark, sf), cfg)
+    return build_silver(*landed(spark, sf), cfg)

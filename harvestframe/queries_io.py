@@ -209,5 +209,5 @@ def r1_stream_landing(spark, sf):
 def l4_pipeline(spark, sf):
     """L4: land -> silver -> gold -> contracts -> quality -> metrics, tables written between layers."""
     from harvestframe.plans.pipeline import run_pipeline
-    return run_pipeline(spark, T.bars(spark, sf), T.weather_long(spark, sf), scratch_path(spark, "pipeline"), CFG,
-                        today=TODAY, validate=False)
+    from harvestframe.queries_core import landed
+    return run_pipeline(spark, *landed(spark, sf), scratch_path(spark, "pipeline"), CFG, today=TODAY, validate=False)

@@ -123,7 +123,9 @@ def p8_feature_columns(spark, sf):
     return agg.select(F.explode(st).alias("x")).select("x.*")
 
 
-@register("p9_presence_branches")
+@register("p9_presence_branches", GOLD,
+          "SELECT symbol, count(*) AS rows, 0 AS cross_non_null, count(rsi) AS rsi_non_null FROM gold GROUP BY symbol",
+          kinds_for(["symbol", "rows", "cross_non_null", "rsi_non_null"], ints=("rows", "cross_non_null", "rsi_non_null")))
 def p9_presence_branches(spark, sf):
     """Gold from a silver without the correlated closes: those columns are added as NULL,
     the cross-asset features come out NULL and the rest is unchanged."""
