@@ -136,7 +136,7 @@ st AS (SELECT DISTINCT format('ST{{:05d}}', r_regionkey) AS source FROM region)"
 def _plan_sql(start: dt.date, end: dt.date, force: bool) -> str:
     s0 = dt.date(start.year, 1 if start.month <= 6 else 7, 1)
     per = (f"SELECT st.source, CAST(p AS DATE) AS period_start, "
-           f"least(CAST(p + INTERVAL 6 MONTH - INTERVAL 1 DAY AS DATE), DATE '{end}') AS period_end "
+           f"CAST(p + INTERVAL 6 MONTH - INTERVAL 1 DAY AS DATE) AS period_end "
            f"FROM st, generate_series(DATE '{s0}', DATE '{end}', INTERVAL 6 MONTH) AS g(p)")
     if force:
         return per

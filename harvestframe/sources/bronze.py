@@ -77,7 +77,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def metadata(df: DataFrame) -> DataFrame:
     """Rows, columns, size in MB (from ``_metadata.file_size``), min/max date, one pass."""
     files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-    sizes = files.groupBy("p").agg(F.max("s").alias("s")).agg((F.sum("s") / F.lit(1024.0 * 1024.0)).alias("size_mb"))
+    sizes = files.groupBy("p").agg(F.max("s").alias("s")).agg(F.round(F.sum("s") / F.lit(1e6), 2).alias("size_mb"))
     stats = df.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))
     cols = F.lit(",".join(c for c in df.columns))
     return (stats.withColumn("__k", F.lit(1)).join(sizes.withColumn("__k", F.lit(1)), "__k")

@@ -21,9 +21,8 @@ def fetch_plan(stations: DataFrame, present: DataFrame, start: dt.date, end: dt.
     A period is skipped when its partition (keyed by period start) exists, unless
     ``force`` or the period ends within ``refresh_days`` of ``today`` (late data)."""
     periods = stations.select(F.col("source"), F.explode(half_year_periods(start, end)).alias("period_start"))
-    periods = periods.withColumn(
-        "period_end",
-        F.least(F.date_sub(F.add_months("period_start", 6), 1), F.lit(end)))
+    # a period always ends on its half-year end (June 30 / December 31), even past ``end``
+    periods = periods.withColumn("period_end", F.date_sub(F.add_months("period_start", 6), 1))
     if force:
         return periods
     recent = F.col("period_end") >= F.date_sub(F.lit(today), refresh_days)
