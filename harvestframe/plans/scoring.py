@@ -32,10 +32,10 @@ def direction(pred: Column, cfg: Config = Config()) -> Column:
              .otherwise("NEUTRAL"))
 
 
-def snapshot_map(features: Sequence[str] = SNAPSHOT_FEATURES) -> Column:
-    """Map feature -> value with NULL values left out."""
+def snapshot_map(features: Sequence[str] = SNAPSHOT_FEATURES, digits: int = 4) -> Column:
+    """Map feature -> value rounded to 4 decimals, NULL values left out."""
     m = F.map_from_arrays(F.array(*[F.lit(c) for c in features]),
-                          F.array(*[F.col(c).cast("double") for c in features]))
+                          F.array(*[F.round(F.col(c).cast("double"), digits) for c in features]))
     return F.map_filter(m, lambda k, v: v.isNotNull())
 
 
@@ -45,6 +45,15 @@ def snapshot_long(df: DataFrame, features: Sequence[str] = SNAPSHOT_FEATURES,
     return (df.select(*keys, "date", F.explode(snapshot_map(features)).alias("feature", "value")))
 
 
+def latest_features(gold: DataFrame, feature_cols: Sequence[str], n: int = 30,
+                    keys: Sequence[str] = (KEY,)) -> DataFrame:
+    """C3 latest-features view: the latest row's close and first ``n`` features (4 decimals,
+    NULLs left out), as rows (keys..., date, close, feature, value)."""
+    cols = list(feature_cols)[:n]
+    last = latest_row(gold.select(*keys, "date", "close", *cols), keys)
+    return last.select(*keys, "date", "close", F.explode(snapshot_map(cols)).alias("feature", "value"))
+
+
 def score_latest(gold: DataFrame, model, feature_cols: Sequence[str], stats: DataFrame | None = None,
                  cfg: Config = Config(), keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Latest complete row per series -> scale -> predict -> round 4 -> label + snapshot."""
@@ -53,8 +62,9 @@ def score_latest(gold: DataFrame, model, feature_cols: Sequence[str], stats: Dat
     last = latest_row(gold, keys, require=feature_cols)
     x = robust_apply(last, stats, feature_cols, keys) if stats is not None else last
     pred = model.transform(assemble(x, feature_cols))
-    raw = latest_row(gold, keys).select(*keys, *[F.col(c) for c in SNAPSHOT_FEATURES if c in gold.columns])
-    out = pred.select(*keys, "date", F.round("prediction", 4).alias("predicted_return_pct"))
-    out = out.withColumn("direction", direction(F.col("predicted_return_pct"), cfg))
-    return out.join(raw.select(*keys, snapshot_map([c for c in SNAPSHOT_FEATURES if c in gold.columns])
-                               .alias("snapshot")), list(keys), "left")
+    snap = [c for c in SNAPSHOT_FEATURES if c in gold.columns]
+    # the label is decided on the unrounded prediction; the snapshot is the scored (complete) row
+    out = last.select(*keys, snapshot_map(snap).alias("snapshot")).join(
+        pred.select(*keys, "date", "prediction"), list(keys))
+    return out.select(*keys, "date", F.round("prediction", 4).alias("predicted_return_pct"),
+                      direction(F.col("prediction"), cfg).alias("direction"), "snapshot")

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from harvestframe.checks import sql as S
 from harvestframe.checks.normalize import normalize
 from harvestframe.plans import mlprep as M
-from harvestframe.plans.gold import market_features
+from harvestframe.plans.gold import feature_names, market_features
 from harvestframe.plans.lineage import dataset_digest, pipeline_metrics, prediction_histogram, run_record
-from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_row, snapshot_long
+from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_features, latest_row, snapshot_long
 from harvestframe.queries_core import gold, silver
 from harvestframe.queries_quality import QSQL, gold_table, report
 from harvestframe.registry import CFG, kinds_for, register
@@ -115,25 +115,40 @@ def a10_fold_stats(spark, sf):
 
 @register("c2_direction", MSQL + """,
 lastc AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM cr) WHERE k = 1)""",
-          f"SELECT symbol, date, round(prediction, 4) AS predicted_return_pct, CASE WHEN round(prediction, 4) > {m.bull_threshold} "
-          f"THEN 'BULLISH' WHEN round(prediction, 4) < {m.bear_threshold} THEN 'BEARISH' ELSE 'NEUTRAL' END AS direction FROM lastc",
+          f"SELECT symbol, date, round(prediction, 4) AS predicted_return_pct, CASE WHEN prediction > {m.bull_threshold} "
+          f"THEN 'BULLISH' WHEN prediction < {m.bear_threshold} THEN 'BEARISH' ELSE 'NEUTRAL' END AS direction FROM lastc",
           kinds_for(["symbol", "date", "predicted_return_pct", "direction"]))
 def c2_direction(spark, sf):
     """Direction label of the latest complete row per series (baseline prediction, 4 decimals)."""
     g = gold(spark, sf).dropna(subset=["target", *MF])
     last = latest_row(g.select("symbol", "date", (F.col("return_5d") * 100).alias("p")))
-    p = F.round("p", 4)
-    return last.select("symbol", "date", p.alias("predicted_return_pct"), direction(p, CFG).alias("direction"))
+    return last.select("symbol", "date", F.round("p", 4).alias("predicted_return_pct"),
+                       direction(F.col("p"), CFG).alias("direction"))
 
 
-@register("c3_snapshot", GOLD + """,
-lastg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM gold) WHERE k = 1)""",
-          " UNION ALL ".join(f"SELECT symbol, date, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM lastg WHERE {c} IS NOT NULL"
+@register("c3_snapshot", MSQL + """,
+lastg AS (SELECT * FROM (SELECT g.*, row_number() OVER (PARTITION BY g.symbol ORDER BY g.date DESC) AS k
+                         FROM gold g JOIN cr USING (symbol, date)) WHERE k = 1)""",
+          " UNION ALL ".join(f"SELECT symbol, date, '{c}' AS feature, round(CAST({c} AS DOUBLE), 4) AS value FROM lastg WHERE {c} IS NOT NULL"
                              for c in SNAPSHOT_FEATURES),
           kinds_for(["symbol", "date", "feature", "value"]))
 def c3_snapshot(spark, sf):
-    """Feature snapshot of the latest row per series, NULL features left out."""
-    return snapshot_long(latest_row(gold(spark, sf).select("symbol", "date", *SNAPSHOT_FEATURES)))
+    """Feature snapshot (4 decimals, NULLs left out) of the latest complete row per series."""
+    g = gold(spark, sf).dropna(subset=["target", *MF])
+    return snapshot_long(latest_row(g.select("symbol", "date", *SNAPSHOT_FEATURES)))
+
+
+FIRST30 = feature_names(CFG)[:30]
+
+
+@register("c3_latest_features", GOLD + """,
+lastg AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM gold) WHERE k = 1)""",
+          " UNION ALL ".join(f"SELECT symbol, date, close, '{c}' AS feature, round(CAST({c} AS DOUBLE), 4) AS value FROM lastg "
+                             f"WHERE {c} IS NOT NULL" for c in FIRST30),
+          kinds_for(["symbol", "date", "close", "feature", "value"]))
+def c3_latest_features(spark, sf):
+    """C3 latest-features view: close and the first 30 features of the latest row per series."""
+    return latest_features(gold(spark, sf), FIRST30)
 
 
 BUCKETS = [f"le_{str(e).replace('-', 'm').replace('.', 'p')}" for e in m.prediction_buckets]
