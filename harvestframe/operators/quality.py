@@ -104,9 +104,12 @@ def quality_report(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = C
     allowed_null = F.lit(3.0 * h) / F.col("n")
     checks = [
         ("row_count", F.col("n") >= mr, F.col("n"), F.lit(float(mr)), True),
-        ("target_nulls", F.col("target_null") <= allowed_null, F.col("target_null"), allowed_null, True),
+        # reported as percentages (2 decimals) and the correlation to 4 decimals;
+        # the decisions use the unrounded values
+        ("target_nulls", F.col("target_null") <= allowed_null, F.round(F.col("target_null") * 100, 2),
+         F.round(allowed_null * 100, 2), True),
         ("leakage_check", F.coalesce(F.abs(F.col("leak_corr")) < m.leakage_max_corr, F.lit(False)),
-         F.col("leak_corr"), F.lit(m.leakage_max_corr), True),
+         F.round(F.col("leak_corr"), 4), F.lit(m.leakage_max_corr), True),
         ("date_continuity", F.coalesce(F.col("max_gap") <= m.max_gap_days, F.lit(True)), F.col("max_gap"),
          F.lit(float(m.max_gap_days)), False),
         ("feature_nulls", n_high_null == 0, n_high_null, F.lit(0.0), False),

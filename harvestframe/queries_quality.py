@@ -177,8 +177,8 @@ qs AS (SELECT g.symbol, count(*) AS n, avg(CASE WHEN g.target IS NULL THEN 1.0 E
 qd AS (SELECT qs.*, coalesce((SELECT count(*) FROM psi WHERE psi.symbol = qs.symbol AND psi.psi > {m.psi_critical}), 0) AS n_drift FROM qs),
 qrep AS (
   SELECT symbol, 'row_count' AS "check", n >= {min_rows(cfg)} AS passed, CAST(n AS DOUBLE) AS value, {min_rows(cfg)}.0 AS threshold, true AS hard FROM qd UNION ALL
-  SELECT symbol, 'target_nulls', target_null <= {3.0 * h} / n, target_null, {3.0 * h} / n, true FROM qd UNION ALL
-  SELECT symbol, 'leakage_check', coalesce(abs(leak_corr) < {m.leakage_max_corr}, false), leak_corr, {m.leakage_max_corr}, true FROM qd UNION ALL
+  SELECT symbol, 'target_nulls', target_null <= {3.0 * h} / n, round(target_null * 100, 2), round({3.0 * h} / n * 100, 2), true FROM qd UNION ALL
+  SELECT symbol, 'leakage_check', coalesce(abs(leak_corr) < {m.leakage_max_corr}, false), round(leak_corr, 4), {m.leakage_max_corr}, true FROM qd UNION ALL
   SELECT symbol, 'date_continuity', coalesce(max_gap <= {m.max_gap_days}, true), max_gap, {m.max_gap_days}, false FROM qd UNION ALL
   SELECT symbol, 'feature_nulls', n_high_null = 0, n_high_null, 0, false FROM qd UNION ALL
   SELECT symbol, 'distribution_drift', n_drift = 0, n_drift, {m.psi_critical}, false FROM qd UNION ALL
