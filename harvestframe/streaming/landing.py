@@ -13,7 +13,6 @@ supported on streams: features run in batch on the bronze output.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harvestframe.sources.bronze import write_bronze
@@ -32,11 +31,3 @@ def land_stream(spark: SparkSession, landing: str, schema: T.StructType, bronze_
     return (stream.writeStream.foreachBatch(upsert)
                   .option("checkpointLocation", checkpoint)
                   .trigger(availableNow=True).start())
-
-
-def hourly_stream_counts(spark: SparkSession, landing: str, schema: T.StructType, watermark: str = "1 day") -> DataFrame:
-    """Streaming hourly OHLC count per symbol with a watermark (append output)."""
-    s = spark.readStream.schema(schema).parquet(landing)
-    return (s.withWatermark("ts", watermark)
-             .groupBy("symbol", F.window("ts", "1 hour"))
-             .agg(F.count(F.lit(1)).alias("events"), F.max("value").alias("high"), F.min("value").alias("low")))
