@@ -12,7 +12,8 @@ from harvestframe.functions.numeric import div
 
 def null_rates(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """A3: (keys..., column, null_rate) from one aggregation, unpivoted."""
-    wide = df.groupBy(*keys).agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    aggs = [F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols]
+    wide = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     return wide.unpivot(list(keys), list(cols), "column", "null_rate")
 
 

@@ -67,4 +67,5 @@ def score_latest(gold: DataFrame, model, feature_cols: Sequence[str], stats: Dat
     out = last.select(*keys, snapshot_map(snap).alias("snapshot")).join(
         pred.select(*keys, "date", "prediction"), list(keys))
     return out.select(*keys, "date", F.round("prediction", 4).alias("predicted_return_pct"),
-                      direction(F.col("prediction"), cfg).alias("direction"), "snapshot")
+                      direction(F.col("prediction"), cfg).alias("direction"),
+                      F.lit(cfg.features.target_horizon_days).alias("horizon_days"), "snapshot")

@@ -486,3 +486,24 @@ def t5_union(spark, sf):
     w = T.weather_long(spark, sf)
     regions = [r[0] for r in T.table(spark, sf, "region").select("r_name").collect()]  # 5-row dimension
     return union_all([w.where(F.col("region") == r) for r in regions])
+
+
+SIL_NR_COLS = ["open", "high", "low", "close", "volume", "returns_1d", "log_return_1d", "high_low_pct", "tmax_f",
+               "tmin_f", "prcp_in", "snow_mm", "wheat_close", "crude_close", "usd_close", "day_of_week", "month"]
+WX_COLS = ["tmax_f", "tmin_f", "prcp_in", "snow_mm"]
+
+
+@register("a3_silver_null_rates", SIL,
+          " UNION ALL ".join(f"SELECT 'silver' AS source, '{c}' AS feature, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS null_rate, "
+                             f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.05 AS above FROM silver" for c in SIL_NR_COLS)
+          + " UNION ALL " +
+          " UNION ALL ".join(f"SELECT 'weather', '{c}', avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), "
+                             f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > {CFG.transforms.max_null_rate} FROM wday" for c in WX_COLS),
+          kinds_for(["source", "feature", "null_rate", "above"], bools=("above",)))
+def a3_silver_null_rates(spark, sf):
+    """A3: silver summary (columns above 5 % NULL) and the station-mean weather columns above max_null_rate."""
+    s = null_rates(silver(spark, sf), SIL_NR_COLS, keys=()).withColumnRenamed("column", "feature")
+    w = null_rates(weather_daily(spark, sf), WX_COLS, keys=()).withColumnRenamed("column", "feature")
+    return (s.select(F.lit("silver").alias("source"), "feature", "null_rate", (F.col("null_rate") > 0.05).alias("above"))
+             .unionByName(w.select(F.lit("weather").alias("source"), "feature", "null_rate",
+                                   (F.col("null_rate") > CFG.transforms.max_null_rate).alias("above"))))
