@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from harvestframe.checks.sql import W, W_RUN, div, ln_pos, lit, rcorr, rmean, rstd, rsum
+from harvestframe.checks.sql import lit
 
 HOURLY = """
 ev AS (SELECT event_id, ts, event_type, value FROM events),

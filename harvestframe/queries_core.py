@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from harvestframe.checks import sql as S
 from harvestframe.plans.gold import build_gold
 from harvestframe.plans.silver import build_silver

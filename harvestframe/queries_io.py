@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.checks import sql as S
 from harvestframe.queries_core import silver
-from harvestframe.queries_quality import INST, bronze_futures, bronze_weather
+from harvestframe.queries_quality import bronze_weather
 from harvestframe.registry import CFG, kinds_for, register
 from harvestframe.session import scratch_path
 from harvestframe.sources import bronze as B

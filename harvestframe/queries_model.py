@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harvestframe.checks import sql as S
-from harvestframe.checks.normalize import normalize
 from harvestframe.plans import mlprep as M
 from harvestframe.plans.gold import feature_names, market_features
 from harvestframe.plans.lineage import dataset_digest, pipeline_metrics, prediction_histogram, run_record

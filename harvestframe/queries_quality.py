@@ -74,12 +74,10 @@ def v2_bronze_weather_contract(spark, sf):
     return V.report(bronze_weather(spark, sf), V.bronze_weather_rules())
 
 
-INST = ", ".join(f"('{s}', '{t}', '{lab}')" for s, t, lab in
-                 [("BUILDING", "ZC=F", "corn"), ("AUTOMOBILE", "ZW=F", "wheat"), ("FURNITURE", "CL=F", "crude"),
-                  ("HOUSEHOLD", "DX-Y.NYB", "usd")])
 # The reference's instrument tickers and labels, mapped onto the driver's segments.
 INSTRUMENTS = [("BUILDING", "ZC=F", "corn"), ("AUTOMOBILE", "ZW=F", "wheat"), ("FURNITURE", "CL=F", "crude"),
                ("HOUSEHOLD", "DX-Y.NYB", "usd")]
+INST = ", ".join(f"('{s}', '{t}', '{lab}')" for s, t, lab in INSTRUMENTS)
 
 
 def bronze_futures(spark, sf):

@@ -335,9 +335,6 @@ def a3_null_rates(spark, sf):
     return nr.withColumn("above", F.col("null_rate") > CFG.monitoring.max_feature_null_rate)
 
 
-GOLD_ALL = None
-
-
 def _a4_sql():
     from harvestframe.registry import GOLD_COLS
     cols = [c for c in GOLD_COLS if c != "symbol"]
