@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestframe.functions.numeric import nan_to_null
@@ -30,14 +30,17 @@ def dedupe_keep(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] |
                 keep: str = "first") -> DataFrame:
     """T4: one row per key, the earliest (``first``) or latest (``last``) by ``order_cols``.
 
-    Without order columns, pandas' file order has no Spark equivalent, so the row
-    is chosen by the remaining columns to stay deterministic.
+    An aggregate, ``min_by``/``max_by`` of the whole row by the ordering struct, so
+    duplicates collapse map-side (partial aggregation) before the shuffle.  Without
+    order columns, pandas' file order has no Spark equivalent and the row is chosen by
+    the remaining columns, to stay deterministic.
     """
-    order = list(order_cols) if order_cols else [c for c in df.columns if c not in keys]
-    ordering: list[Column] = [F.col(c).asc_nulls_last() if keep == "first" else F.col(c).desc_nulls_last()
-                              for c in order]
-    w = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    order = list(order_cols) if order_cols else others
+    pick = F.min_by if keep == "first" else F.max_by
+    best = df.groupBy(*keys).agg(pick(F.struct(*others), F.struct(*order)).alias("__row"))
+    return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

@@ -170,3 +170,14 @@ def test_exact_percentiles_both_paths_match_numpy(spark, limit):
                                                max_group_rows=limit).collect()}
     for g, sub in pdf.groupby("g"):
         np.testing.assert_allclose(got[g], np.percentile(sub.v.values, [p * 100 for p in probs]), rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("keep,expected", [("first", 1.0), ("last", 3.0)])
+def test_dedupe_keeps_by_ingest_order(spark, keep, expected):
+    from harvestframe.operators.reshape import dedupe_keep
+    rows = [("s", dt.date(2024, 1, 2), 2.0, "2024-01-02"), ("s", dt.date(2024, 1, 2), 1.0, "2024-01-01"),
+            ("s", dt.date(2024, 1, 2), 3.0, "2024-01-03"), ("s", dt.date(2024, 1, 3), 9.0, "2024-01-01")]
+    df = spark.createDataFrame(rows, "symbol string, date date, close double, ingest_date string")
+    out = {r.date: r.close for r in dedupe_keep(df, ["symbol", "date"], ["ingest_date"], keep).collect()}
+    assert out == {dt.date(2024, 1, 2): expected, dt.date(2024, 1, 3): 9.0}
+    assert dedupe_keep(df, ["symbol", "date"], ["ingest_date"], keep).columns == df.columns
