@@ -122,3 +122,29 @@ def series_length(keys=KEY) -> Column:
 # W10
 def day_gap(date_col: str = ORDER, keys=KEY) -> Column:
     return F.datediff(F.col(date_col), F.lag(F.col(date_col)).over(series(keys, date_col)))
+
+
+# W4 for long frames: Spark re-scans a sliding frame for every row (O(n*w)), so for
+# long windows the count and the mean come from differences of running sums (O(1) per
+# row, same sort).  Values are offset by the series' first value so the running sums
+# stay small; the sample std is left in-frame (cancellation, see rolling_std).
+def running_parts(c, name: str, keys=KEY, order=ORDER) -> dict:
+    c = col(c)
+    x0 = F.first(c, ignorenulls=True).over(whole(keys, order))
+    return {f"{name}__x0": x0,
+            f"{name}__s": F.sum(c - x0).over(running(keys, order)),
+            f"{name}__n": F.count(c).over(running(keys, order))}
+
+
+def rolling_mean_from_parts(name: str, n: int, min_periods: int | None = None, keys=KEY, order=ORDER) -> Column:
+    """Rolling mean over ``n`` rows from the columns of ``running_parts(..., name)``."""
+    s, cnt = F.col(f"{name}__s"), F.col(f"{name}__n")
+    ws = s - F.coalesce(lag(s, n, keys, order), F.lit(0.0))
+    wn = cnt - F.coalesce(lag(cnt, n, keys, order), F.lit(0))
+    mp = n if min_periods is None else min_periods
+    return F.when(wn >= mp, F.col(f"{name}__x0") + ws / wn)
+
+
+def count_from_parts(name: str, n: int, keys=KEY, order=ORDER) -> Column:
+    cnt = F.col(f"{name}__n")
+    return cnt - F.coalesce(lag(cnt, n, keys, order), F.lit(0))
