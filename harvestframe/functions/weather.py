@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import FeatureConfig
 from harvestframe.functions.numeric import clip_lower, div, flag, nullif0
-from harvestframe.operators.windows import (KEY, ORDER, count_from_parts, rolling_mean, rolling_mean_from_parts, rolling_sum,
+from harvestframe.operators.windows import (KEY, ORDER, add_long_moments, count_from_parts, rolling_mean,
+                                            rolling_mean_from_parts, rolling_sum,
                                             running_parts, running_sum_keep_null, trailing)
 
 
@@ -24,26 +25,37 @@ def season_year(date_col: str, start_month: int):
     return F.year(d) if start_month == 1 else F.year(F.add_months(d, -(start_month - 1)))
 
 
-def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative: bool = False) -> DataFrame:
+def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative: bool = False,
+        block: int | None = None) -> DataFrame:
     tmax, tmin, prcp = F.col("tmax_f"), F.col("tmin_f"), F.col("prcp_in")
     L, mp = f.long_window, f.long_min_periods
-    # 365-row means and counts from running sums (O(1) per row); the std stays in-frame
-    df = df.withColumns({**running_parts(prcp, "__prcp", keys, order), **running_parts(tmax, "__tmax", keys, order)})
-    prcp_mean = rolling_mean_from_parts("__prcp", L, mp, keys, order)
-    prcp_std = F.when(count_from_parts("__prcp", L, keys, order) >= mp,
-                      F.stddev_samp(prcp).over(trailing(L, keys, order)))
+    if block and block >= L:
+        # O(1) per row: block-anchored running moments sharing the caller's (block, row) sort
+        df = add_long_moments(df, "prcp_in", L, "__prcp", keys, block=block)
+        df = add_long_moments(df, "tmax_f", L, "__tmax", keys, block=block)
+        prcp_mean = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_mean"))
+        prcp_std = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_std"))
+        tmax_mean = F.when(F.col("__tmax_n") >= mp, F.col("__tmax_mean"))
+    else:
+        # means and counts from running sums (O(1) per row); the std in-frame
+        df = df.withColumns({**running_parts(prcp, "__prcp", keys, order), **running_parts(tmax, "__tmax", keys, order)})
+        prcp_mean = rolling_mean_from_parts("__prcp", L, mp, keys, order)
+        prcp_std = F.when(count_from_parts("__prcp", L, keys, order) >= mp,
+                          F.stddev_samp(prcp).over(trailing(L, keys, order)))
+        tmax_mean = rolling_mean_from_parts("__tmax", L, mp, keys, order)
     df = df.withColumns({
         "gdd_daily": clip_lower((tmax + tmin) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
         "heat_stress_flag": flag(tmax > F.lit(float(f.gdd_heat_stress_f))),
         "__season": season_year("date", f.season_start_month),
         "prcp_zscore": div(prcp - prcp_mean, nullif0(prcp_std)),
         "tmax_7d_avg": rolling_mean(tmax, 7, keys=keys, order=order),
-        "tmax_anomaly_30d": tmax - rolling_mean_from_parts("__tmax", L, mp, keys, order),
+        "tmax_anomaly_30d": tmax - tmax_mean,
         **{f"prcp_sum_{w}d": rolling_sum(prcp, w, 1, keys=keys, order=order) for w in f.prcp_sum_windows},
     })
     df = df.withColumns({f"heat_stress_{w}d": rolling_sum("heat_stress_flag", w, 1, keys=keys, order=order)
                          for w in f.heat_windows})
-    df = df.drop(*[f"{p}__{x}" for p in ("__prcp", "__tmax") for x in ("x0", "s", "n")])
+    df = df.drop(*[f"{p}{x}" for p in ("__prcp", "__tmax") for x in ("__x0", "__s", "__n", "_n", "_mean", "_std")
+                   if f"{p}{x}" in df.columns])
     return df if defer_cumulative else add_cumulative(df, f, keys, order)
 
 

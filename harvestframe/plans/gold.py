@@ -73,7 +73,7 @@ def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
     df = price.add(df, f, keys, order)
     df = technical.add(df, f, keys, order)
     df = volatility.add(df, f, keys, order)
-    df = weather.add(df, f, keys, order, defer_cumulative=True)
+    df = weather.add(df, f, keys, order, defer_cumulative=True, block=block)
     df = calendar.add(df, f)
     df = cross.add(df, f, keys, order)
     df = target.add(df, f, keys, order)

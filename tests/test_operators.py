@@ -181,3 +181,31 @@ def test_dedupe_keeps_by_ingest_order(spark, keep, expected):
     out = {r.date: r.close for r in dedupe_keep(df, ["symbol", "date"], ["ingest_date"], keep).collect()}
     assert out == {dt.date(2024, 1, 2): expected, dt.date(2024, 1, 3): 9.0}
     assert dedupe_keep(df, ["symbol", "date"], ["ingest_date"], keep).columns == df.columns
+
+
+@pytest.mark.parametrize("block", [365, 400, 1243])
+def test_long_moments_match_pandas(spark, block):
+    """Block-anchored O(1) rolling count/mean/std across block boundaries, with NULLs and a trend."""
+    from pyspark.sql import functions as F
+    from harvestframe.operators.windows import add_long_moments, row_index
+    rng = np.random.default_rng(11)
+    frames = []
+    for s, n in (("a", 3000), ("b", 700)):
+        x = 50 + 0.01 * np.arange(n) + rng.normal(0, 3, n)
+        x[rng.random(n) < 0.1] = np.nan
+        frames.append(pd.DataFrame({"symbol": s, "date": pd.date_range("2000-01-01", periods=n).date, "x": x}))
+    pdf = pd.concat(frames)
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "symbol string, date date, x double")
+    df = df.withColumn("__rn", row_index(("symbol",), "date"))
+    df = df.withColumn("__blk", F.floor(F.col("__rn") / F.lit(block)))
+    out = add_long_moments(df, "x", 365, "m", ("symbol",), block=block).toPandas().sort_values(["symbol", "date"])
+    for s, g in pdf.groupby("symbol"):
+        o = out[out.symbol == s]
+        r = g["x"].rolling(365, min_periods=30)
+        exp_mean, exp_std = r.mean().values, r.std().values
+        ok = g["x"].rolling(365, min_periods=30).count().values >= 30
+        got_mean = np.where(o["m_n"].values >= 30, o["m_mean"].astype(float).values, np.nan)
+        got_std = np.where(o["m_n"].values >= 30, o["m_std"].astype(float).values, np.nan)
+        np.testing.assert_array_equal(~np.isnan(exp_mean), ok)
+        np.testing.assert_allclose(got_mean[ok], exp_mean[ok], rtol=1e-12)
+        np.testing.assert_allclose(got_std[ok], exp_std[ok], rtol=1e-10)
