@@ -31,8 +31,7 @@ def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative
     L, mp = f.long_window, f.long_min_periods
     if block and block >= L:
         # O(1) per row: block-anchored running moments sharing the caller's (block, row) sort
-        df = add_long_moments(df, "prcp_in", L, "__prcp", keys, block=block)
-        df = add_long_moments(df, "tmax_f", L, "__tmax", keys, block=block)
+        df = add_long_moments(df, ["prcp_in", "tmax_f"], L, ["__prcp", "__tmax"], keys, block=block)
         prcp_mean = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_mean"))
         prcp_std = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_std"))
         tmax_mean = F.when(F.col("__tmax_n") >= mp, F.col("__tmax_mean"))

@@ -150,7 +150,7 @@ def count_from_parts(name: str, n: int, keys=KEY, order=ORDER) -> Column:
     return cnt - F.coalesce(lag(cnt, n, keys, order), F.lit(0))
 
 
-def add_long_moments(df, c: str, n: int, name: str, keys=KEY, blk: str = "__blk", rn: str = "__rn",
+def add_long_moments(df, cols, n: int, names=None, keys=KEY, blk: str = "__blk", rn: str = "__rn",
                      block: int = 0):
     """Rolling count, mean and sample std over ``n`` rows in O(1) per row (W4, long windows).
 
@@ -160,56 +160,63 @@ def add_long_moments(df, c: str, n: int, name: str, keys=KEY, blk: str = "__blk"
     plus (when it reaches back) the previous block's suffix = that block's total minus
     its prefix at row t-n.  Sums are taken of ``x - anchor`` with the block's first
     value as anchor, so a difference never spans more than one block, and the two parts
-    are merged with the parallel-variance formula (Chan et al.).  Adds
-    ``{name}_n``, ``{name}_mean``, ``{name}_std``.
+    are merged with the parallel-variance formula (Chan et al.).  For each column ``c``
+    (output name ``name``) adds ``{name}_n``, ``{name}_mean``, ``{name}_std``; several
+    columns share the same window stages.
     """
     if block < n:
         raise ValueError("block must be at least the window length")
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    names = [names] if isinstance(names, str) else list(names or cols)
     keys = list(keys)
-    x = F.col(c)
     wblk_all = Window.partitionBy(*keys, blk).orderBy(rn).rowsBetween(Window.unboundedPreceding,
                                                                       Window.unboundedFollowing)
     wblk_run = Window.partitionBy(*keys, blk).orderBy(rn).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wser = Window.partitionBy(*keys).orderBy(blk, rn)
     wprev = Window.partitionBy(*keys).orderBy(blk).rangeBetween(-1, -1)
-    p = f"__{name}"
-    df = df.withColumn(f"{p}_a", F.first(x, ignorenulls=True).over(wblk_all))
-    d = x - F.col(f"{p}_a")
-    df = df.withColumns({f"{p}_N": F.count(x).over(wblk_run),
-                         f"{p}_S1": F.coalesce(F.sum(d).over(wblk_run), F.lit(0.0)),
-                         f"{p}_S2": F.coalesce(F.sum(d * d).over(wblk_run), F.lit(0.0))})
     end = F.col(rn) - F.col(blk) * F.lit(block) == F.lit(block - 1)
-    df = df.withColumns({
-        **{f"{p}_T{v}": F.max(F.when(end, F.col(f"{p}_{v}"))).over(wprev) for v in ("N", "S1", "S2")},
-        **{f"{p}_L{v}": F.lag(f"{p}_{v}", n).over(wser) for v in ("N", "S1", "S2", "a")},
-        f"{p}_Lb": F.lag(blk, n).over(wser),
-    })
-    inside = F.coalesce(F.col(f"{p}_Lb") == F.col(blk), F.lit(False))
-    prev = F.coalesce(F.col(f"{p}_Lb") == F.col(blk) - 1, F.lit(False))
-
-    def part_a(v):
-        return F.when(inside, F.col(f"{p}_{v}") - F.col(f"{p}_L{v}")).otherwise(F.col(f"{p}_{v}"))
-
-    def part_b(v):
-        return F.when(prev, F.col(f"{p}_T{v}") - F.col(f"{p}_L{v}")).otherwise(F.lit(0.0))
-
-    df = df.withColumns({f"{p}_nA": part_a("N").cast("double"), f"{p}_s1A": part_a("S1"), f"{p}_s2A": part_a("S2"),
-                         f"{p}_nB": part_b("N").cast("double"), f"{p}_s1B": part_b("S1"), f"{p}_s2B": part_b("S2")})
-    nA, nB = F.col(f"{p}_nA"), F.col(f"{p}_nB")
-    meanA = F.when(nA > 0, F.col(f"{p}_a") + F.col(f"{p}_s1A") / nA)
-    meanB = F.when(nB > 0, F.col(f"{p}_La") + F.col(f"{p}_s1B") / nB)
-    m2A = F.when(nA > 0, F.col(f"{p}_s2A") - F.col(f"{p}_s1A") * F.col(f"{p}_s1A") / nA)
-    m2B = F.when(nB > 0, F.col(f"{p}_s2B") - F.col(f"{p}_s1B") * F.col(f"{p}_s1B") / nB)
-    df = df.withColumns({f"{p}_mA": meanA, f"{p}_mB": meanB, f"{p}_qA": m2A, f"{p}_qB": m2B})
-    tot = nA + nB
-    mA, mB = F.col(f"{p}_mA"), F.col(f"{p}_mB")
-    mean = (F.coalesce(nA * mA, F.lit(0.0)) + F.coalesce(nB * mB, F.lit(0.0))) / tot
-    delta = mB - mA
-    m2 = (F.coalesce(F.col(f"{p}_qA"), F.lit(0.0)) + F.coalesce(F.col(f"{p}_qB"), F.lit(0.0))
-          + F.coalesce(delta * delta * nA * nB / tot, F.lit(0.0)))
-    df = df.withColumns({
-        f"{name}_n": tot,
-        f"{name}_mean": F.when(tot > 0, mean),
-        f"{name}_std": F.when(tot > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (tot - 1))),
-    })
-    return df.drop(*[c2 for c2 in df.columns if c2.startswith(p + "_")])
+    ps = [f"__{nm}" for nm in names]
+    df = df.withColumns({f"{p}_a": F.first(F.col(c), ignorenulls=True).over(wblk_all) for c, p in zip(cols, ps)})
+    stage = {}
+    for c, p in zip(cols, ps):
+        d = F.col(c) - F.col(f"{p}_a")
+        stage.update({f"{p}_N": F.count(F.col(c)).over(wblk_run),
+                      f"{p}_S1": F.coalesce(F.sum(d).over(wblk_run), F.lit(0.0)),
+                      f"{p}_S2": F.coalesce(F.sum(d * d).over(wblk_run), F.lit(0.0))})
+    df = df.withColumns(stage)
+    stage = {}
+    for p in ps:
+        stage.update({f"{p}_T{v}": F.max(F.when(end, F.col(f"{p}_{v}"))).over(wprev) for v in ("N", "S1", "S2")})
+        stage.update({f"{p}_L{v}": F.lag(f"{p}_{v}", n).over(wser) for v in ("N", "S1", "S2", "a")})
+    stage["__lm_Lb"] = F.lag(blk, n).over(wser)
+    df = df.withColumns(stage)
+    inside = F.coalesce(F.col("__lm_Lb") == F.col(blk), F.lit(False))
+    prev = F.coalesce(F.col("__lm_Lb") == F.col(blk) - 1, F.lit(False))
+    for nm, p in zip(names, ps):
+        def part_a(v, p=p):
+            return F.when(inside, F.col(f"{p}_{v}") - F.col(f"{p}_L{v}")).otherwise(F.col(f"{p}_{v}"))
+
+        def part_b(v, p=p):
+            return F.when(prev, F.col(f"{p}_T{v}") - F.col(f"{p}_L{v}")).otherwise(F.lit(0.0))
+
+        df = df.withColumns({f"{p}_nA": part_a("N").cast("double"), f"{p}_s1A": part_a("S1"),
+                             f"{p}_s2A": part_a("S2"), f"{p}_nB": part_b("N").cast("double"),
+                             f"{p}_s1B": part_b("S1"), f"{p}_s2B": part_b("S2")})
+        nA, nB = F.col(f"{p}_nA"), F.col(f"{p}_nB")
+        df = df.withColumns({
+            f"{p}_mA": F.when(nA > 0, F.col(f"{p}_a") + F.col(f"{p}_s1A") / nA),
+            f"{p}_mB": F.when(nB > 0, F.col(f"{p}_La") + F.col(f"{p}_s1B") / nB),
+            f"{p}_qA": F.when(nA > 0, F.col(f"{p}_s2A") - F.col(f"{p}_s1A") * F.col(f"{p}_s1A") / nA),
+            f"{p}_qB": F.when(nB > 0, F.col(f"{p}_s2B") - F.col(f"{p}_s1B") * F.col(f"{p}_s1B") / nB)})
+        tot = nA + nB
+        mA, mB = F.col(f"{p}_mA"), F.col(f"{p}_mB")
+        mean = (F.coalesce(nA * mA, F.lit(0.0)) + F.coalesce(nB * mB, F.lit(0.0))) / tot
+        delta = mB - mA
+        m2 = (F.coalesce(F.col(f"{p}_qA"), F.lit(0.0)) + F.coalesce(F.col(f"{p}_qB"), F.lit(0.0))
+              + F.coalesce(delta * delta * nA * nB / tot, F.lit(0.0)))
+        df = df.withColumns({
+            f"{nm}_n": tot,
+            f"{nm}_mean": F.when(tot > 0, mean),
+            f"{nm}_std": F.when(tot > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (tot - 1))),
+        })
+    return df.drop("__lm_Lb", *[c2 for c2 in df.columns if any(c2.startswith(p + "_") for p in ps)])
