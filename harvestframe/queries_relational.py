@@ -10,6 +10,7 @@ from harvestframe.functions.numeric import div, ln_pos
 from harvestframe.operators import windows as Wn
 from harvestframe.operators.asof import asof_date_map
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, with_ema
+from harvestframe.operators.joins import bounded_broadcast
 from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null, union_all
 from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
@@ -57,7 +58,7 @@ LABELS = ", ".join(f"('{s}', '{lab}')" for lab, s in [("corn", "BUILDING"), *CFG
 def p2_label_filter(spark, sf):
     """Keep one instrument by its label column (corn = BUILDING)."""
     inst = spark.createDataFrame([("BUILDING", "corn")] + [(s, lab) for lab, s in CFG.correlated], "symbol string, label string")
-    b = T.bars(spark, sf).join(F.broadcast(inst), "symbol")
+    b = T.bars(spark, sf).join(bounded_broadcast(inst), "symbol")
     return b.where(F.col("label") == "corn").drop("label")
 
 
