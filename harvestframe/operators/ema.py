@@ -112,12 +112,14 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
     for c in srcs:
         tmp[f"__first_{c}"] = F.first(c, ignorenulls=True).over(w_all)
         tmp[f"__started_{c}"] = F.count(c).over(w_run) > 0
+        # the padded column below only repeats values of c, so its minimum is min(c);
+        # taking it here keeps it in the same window operator
+        tmp[f"__min_{c}"] = F.min(c).over(w_all)
     df = df.withColumns(tmp)
     # Shift to non-negative: pad the head with the first value (y stays x_first
     # through the padding), then subtract the series minimum.
     df = df.withColumns({f"__pad_{c}": F.when(F.col(f"__started_{c}"), F.col(c)).otherwise(F.col(f"__first_{c}"))
                          for c in srcs})
-    df = df.withColumns({f"__min_{c}": F.min(f"__pad_{c}").over(w_all) for c in srcs})
     df = df.withColumns({f"__x_{c}": F.col(f"__pad_{c}") - F.col(f"__min_{c}") for c in srcs})
 
     for gi, (bsize, group) in enumerate(groups):
