@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from .mixing import op2_mix_sources
+from .quality import op8_quality_rules
+from .sharding import op1_shard_hilbert
 from .simhash import op3_simhash_near_dedup
 
 QUERIES = {
+    "op1_shard_hilbert": op1_shard_hilbert,
+    "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op8_quality_rules": op8_quality_rules,
 }
 ORACLE: dict[str, str] = {}
