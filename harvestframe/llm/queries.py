@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontam import ORACLE_OP5, op5_benchmark_decontamination
 from .mixing import op2_mix_sources
 from .quality import op8_quality_rules
 from .sharding import op1_shard_hilbert
@@ -11,6 +12,9 @@ QUERIES = {
     "op1_shard_hilbert": op1_shard_hilbert,
     "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_benchmark_decontamination": ORACLE_OP5,
+}
