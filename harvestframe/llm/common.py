@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 
 import pyarrow as pa
@@ -62,3 +64,11 @@ def n_words(text):
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def per_worker(key: str, build):
+    """What ``build()`` returns, made once in each Python worker process and kept over its tasks."""
+    store = sys.modules.setdefault("_harvestframe_worker", types.ModuleType("_harvestframe_worker")).__dict__
+    if key not in store:
+        store[key] = build()
+    return store[key]

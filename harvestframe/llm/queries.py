@@ -7,11 +7,13 @@ from .mixing import op2_mix_sources
 from .quality import op8_quality_rules
 from .sharding import op1_shard_hilbert
 from .simhash import op3_simhash_near_dedup
+from .tokens import op4_token_orc
 
 QUERIES = {
     "op1_shard_hilbert": op1_shard_hilbert,
     "op2_mix_sources": op2_mix_sources,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_token_orc": op4_token_orc,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
 }
