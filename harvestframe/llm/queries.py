@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontam import ORACLE_OP5, op5_benchmark_decontamination
+from .linededup import ORACLE_OP10, op10_line_dedup
 from .mixing import op2_mix_sources
 from .quality import op8_quality_rules
 from .sharding import op1_shard_hilbert
@@ -16,7 +17,9 @@ QUERIES = {
     "op4_token_orc": op4_token_orc,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op8_quality_rules": op8_quality_rules,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {
     "op5_benchmark_decontamination": ORACLE_OP5,
+    "op10_line_dedup": ORACLE_OP10,
 }
