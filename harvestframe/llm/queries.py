@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontam import ORACLE_OP5, op5_benchmark_decontamination
 from .linededup import ORACLE_OP10, op10_line_dedup
 from .mixing import op2_mix_sources
+from .pseudonyms import op6_pii_pseudonyms
 from .quality import op8_quality_rules
 from .sharding import op1_shard_hilbert
 from .simhash import op3_simhash_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_token_orc": op4_token_orc,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op8_quality_rules": op8_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
