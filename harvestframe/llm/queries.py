@@ -7,10 +7,11 @@ from .linededup import ORACLE_OP10, op10_line_dedup
 from .mixing import op2_mix_sources
 from .pseudonyms import op6_pii_pseudonyms
 from .quality import op8_quality_rules
-from .secrets import op9_secret_scan
+from .secretscan import op9_secret_scan
 from .sharding import op1_shard_hilbert
 from .simhash import op3_simhash_near_dedup
 from .tokens import op4_token_orc
+from .urltree import op7_url_filter
 
 QUERIES = {
     "op1_shard_hilbert": op1_shard_hilbert,
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_token_orc": op4_token_orc,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
+    "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": op10_line_dedup,
