@@ -2,8 +2,9 @@
 
 An item of q shingles inside a document of thousands has a Jaccard similarity near 0, so whole
 documents are the wrong domain. Items are partitioned by size into classes of up to 16, 32, 64, ...
-shingles, and a document is searched for a class with bound u through windows of 2u shingles, one
-from every 16th shingle on; any u shingles in a row lie within one. A window that holds 80 % of an
+shingles (from 8, 4, 2 or 1 on if there are items so short), and a document is searched for a class
+with bound u through windows of 2u shingles, one from every 16th (8th, ...) shingle on; any u
+shingles in a row lie within one. A window that holds 80 % of an
 item then has a Jaccard similarity of at least 0.19 with it, and ``HASHES`` bands of one row meet
 with a probability of 1 - (1 - 0.19)**64 > 0.999998. Windows of a class are minima of those of the
 class below, so each shingle is hashed once for all classes. Every candidate is verified by the
@@ -93,9 +94,11 @@ class Searcher:
     def __init__(self, items: list[tuple[int, bytes | None]]) -> None:
         self.powers, self.factors = _Powers(), _factors()
         self.items = [(i, s) for i, t in items if (s := shingles(normal_words(t)))]
+        bounds = [(len(s) - 1).bit_length() for _, s in self.items]  # log2 of each item's class
+        self.base = min([BASE, *(1 << b for b in bounds)])
         by_class: dict[int, list[int]] = {}
-        for k, (_, s) in enumerate(self.items):
-            by_class.setdefault(max(0, (len(s) - 1).bit_length() - BASE.bit_length() + 1), []).append(k)
+        for k, b in enumerate(bounds):
+            by_class.setdefault(b - self.base.bit_length() + 1, []).append(k)
         self.classes = {}
         for level, members in by_class.items():
             values, owners = [], []
@@ -113,10 +116,10 @@ class Searcher:
     def candidates(self, units: list[list[bytes]]) -> set[tuple[int, int]]:
         """(unit, item) pairs whose MinHashes meet in some window."""
         hashes, counts = shingle_hashes(units, self.powers)
-        blocks = -(-counts // BASE)
+        blocks = -(-counts // self.base)
         unit = np.repeat(np.arange(len(units)), blocks)
         nth = np.arange(len(unit)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        cuts = np.repeat(np.cumsum(counts) - counts, blocks) + nth * BASE
+        cuts = np.repeat(np.cumsum(counts) - counts, blocks) + nth * self.base
         least = np.stack([np.minimum.reduceat(hashes * f, cuts) for f in self.factors])
         found: set[tuple[int, int]] = set()
         step = 1
@@ -138,7 +141,8 @@ class Searcher:
     def search(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int]]:
         """(text, item, shared shingles, shingles of the item) for all items that a text contains."""
         out: list[tuple[int, int, int, int]] = []
-        overlap = (BASE << max(self.levels, 0)) + SHINGLE
+        overlap = (self.base << self.levels) + SHINGLE
+        most = max(STRETCH * self.base // BASE, 1)
         units: list[list[bytes]] = []
         owner: list[int] = []
         kept: dict[int, list[bytes]] = {}
@@ -157,11 +161,11 @@ class Searcher:
             if not words or not self.items:
                 continue
             kept[n] = words
-            for a in range(0, max(len(words) - overlap, 1), STRETCH):
-                units.append(words[a:a + STRETCH + overlap])
+            for a in range(0, max(len(words) - overlap, 1), most):
+                units.append(words[a:a + most + overlap])
                 owner.append(n)
             size += len(words)
-            if size >= STRETCH:
+            if size >= most:
                 flush()
         flush()
         return out
