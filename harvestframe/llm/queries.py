@@ -27,6 +27,5 @@ QUERIES = {
 }
 ORACLE: dict[str, str] = {
     "op5_benchmark_decontamination": ORACLE_OP5,
-    "op9_secret_scan": op9_secret_scan,
     "op10_line_dedup": ORACLE_OP10,
 }

@@ -37,3 +37,9 @@ def test_empty_table(nothing):
     for name, step in corpus_pipeline.STAGES:
         if name != "decontamination":
             assert step(nothing.sparkSession, docs, SF).count() == 0
+
+
+def test_registered_queries():
+    from harvestframe.llm.queries import ORACLE, QUERIES
+    assert all(any(k.startswith(f"op{n}_") for k in QUERIES) for n in range(1, 11))
+    assert set(ORACLE) <= set(QUERIES) and all(isinstance(v, str) for v in ORACLE.values())
