@@ -70,8 +70,9 @@ def rcorr(x: str, y: str, n: int) -> str:
             f"{div(f'covar_samp({xm}, {ym}) OVER {fr}', f'(stddev_samp({xm}) OVER {fr}) * (stddev_samp({ym}) OVER {fr})')} END)")
 
 
-def views_sql() -> str:
-    """bars and weather_long over the driver tables (FIXTURES.md views)."""
+def views_sql(gap: tuple[int, int] | None = None) -> str:
+    """bars and weather_long over the driver tables (FIXTURES.md views); ``gap`` leaves out days of the month."""
+    where = f"WHERE day(l.l_shipdate) NOT BETWEEN {gap[0]} AND {gap[1]}" if gap else ""
     return f"""
 bars AS (
   SELECT c.c_mktsegment AS symbol, CAST(o.o_orderdate AS DATE) AS date,
@@ -86,7 +87,7 @@ wx AS (
          sum(l.l_discount) AS PRCP, sum(l.l_tax) AS SNOW
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE day(l.l_shipdate) NOT BETWEEN 10 AND 20
+  {where}
   GROUP BY 1, 2),
 weather_long AS (
   SELECT strftime(date, '%Y-%m-%d') AS date, region, 'TMAX' AS datatype, TMAX AS value FROM wx UNION ALL
@@ -95,7 +96,8 @@ weather_long AS (
   SELECT strftime(date, '%Y-%m-%d'), region, 'SNOW', SNOW FROM wx)"""
 
 
-def silver_sql(cfg: Config = CFG, min_volume: float | None = None) -> str:
+def silver_sql(cfg: Config = CFG, min_volume: float | None = None, views: str | None = None) -> str:
+    """WITH-list text ending in a ``silver`` CTE, over ``views`` that define bars and weather_long."""
     t = cfg.transforms
     mv = t.min_daily_volume if min_volume is None else min_volume
     k = t.asof_tolerance_days
@@ -103,7 +105,7 @@ def silver_sql(cfg: Config = CFG, min_volume: float | None = None) -> str:
         f"max(CASE WHEN symbol = '{sym}' THEN close END) AS {lab}_close" for lab, sym in cfg.correlated)
     syms = ", ".join(f"'{s}'" for _, s in cfg.correlated)
     spine = "" if not cfg.spine_symbols else "AND symbol IN (" + ", ".join(f"'{s}'" for s in cfg.spine_symbols) + ")"
-    return views_sql() + f""",
+    return (views or views_sql()) + f""",
 wpiv AS (
   SELECT CAST(date AS DATE) AS date, region,
          min(value) FILTER (WHERE datatype = 'TMAX') AS tmax_f,

@@ -17,18 +17,23 @@ def names(f: FeatureConfig | None = None) -> list[str]:
 
 
 def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER) -> DataFrame:
+    """The features of the legs that the frame has."""
     n = f.corr_window
+    legs = [leg for leg in ("wheat", "crude", "usd") if f"{leg}_close" in df.columns]
     # The other leg's log return is taken on the spine after the left join, so a
     # holiday NULL removes two returns (as in the reference).
-    df = df.withColumns({
-        "__crude_lr": ln_pos(div(F.col("crude_close"), lag("crude_close", keys=keys, order=order))),
-        "__usd_lr": ln_pos(div(F.col("usd_close"), lag("usd_close", keys=keys, order=order))),
-        "__usd_pad": pad("usd_close", keys=keys, order=order),
-    })
-    return df.withColumns({
-        "corn_wheat_ratio": div(F.col("close"), nullif0("wheat_close")),
-        "corn_wheat_spread": F.col("close") - F.col("wheat_close"),
-        "corn_crude_corr_20d": rolling_corr("log_return_1d", "__crude_lr", n, keys=keys, order=order),
-        "usd_return_5d": pct_change_of_padded("__usd_pad", 5, keys=keys, order=order),
-        "corn_usd_corr_20d": rolling_corr("log_return_1d", "__usd_lr", n, keys=keys, order=order),
-    }).drop("__crude_lr", "__usd_lr", "__usd_pad")
+    helpers, out = {}, {}
+    for leg in legs:
+        close = F.col(f"{leg}_close")
+        if leg == "wheat":
+            out["corn_wheat_ratio"] = div(F.col("close"), nullif0("wheat_close"))
+            out["corn_wheat_spread"] = F.col("close") - close
+            continue
+        helpers[f"__{leg}_lr"] = ln_pos(div(close, lag(f"{leg}_close", keys=keys, order=order)))
+        if leg == "usd":
+            helpers["__usd_pad"] = pad("usd_close", keys=keys, order=order)
+            out["usd_return_5d"] = pct_change_of_padded("__usd_pad", 5, keys=keys, order=order)
+        out[f"corn_{leg}_corr_20d"] = rolling_corr("log_return_1d", f"__{leg}_lr", n, keys=keys, order=order)
+    if helpers:
+        df = df.withColumns(helpers)
+    return df.withColumns(out).drop(*helpers) if out else df

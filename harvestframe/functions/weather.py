@@ -27,30 +27,40 @@ def season_year(date_col: str, start_month: int):
 
 def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative: bool = False,
         block: int | None = None) -> DataFrame:
-    tmax, tmin, prcp = F.col("tmax_f"), F.col("tmin_f"), F.col("prcp_in")
+    """Nothing without temperatures, and no precipitation features without ``prcp_in``."""
+    if "tmax_f" not in df.columns:
+        return df
+    tmax, tmin = F.col("tmax_f"), F.col("tmin_f")
+    wet = "prcp_in" in df.columns
+    sources = {"__prcp": "prcp_in", "__tmax": "tmax_f"} if wet else {"__tmax": "tmax_f"}
     L, mp = f.long_window, f.long_min_periods
+    mean, std = {}, None
     if block and block >= L:
         # O(1) per row: block-anchored running moments sharing the caller's (block, row) sort
-        df = add_long_moments(df, ["prcp_in", "tmax_f"], L, ["__prcp", "__tmax"], keys, block=block)
-        prcp_mean = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_mean"))
-        prcp_std = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_std"))
-        tmax_mean = F.when(F.col("__tmax_n") >= mp, F.col("__tmax_mean"))
+        df = add_long_moments(df, list(sources.values()), L, list(sources), keys, block=block)
+        for p in sources:
+            mean[p] = F.when(F.col(f"{p}_n") >= mp, F.col(f"{p}_mean"))
+        std = F.when(F.col("__prcp_n") >= mp, F.col("__prcp_std")) if wet else None
     else:
         # means and counts from running sums (O(1) per row); the std in-frame
-        df = df.withColumns({**running_parts(prcp, "__prcp", keys, order), **running_parts(tmax, "__tmax", keys, order)})
-        prcp_mean = rolling_mean_from_parts("__prcp", L, mp, keys, order)
-        prcp_std = F.when(count_from_parts("__prcp", L, keys, order) >= mp,
-                          F.stddev_samp(prcp).over(trailing(L, keys, order)))
-        tmax_mean = rolling_mean_from_parts("__tmax", L, mp, keys, order)
-    df = df.withColumns({
+        df = df.withColumns({k: v for p, c in sources.items() for k, v in running_parts(F.col(c), p, keys, order).items()})
+        for p in sources:
+            mean[p] = rolling_mean_from_parts(p, L, mp, keys, order)
+        if wet:
+            std = F.when(count_from_parts("__prcp", L, keys, order) >= mp,
+                         F.stddev_samp(F.col("prcp_in")).over(trailing(L, keys, order)))
+    new = {
         "gdd_daily": clip_lower((tmax + tmin) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
         "heat_stress_flag": flag(tmax > F.lit(float(f.gdd_heat_stress_f))),
         "__season": season_year("date", f.season_start_month),
-        "prcp_zscore": div(prcp - prcp_mean, nullif0(prcp_std)),
         "tmax_7d_avg": rolling_mean(tmax, 7, keys=keys, order=order),
-        "tmax_anomaly_30d": tmax - tmax_mean,
-        **{f"prcp_sum_{w}d": rolling_sum(prcp, w, 1, keys=keys, order=order) for w in f.prcp_sum_windows},
-    })
+        "tmax_anomaly_30d": tmax - mean["__tmax"],
+    }
+    if wet:
+        prcp = F.col("prcp_in")
+        new["prcp_zscore"] = div(prcp - mean["__prcp"], nullif0(std))
+        new |= {f"prcp_sum_{w}d": rolling_sum(prcp, w, 1, keys=keys, order=order) for w in f.prcp_sum_windows}
+    df = df.withColumns(new)
     df = df.withColumns({f"heat_stress_{w}d": rolling_sum("heat_stress_flag", w, 1, keys=keys, order=order)
                          for w in f.heat_windows})
     df = df.drop(*[f"{p}{x}" for p in ("__prcp", "__tmax") for x in ("__x0", "__s", "__n", "_n", "_mean", "_std")
@@ -61,6 +71,8 @@ def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER, defer_cumulative
 def add_cumulative(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER) -> DataFrame:
     """F18 GDD running sum per season.  Its window is partitioned by (series, season);
     a caller runs it last so the other windows keep sharing one sort."""
+    if "gdd_daily" not in df.columns:
+        return df
     # a chunked build passes the exact series-wide value in "__gdd_cum"
     gdd = (F.col("__gdd_cum") if "__gdd_cum" in df.columns
            else running_sum_keep_null("gdd_daily", keys=(*keys, "__season"), order=order))

@@ -92,12 +92,20 @@ def report(df: DataFrame, rules: Sequence[Rule], required_cols: Sequence[str] =
     return out.withColumn("passed", F.col("failures") == 0)
 
 
-def validate(df: DataFrame, rules: Sequence[Rule], layer: str, required_cols: Sequence[str] = ()) -> DataFrame:
-    """V1: run the contract; raise ``DataContractError`` listing every failure, else return ``df``."""
+def cast_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The frame with the contract's types; a value that does not fit fails the query (ANSI casts)."""
+    return df.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in df.columns})
+
+
+def validate(df: DataFrame, rules: Sequence[Rule], layer: str, required_cols: Sequence[str] = (),
+             types: dict[str, str] | None = None) -> DataFrame:
+    """V1: cast to the contract's types and run it; raise ``DataContractError`` listing every failure,
+    else return the cast frame."""
+    df = cast_types(df, types or {})
     bad = [r for r in report(df, rules, required_cols).collect() if not r["passed"]]  # one row per rule
     if bad:
         lines = "\n".join(f"  {r['rule']} [{r['column']}]: {r['failures']} failures" for r in bad)
-        raise DataContractError(f"Data contract violation layer={layer}: {len(bad)} rules failed\n{lines}")
+        raise DataContractError(f"{layer} breaks {len(bad)} rules of its contract:\n{lines}")
     return df
 
 
@@ -111,9 +119,9 @@ def bronze_weather_rules() -> list[Rule]:
             not_null("station_id"), not_null("region"), non_empty()]
 
 
-def bronze_futures_rules(prefix_case: bool = False) -> list[Rule]:
+def bronze_futures_rules() -> list[Rule]:
     """V3 (reference column names are capitalised; ours are normalised to lower case)."""
-    o, h, l, c, v = ("Open", "High", "Low", "Close", "Volume") if prefix_case else ("open", "high", "low", "close", "volume")
+    o, h, l, c, v = "open", "high", "low", "close", "volume"
     return [not_null("date"), gt(o, 0), gt(h, 0), gt(l, 0), gt(c, 0), ge(v, 0),
             not_null("ticker"), not_null("label"), col_ge_col(h, l), col_ge_col(h, o)]
 
@@ -122,6 +130,11 @@ SILVER_REQUIRED = ("date", "day_of_week", "open", "high", "low", "close", "volum
                    "wheat_close", "crude_close", "usd_close", "tmax_f", "tmin_f", "prcp_in")
 
 
+SILVER_TYPES = {"date": "date", "day_of_week": "int", "month": "int", **{c: "double" for c in (
+    "open", "high", "low", "close", "volume", "returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in", "snow_mm",
+    "wheat_close", "crude_close", "usd_close")}}
+
+
 def silver_rules(keys: Sequence[str] = ("symbol", "date")) -> list[Rule]:
     """V4; "dates ascending" has no meaning on an unordered table: key uniqueness replaces it."""
     return [not_null("date"), isin("day_of_week", range(7)), gt("open", 0), gt("high", 0), gt("low", 0),
@@ -132,6 +145,9 @@ def silver_rules(keys: Sequence[str] = ("symbol", "date")) -> list[Rule]:
 GOLD_REQUIRED = ("date", "close", "rsi", "bb_pct_b", "gdd_cumulative", "target")
 
 
+GOLD_TYPES = {"date": "date", **{c: "double" for c in ("close", "rsi", "bb_pct_b", "gdd_cumulative", "target")}}
+
+
 def gold_rules(keys: Sequence[str] = ("symbol", "date")) -> list[Rule]:
     """V5."""
     return [not_null("date"), gt("close", 0), between("rsi", 0, 100), ge("gdd_cumulative", 0, nullable=True),

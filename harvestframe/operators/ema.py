@@ -80,9 +80,9 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
     """Add one EMA column per spec.
 
     Leading NULLs of a source are skipped (the EMA starts at its first value, as
-    pandas does); rows before it get NULL.  Sources must have no NULL after
-    their first value (true for closes, price deltas and MACD); an interior NULL
-    yields NULL on that row.
+    pandas does); rows before it get NULL.  A NULL after a source's first value
+    fails the query (``raise_error``): with a gap the weights depend on its length,
+    which the closed form does not hold.
 
     A caller that already has the 0-based row index ``rn`` and the block number
     ``blk = rn div block`` passes them: every window here is then ordered by
@@ -116,6 +116,10 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
         # taking it here keeps it in the same window operator
         tmp[f"__min_{c}"] = F.min(c).over(w_all)
     df = df.withColumns(tmp)
+    for c in srcs:
+        gap = F.col(f"__started_{c}") & F.col(c).isNull()
+        message = F.lit(f"EMA of {c}: NULL after the first value")
+        df = df.withColumn(f"__started_{c}", F.when(gap, F.raise_error(message).cast("boolean")).otherwise(F.col(f"__started_{c}")))
     # Shift to non-negative: pad the head with the first value (y stays x_first
     # through the padding), then subtract the series minimum.
     df = df.withColumns({f"__pad_{c}": F.when(F.col(f"__started_{c}"), F.col(c)).otherwise(F.col(f"__first_{c}"))
@@ -146,7 +150,7 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
             b = 1.0 - s.alpha
             y = (F.col(f"__loc_{s.out}") + F.pow(F.lit(b), F.col(j) + 1.0) * F.col(f"__carry_{s.out}")
                  + F.col(f"__min_{s.src}"))
-            outs[s.out] = F.when(F.col(f"__started_{s.src}") & F.col(s.src).isNotNull(), y)
+            outs[s.out] = F.when(F.col(f"__started_{s.src}"), y)
         df = df.withColumns(outs)
         df = df.drop(j, *[f"__loc_{s.out}" for s in group], *[f"__carry_{s.out}" for s in group])
         if own:

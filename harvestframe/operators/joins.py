@@ -1,25 +1,8 @@
-"""Join helpers: size-checked broadcast (J3, S3) and positional concat note."""
+"""Date-keyed left join.  Broadcasts are left to Spark's own size checks (statistics, and AQE at runtime)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension read straight from files is broadcast only after its row count is
-# checked against this bound; anything larger is left to a shuffle join (and to
-# AQE, which may still broadcast after measuring the shuffle output at runtime).
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``.
-
-    Use it on small dimension tables (nations, regions, stations, instruments):
-    counting them is cheap and cuts nothing out of the big side's plan.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
 
 def left_join_on_date(spine: DataFrame, dim: DataFrame, on=("date",)) -> DataFrame:
     """Left join of a date-keyed table (holidays stay NULL).

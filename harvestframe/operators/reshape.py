@@ -12,17 +12,17 @@ from harvestframe.functions.numeric import nan_to_null
 
 
 def pivot_first_non_null(df: DataFrame, index: Sequence[str], pivot_col: str, values: Sequence[str],
-                         value_col: str = "value", order_col: str | None = None) -> DataFrame:
+                         value_col: str = "value", order_cols: Sequence[str] | None = None) -> DataFrame:
     """A1: ``pivot_table(aggfunc="first")``: first non-null value per cell.
 
-    "First" is by ``order_col`` (ingest order) when given; without it the value is
-    deterministic (the smallest) since Spark has no file order.  Cells with only
+    "First" is by ``order_cols`` (ingest order) when given, the smallest of equals;
+    without them the value is deterministic (the smallest) since Spark has no file order.  Cells with only
     NULLs are NULL and an index group whose every value is NULL disappears.
     Explicit pivot values avoid the extra job that discovers them.
     """
     v = nan_to_null(value_col)
     src = df.where(v.isNotNull())
-    agg = F.min_by(value_col, order_col) if order_col else F.min(value_col)
+    agg = F.min_by(value_col, F.struct(*order_cols, value_col)) if order_cols else F.min(value_col)
     return src.groupBy(*index).pivot(pivot_col, list(values)).agg(agg)
 
 
@@ -37,12 +37,22 @@ def dedupe_keep(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] |
     """
     keys = list(keys)
     others = [c for c in df.columns if c not in keys]
-    order = list(order_cols) if order_cols else others
+    order = [*(order_cols or ()), *[c for c in others if c not in (order_cols or ())]]  # ties: by the other columns
     pick = F.min_by if keep == "first" else F.max_by
     best = df.groupBy(*keys).agg(pick(F.struct(*others), F.struct(*order)).alias("__row"))
     return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` as it is; running it fails if a key repeats.  One row per key stays, so it costs a partial aggregate."""
+    keys = list(keys)
+    others = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.first(F.struct(*others)).alias("__row"), F.count(F.lit(1)).alias("__n"))
+    message = F.concat(F.lit(f"repeated key ({', '.join(keys)}) and no ingest order: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    row = F.when(F.col("__n") == 1, F.col("__row")).otherwise(F.raise_error(message))
+    return one.select(*keys, row.alias("__row")).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """T5: vertical concatenation by column name; missing columns become NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -18,6 +18,7 @@ from harvestframe.operators.chunking import CHUNK, HOME, POS, running_sum_with_c
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_memory, shared_block, with_ema
 from harvestframe.operators.windows import lag, pad, row_index
 
+# The layer's column names and the columns that are no features.
 SILVER_PASSTHROUGH = ["returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
                       "snow_mm", "wheat_close", "crude_close", "usd_close", "day_of_week", "month"]
 EXCLUDE = {"date", "target", "target_horizon", "open", "high", "low", "close", "volume", "symbol"}
@@ -36,6 +37,11 @@ def gold_columns(cfg: Config = Config()) -> list[str]:
     return silver + feats + ["target", "target_horizon"]
 
 
+def present_columns(df: DataFrame, cfg: Config = Config()) -> list[str]:
+    """The gold columns that a frame with features has, in order (P9: those of absent sources are left out)."""
+    return [c for c in gold_columns(cfg) if c in df.columns]
+
+
 def feature_columns(df: DataFrame) -> list[str]:
     """Numeric columns minus the exclusion set, in frame order."""
     return [f.name for f in df.schema.fields
@@ -109,7 +115,8 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
     are the same as the one-partition-per-series plan."""
     chunk_rows = chunk_rows or cfg.series_chunk_rows
     if not chunk_rows:
-        return _features(silver, cfg).select(*gold_columns(cfg))
+        g = _features(silver, cfg)
+        return g.select(*present_columns(g, cfg))
     keys = ("symbol",)
     f = cfg.features
     d = with_positions(silver, keys, "date", F.date_trunc(bucket, F.col("date")))
@@ -118,7 +125,8 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
     a = a.withColumn("__delta", F.col("close") - lag("close", keys=(*keys, CHUNK)))
     a = a.where(F.col(HOME)).withColumns({
         "__obv_term": F.coalesce(F.signum("__delta") * F.col("volume"), F.lit(0.0)),
-        "__gdd": clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
+        "__gdd": (clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0)
+                  if "tmax_f" in silver.columns else F.lit(None).cast("double")),
         "__season": weather.season_year("date", f.season_start_month),
     }).drop("__delta", CHUNK, HOME)
     a = a.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)))
@@ -128,7 +136,7 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
     # phase B: full halo, the unchanged feature chain on (symbol, chunk), home rows kept
     b = with_halo(a, chunk_rows, back=lookback_rows(cfg), ahead=f.target_horizon_days)
     g = _features(b, cfg, keys=(*keys, CHUNK))
-    return g.where(F.col(HOME)).select(*gold_columns(cfg))
+    return g.where(F.col(HOME)).select(*present_columns(g, cfg))
 
 
 def market_features(cfg: Config = Config()) -> list[str]:

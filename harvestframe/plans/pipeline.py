@@ -30,12 +30,12 @@ def run_pipeline(spark: SparkSession, bars: DataFrame, weather_long: DataFrame,
     silver_path = write_table(silver, f"{root}/silver")
     silver = read_table(spark, silver_path)
     if validate:
-        V.validate(silver, V.silver_rules(), "silver", V.SILVER_REQUIRED)
+        silver = V.validate(silver, V.silver_rules(), "silver", V.SILVER_REQUIRED, V.SILVER_TYPES)
     gold = build_gold(silver, cfg)
     gold_path = write_table(gold, f"{root}/gold")
     gold = read_table(spark, gold_path)
     if validate:
-        V.validate(gold, V.gold_rules(), "gold", V.GOLD_REQUIRED)
+        gold = V.validate(gold, V.gold_rules(), "gold", V.GOLD_REQUIRED, V.GOLD_TYPES)
     feats = feature_columns(gold)
     report = quality_report(gold, feats, cfg)
     report_path = write_table(report, f"{root}/quality")

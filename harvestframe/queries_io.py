@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from harvestframe.checks import sql as S
 from harvestframe.queries_core import silver
-from harvestframe.queries_quality import bronze_weather
+from harvestframe.queries_quality import QSQL, bronze_weather
 from harvestframe.registry import CFG, kinds_for, register
 from harvestframe.session import scratch_path
 from harvestframe.sources import bronze as B
@@ -56,7 +56,7 @@ BR_KINDS = kinds_for(BR_COLS, dates=(), strs={"source", "ingest_date", "date", "
           kinds_for(["date", "region", "datatype", "value", "station_id", "year"], ints=("year",), dates=(),
                     strs={"date", "region", "datatype", "station_id"}))
 def s3_lineage_tags(spark, sf):
-    """S3: station_id, region and year tags via a size-checked broadcast of the station dimension."""
+    """S3: station_id, region and year tags via a join with the station dimension."""
     return bronze_weather(spark, sf).select("date", "region", "datatype", "value", "station_id", "year")
 
 
@@ -118,14 +118,15 @@ def s8_table_io(spark, sf):
 def s9_metadata(spark, sf):
     """Rows, column count, date range (and size in MB, not compared) of a written table."""
     path = B.write_table(silver(spark, sf), scratch_path(spark, "silver"))
-    return B.metadata(B.read_table(spark, path)).select("rows", "n_columns", "min_date", "max_date")
+    return B.metadata(spark, path).select("rows", "n_columns", "min_date", "max_date")
 
 
 def present_partitions(spark, sf):
-    """What has been landed: one partition per (station, half-year) with observations."""
-    w = bronze_weather(spark, sf)
-    return w.select(F.col("station_id").alias("source"),
-                    F.date_format(half_year_start(F.to_date("date")), "yyyy-MM-dd").alias("ingest_date")).distinct()
+    """What has been landed: one bronze partition per (station, half-year), listed without reading it."""
+    root = scratch_path(spark, "stations")
+    w = bronze_weather(spark, sf).withColumn("source", F.col("station_id"))
+    B.write_bronze(w.withColumn("ingest_date", F.date_format(half_year_start(F.to_date("date")), "yyyy-MM-dd")), root)
+    return B.list_partitions(spark, root)
 
 
 PLAN_SQL = BW_SQL + f""",
@@ -192,22 +193,26 @@ def s14_csv_sink(spark, sf):
     return spark.read.schema("symbol string, days bigint, mean_close double").option("header", True).csv(path)
 
 
-@register("r1_stream_landing")
+@register("r1_stream_landing", BW_SQL, "SELECT source, ingest_date, count(*) AS rows FROM lw GROUP BY source, ingest_date",
+          kinds_for(["source", "ingest_date", "rows"], ints=("rows",)))
 def r1_stream_landing(spark, sf):
     """Landed files -> Structured Streaming (AvailableNow) -> bronze, then rows per partition."""
     from harvestframe.streaming.landing import land_stream
     landing, root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
     lw = landed_weather(spark, sf)
-    lw.write.mode("overwrite").parquet(landing)
-    q = land_stream(spark, landing, lw.schema, root, ckpt)
+    lw.write.partitionBy("source", "ingest_date").parquet(landing)
+    q = land_stream(spark, landing, lw.schema, root, ckpt, ["date", "region", "datatype"])
     q.awaitTermination()
     return B.read_bronze(spark, root).groupBy("source", F.col("ingest_date").cast("string").alias("ingest_date")) \
         .agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("l4_pipeline")
+@register("l4_pipeline", QSQL,
+          "SELECT (SELECT count(*) FROM silver) AS silver_rows, 80 AS gold_features, "
+          "(SELECT CAST(coalesce(bool_and(passed), false) AS INTEGER) FROM qall WHERE \"check\" = 'overall') AS quality_passed, false AS trained",
+          kinds_for(["silver_rows", "gold_features", "quality_passed", "trained"], ints=("silver_rows", "gold_features", "quality_passed"), bools=("trained",)))
 def l4_pipeline(spark, sf):
     """L4: land -> silver -> gold -> contracts -> quality -> metrics, tables written between layers."""
     from harvestframe.plans.pipeline import run_pipeline
     from harvestframe.queries_core import landed
-    return run_pipeline(spark, *landed(spark, sf), scratch_path(spark, "pipeline"), CFG, today=TODAY, validate=False)
+    return run_pipeline(spark, *landed(spark, sf), scratch_path(spark, "pipeline"), CFG, today=TODAY)

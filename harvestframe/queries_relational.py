@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from harvestframe.checks import sql as S
 from harvestframe.checks import sql_more as S2
 from harvestframe.functions.numeric import div, ln_pos
+from harvestframe.functions.weather import names as weather_names
 from harvestframe.operators import windows as Wn
 from harvestframe.operators.asof import asof_date_map
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, with_ema
-from harvestframe.operators.joins import bounded_broadcast
-from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null, union_all
+from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null
 from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
-from harvestframe.plans.silver import clean_futures, clean_weather, correlated_closes
+from harvestframe.plans.silver import WEATHER_COLS, build_silver, clean_futures, clean_weather, correlated_closes
 from harvestframe.queries_core import gold, silver
 from harvestframe.registry import CFG, kinds_for, register
 from harvestframe.sources import tables as T
@@ -58,7 +58,7 @@ LABELS = ", ".join(f"('{s}', '{lab}')" for lab, s in [("corn", "BUILDING"), *CFG
 def p2_label_filter(spark, sf):
     """Keep one instrument by its label column (corn = BUILDING)."""
     inst = spark.createDataFrame([("BUILDING", "corn")] + [(s, lab) for lab, s in CFG.correlated], "symbol string, label string")
-    b = T.bars(spark, sf).join(bounded_broadcast(inst), "symbol")
+    b = T.bars(spark, sf).join(inst, "symbol")
     return b.where(F.col("label") == "corn").drop("label")
 
 
@@ -124,25 +124,32 @@ def p8_feature_columns(spark, sf):
     return agg.select(F.explode(st).alias("x")).select("x.*")
 
 
+# What a silver without weather, wheat and usd leaves of the features.
+P9_FEATS = [c for c in FEATS if c not in {*WEATHER_COLS, *weather_names(CFG.features), "wheat_close", "usd_close", "corn_wheat_ratio",
+                                          "corn_wheat_spread", "usd_return_5d", "corn_usd_corr_20d"}]
+
+
 @register("p9_presence_branches", GOLD,
-          "SELECT symbol, count(*) AS rows, 0 AS cross_non_null, count(rsi) AS rsi_non_null FROM gold GROUP BY symbol",
-          kinds_for(["symbol", "rows", "cross_non_null", "rsi_non_null"], ints=("rows", "cross_non_null", "rsi_non_null")))
+          " UNION ALL ".join(f"SELECT symbol, '{c}' AS feature, count(*) AS rows, count({c}) AS non_null FROM gold GROUP BY symbol" for c in P9_FEATS),
+          kinds_for(["symbol", "feature", "rows", "non_null"], ints=("rows", "non_null")))
 def p9_presence_branches(spark, sf):
-    """Gold from a silver without the correlated closes: those columns are added as NULL,
-    the cross-asset features come out NULL and the rest is unchanged."""
+    """Silver and gold built without weather and without the wheat and usd legs: the features of
+    these sources are absent, all others are there with the same number of values."""
     from harvestframe.plans.gold import build_gold
-    s = silver(spark, sf).drop("wheat_close", "crude_close", "usd_close")
-    for c in ("wheat_close", "crude_close", "usd_close"):
-        s = s.withColumn(c, F.lit(None).cast("double"))
-    g = build_gold(s, CFG)
-    return g.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.count("corn_wheat_ratio").alias("cross_non_null"),
-                                   F.count("rsi").alias("rsi_non_null"))
+    g = build_gold(build_silver(T.bars(spark, sf), None, CFG).drop("wheat_close", "usd_close"), CFG)
+    cols = feature_columns(g)
+    wide = g.groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in cols])
+    return wide.unpivot(["symbol", "rows"], cols, "feature", "non_null").select("symbol", "feature", "rows", "non_null")
 
 
 # ---------------------------------------------------------------- J
+# Days of the month without observations in the as-of queries, so that near days must be matched.
+GAP = (10, 20)
+
+
 def _asof(direction):
     def q(spark, sf):
-        wd = weather_daily(spark, sf).withColumn("weather_date", F.col("date"))
+        wd = clean_weather(T.weather_long(spark, sf, GAP), CFG).withColumn("weather_date", F.col("date"))
         m = asof_date_map(futures(spark, sf), wd, CFG.transforms.asof_tolerance_days, direction,
                           value_cols=["weather_date", "tmax_f", "tmin_f", "prcp_in", "snow_mm"])
         return m.withColumn("offset_days", F.datediff("weather_date", "date"))
@@ -152,7 +159,7 @@ def _asof(direction):
 def _asof_sql(direction):
     k = CFG.transforms.asof_tolerance_days
     lo, hi = {"nearest": (-k, k), "backward": (-k, 0), "forward": (0, k)}[direction]
-    return (SIL + f""",
+    return (S.silver_sql(views=S.views_sql(GAP)) + f""",
 c2 AS (SELECT sd.date, wd.date AS weather_date, wd.tmax_f, wd.tmin_f, wd.prcp_in, wd.snow_mm,
               datediff('day', sd.date, wd.date) AS offset_days
        FROM sd JOIN wday wd ON wd.date BETWEEN sd.date + {lo} AND sd.date + {hi}),
@@ -312,10 +319,55 @@ def w10_date_gap(spark, sf):
 
 
 # ---------------------------------------------------------------- A
-@register("a1_pivot", SIL, "SELECT * FROM wpiv", kinds_for(["date", "region", "tmax_f", "tmin_f", "prcp_in", "snow_mm"]))
+# The first ingest lacks the maxima of one station and has other values than the later one.
+ING_SQL = """,
+w1 AS (SELECT date, region, datatype, CASE WHEN region = 'ASIA' AND datatype = 'TMAX' THEN NULL ELSE value + 20 END AS v, 1 AS ing FROM {0}
+       UNION ALL SELECT date, region, datatype, value, 2 FROM {0}),
+{1} AS (SELECT date, region, datatype, arg_min(v, ing) AS value FROM w1 WHERE v IS NOT NULL GROUP BY 1, 2, 3)"""
+
+
+def two_ingests(spark, sf):
+    """The landed weather ingested twice; the first ingest counts where it has a value."""
+    w = T.weather_long(spark, sf)
+    first = F.when((F.col("region") == "ASIA") & (F.col("datatype") == "TMAX"), None).otherwise(F.col("value") + 20)
+    return w.withColumn("value", first), w
+
+
+@register("a1_pivot", S.views_sql() + ING_SQL.format("weather_long", "wi"),
+          f"SELECT CAST(date AS DATE) AS date, region, max(value) FILTER (WHERE datatype = 'TMAX') AS tmax_f, max(value) FILTER (WHERE datatype = 'TMIN') AS tmin_f, "
+          f"max(value) FILTER (WHERE datatype = 'PRCP') AS prcp_in, max(value) FILTER (WHERE datatype = 'SNOW') * {S.lit(CFG.transforms.snow_in_to_mm)} AS snow_mm "
+          "FROM wi GROUP BY 1, 2",
+          kinds_for(["date", "region", "tmax_f", "tmin_f", "prcp_in", "snow_mm"]))
 def a1_pivot(spark, sf):
-    """A1: long -> wide, first non-NULL value per (date, station, datatype)."""
-    return p4_units(spark, sf)
+    """A1: long -> wide over two ingests, first non-NULL value by ingest order per (date, station, datatype)."""
+    first, later = two_ingests(spark, sf)
+    both = later.withColumn("_ingest_date", F.lit("2024-01-02")).unionByName(first.withColumn("_ingest_date", F.lit("2024-01-01")))
+    wide = pivot_first_non_null(both.withColumn("date", F.to_date("date")), ["date", "region"], "datatype", CFG.weather_datatypes,
+                                order_cols=["_ingest_date"])
+    return wide.select("date", "region", F.col("TMAX").alias("tmax_f"), F.col("TMIN").alias("tmin_f"),
+                       F.col("PRCP").alias("prcp_in"), (F.col("SNOW") * F.lit(CFG.transforms.snow_in_to_mm)).alias("snow_mm"))
+
+
+# Silver over a bronze root with two ingests of every day (T4, A1, F32 together).
+ING_VIEWS = (S.views_sql().replace("bars AS (", "bars0 AS (").replace("weather_long AS (", "weather0 AS (") + ING_SQL.format("weather0", "weather_long") + """,
+bars AS (SELECT symbol, date, open, high, low, arg_min(c, ing) AS close, volume FROM (
+           SELECT *, close + 1 AS c, 1 AS ing FROM bars0 UNION ALL SELECT *, close AS c, 2 AS ing FROM bars0) GROUP BY symbol, date, open, high, low, volume)""")
+
+
+@register("f32_silver_two_ingests", S.silver_sql(views=ING_VIEWS), "SELECT * FROM silver", kinds_for(
+    ["symbol", "date", "open", "high", "low", "close", "volume", "returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
+     "snow_mm", "wheat_close", "crude_close", "usd_close", "day_of_week", "month"]))
+def f32_silver_two_ingests(spark, sf):
+    """F32 over bronze with two ingests per day whose values differ: the first ingest counts."""
+    from harvestframe.session import scratch_path
+    from harvestframe.sources import bronze as B
+    first, later = two_ingests(spark, sf)
+    b = T.bars(spark, sf)
+    weather, bars = scratch_path(spark, "weather"), scratch_path(spark, "bars")
+    for day, w, x in (("2024-01-02", later, b), ("2024-01-01", first, b.withColumn("close", F.col("close") + 1))):
+        B.write_bronze(w, weather, "weather", day)
+        B.write_bronze(x, bars, "futures", day)
+    return build_silver(B.read_bronze(spark, bars), B.read_bronze(spark, weather), CFG)
 
 
 @register("a2_station_mean", SIL, "SELECT * FROM wday", kinds_for(["date", "tmax_f", "tmin_f", "prcp_in", "snow_mm"]))
@@ -480,10 +532,8 @@ def t4_dedupe(spark, sf):
 @register("t5_union", S.views_sql(), "SELECT * FROM weather_long",
           kinds_for(["date", "region", "datatype", "value"], dates=(), strs={"date", "region", "datatype"}))
 def t5_union(spark, sf):
-    """T5: per-station reads concatenated by column name."""
-    w = T.weather_long(spark, sf)
-    regions = [r[0] for r in T.table(spark, sf, "region").select("r_name").collect()]  # 5-row dimension
-    return union_all([w.where(F.col("region") == r) for r in regions])
+    """T5: the rows of all stations in one read (a union of one read per station would scan as often)."""
+    return T.weather_long(spark, sf).join(T.stations(spark, sf).select("region"), "region", "left_semi")
 
 
 SIL_NR_COLS = ["open", "high", "low", "close", "volume", "returns_1d", "log_return_1d", "high_low_pct", "tmax_f",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,28 +42,23 @@ def build_session(master: str | None = None, app: str = "harvestframe",
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder (``spark.checkpoint.dir``), registered for checkpoints.
 
-    On a cluster this must be set by the deployment. Only when it is unset
-    (local runs and tests) do we create and register a folder of our own.
+    Only a local session without the setting gets a folder of its own; on a cluster a
+    missing setting is an error, since a folder of the driver's machine is not shared.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="harvestframe-ckpt-")
+        if not d:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            d = tempfile.mkdtemp(prefix="harvestframe-ckpt-")
         sc.setCheckpointDir(d)
-        d = sc.getCheckpointDir() or d
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared folder."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    p = f"{base}/harvestframe/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in p:
-        os.makedirs(os.path.dirname(p), exist_ok=True)
-    return p
+    """A fresh, unique sub-folder of the shared folder (its scheme kept; writers create it)."""
+    return f"{shared_dir(spark)}/harvestframe/{name}-{uuid.uuid4().hex[:12]}"

@@ -8,6 +8,7 @@ exactly that partition (idempotent) and leaves the others alone.
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,8 @@ def write_bronze(df: DataFrame, root: str, source: str | None = None, ingest_dat
     if ingest_date is not None:
         out = out.withColumn("ingest_date", F.lit(str(ingest_date)))
     out = out.withColumns({"_ingest_date": F.col("ingest_date"), "_ingest_ts": F.lit(ts)})
-    (out.repartition("source", "ingest_date")
+    # rebalance: rows of a partition meet, but a large partition is split over tasks and files
+    (out.hint("rebalance", F.col("source"), F.col("ingest_date"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy("source", "ingest_date").parquet(root))
 
@@ -47,12 +49,16 @@ def read_bronze(spark: SparkSession, root: str, source: str | None = None, start
     return df
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def list_partitions(spark: SparkSession, root: str, source: str | None = None) -> DataFrame:
-    """Distinct (source, ingest_date) keys, served from partition metadata."""
-    df = spark.read.option("basePath", root).parquet(root).select("source", F.col("ingest_date").cast("string"))
-    if source is not None:
-        df = df.where(F.col("source") == source)
-    return df.distinct()
+    """The (source, ingest_date) keys, from the folder names alone; no file is opened."""
+    fs, p = _file_system(spark, f"{root}/source=*/ingest_date=*")
+    keys = [tuple(unquote(x.partition("=")[2]) for x in str(s.getPath()).rsplit("/", 2)[1:]) for s in fs.globStatus(p) or ()]
+    return spark.createDataFrame([k for k in keys if source in (None, k[0])], "source string, ingest_date string")
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> str:
@@ -69,20 +75,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def metadata(df: DataFrame) -> DataFrame:
-    """Rows, columns, size in MB (from ``_metadata.file_size``), min/max date, one pass."""
-    files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"))
-    sizes = files.groupBy("p").agg(F.max("s").alias("s")).agg(F.round(F.sum("s") / F.lit(1e6), 2).alias("size_mb"))
-    stats = df.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("min_date"), F.max("date").alias("max_date"))
-    cols = F.lit(",".join(c for c in df.columns))
-    return (stats.withColumn("__k", F.lit(1)).join(sizes.withColumn("__k", F.lit(1)), "__k")
-                 .select("rows", F.lit(len(df.columns)).alias("n_columns"), cols.alias("columns"),
-                         "size_mb", "min_date", "max_date"))
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def metadata(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, columns, size in MB (from the file system's listing), min/max date of a written table."""
+    fs, p = _file_system(spark, path)
+    df = read_table(spark, path)
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("n_columns"), F.lit(",".join(df.columns)).alias("columns"),
+                  F.lit(round(fs.getContentSummary(p).getLength() / 1e6, 2)).alias("size_mb"),
+                  F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
 
 def truncation_warnings(bronze: DataFrame, limit: int = 1000) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harvestframe.operators.joins import bounded_broadcast
 from harvestframe.operators.reshape import union_all
 
 WEATHER_SCHEMA = T.StructType([
@@ -37,15 +36,15 @@ def read_bars(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 
 def tag_weather(df: DataFrame, stations: DataFrame) -> DataFrame:
-    """S3: station_id, region, year via a join with the (small, size-checked) station dimension."""
-    st = bounded_broadcast(stations.select("region", "station_id"))
+    """S3: station_id, region, year via a join with the station dimension."""
+    st = stations.select("region", "station_id")
     return (df.join(st, "region", "left")
               .withColumn("year", F.year(F.to_date("date"))))
 
 
 def tag_bars(df: DataFrame, instruments: DataFrame) -> DataFrame:
     """S3: ticker, label via the instrument dimension (symbol -> ticker, label)."""
-    return df.join(bounded_broadcast(instruments), "symbol", "left")
+    return df.join(instruments, "symbol", "left")
 
 
 def read_sources(frames: Sequence[DataFrame]) -> DataFrame:

@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestframe.operators.joins import bounded_broadcast
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -45,13 +43,14 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.format_string("ST%05d", F.col("r_regionkey")).alias("station_id"))
 
 
-def weather_wide_by_station(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = (table(spark, sf_dir, "lineitem")
-          .select("l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
-          .where(~F.dayofmonth("l_shipdate").between(10, 20)))
+def weather_wide_by_station(spark: SparkSession, sf_dir: str, gap: tuple[int, int] | None = None) -> DataFrame:
+    """``gap`` leaves out days of the month, for queries about days without observations."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate")
+    if gap:
+        li = li.where(~F.dayofmonth("l_shipdate").between(*gap))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = bounded_broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
-    r = bounded_broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     sup_region = (s.join(n, s.s_nationkey == n.n_nationkey)
                    .join(r, F.col("n_regionkey") == r.r_regionkey)
                    .select("s_suppkey", "r_name"))
@@ -63,9 +62,9 @@ def weather_wide_by_station(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.sum("l_tax").alias("SNOW")))
 
 
-def weather_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_long(spark: SparkSession, sf_dir: str, gap: tuple[int, int] | None = None) -> DataFrame:
     """date (string, as landed), region, datatype, value."""
-    w = weather_wide_by_station(spark, sf_dir)
+    w = weather_wide_by_station(spark, sf_dir, gap)
     long = w.unpivot(["date", "region"], ["TMAX", "TMIN", "PRCP", "SNOW"], "datatype", "value")
     return long.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "region", "datatype", "value")
 
