@@ -8,6 +8,7 @@ collected: the report is a DataFrame.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,14 +45,13 @@ def psi_long(gold: DataFrame, columns: Sequence[str], n_bins: int = 10, min_valu
     long = base.unpivot([*keys, "__rn", "__n"], list(columns), "column", "value").where(F.col("value").isNotNull())
     long = long.withColumn("half", F.when(F.col("__rn") < F.floor(F.col("__n") / 2), "ref").otherwise("cur"))
     gk = [*keys, "column"]
-    sizes = long.groupBy(*gk).agg(F.count_if(F.col("half") == "ref").alias("n_ref"),
-                                  F.count_if(F.col("half") == "cur").alias("n_cur"))
     edges = exact_percentiles(long.where(F.col("half") == "ref"), gk, "value", decile_probs(n_bins), out="edges")
     edges = edges.withColumn("edges", F.array_distinct("edges"))
-    binned = (long.join(edges, gk).withColumn("bin", bin_index(F.col("edges"), F.col("value")))
-                  .where(F.col("bin").isNotNull())
+    # one pass counts the bins and, with the values outside all bins (bin -1), the sizes
+    binned = (long.join(edges, gk).withColumn("bin", F.coalesce(bin_index(F.col("edges"), F.col("value")), F.lit(-1)))
                   .groupBy(*gk, "bin").agg(F.count_if(F.col("half") == "ref").alias("c_ref"),
                                            F.count_if(F.col("half") == "cur").alias("c_cur")))
+    sizes = binned.groupBy(*gk).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
     grid = (edges.join(sizes, gk)
                  .where((F.col("n_ref") >= min_values) & (F.col("n_cur") >= min_values))
                  .select(*gk, "n_ref", "n_cur", F.size("edges").alias("n_edges"),
@@ -69,66 +69,71 @@ def psi_long(gold: DataFrame, columns: Sequence[str], n_bins: int = 10, min_valu
                         "n_ref", "n_cur"))
 
 
+CHECKS = ("row_count", "target_nulls", "leakage_check", "date_continuity", "feature_nulls", "distribution_drift",
+          "lookahead_check", "overall")
+HARD = ("row_count", "target_nulls", "leakage_check")
+
+
 def quality_report(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config(),
-                   keys: Sequence[str] = (KEY,)) -> DataFrame:
-    """Q1-Q6, Q9 per series plus the Q8 verdict row."""
+                   keys: Sequence[str] = (KEY,), checks: Sequence[str] = CHECKS) -> DataFrame:
+    """Q1-Q6, Q9 per series plus the Q8 verdict row; only ``checks`` are computed.
+
+    An input without rows fails: one ``row_count`` row and one ``overall`` row without a series.
+    """
     m, f = cfg.monitoring, cfg.features
-    keys = list(keys)
-    h = f.target_horizon_days
+    keys, checks = list(keys), list(checks)
+    wanted = set(checks) | (set(HARD) if "overall" in checks else set())
     mr = min_rows(cfg)
-    # previous date and next-day return by a positional equi-join (no whole-series window)
-    g = series_positions(gold, keys, "date", pos="__pos", n="__len")
-    g = neighbour(g, keys, ["date"], -1, pos="__pos")
-    g = neighbour(g, keys, ["log_return_1d"], 1, pos="__pos", suffix="__next")
-    g = g.withColumns({"__gap": F.datediff("date", "date_lag1"), "__next_lr": F.col("log_return_1d__next")})
-    s = g.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                             F.avg(F.col("target").isNull().cast("double")).alias("target_null"),
-                             corr("close", "target").alias("leak_corr"),
-                             F.max("__gap").alias("max_gap"))
-    # Per-feature checks in long format: the plan does not grow with the number of
-    # features, and the (series, feature) groups aggregate partially before the shuffle.
-    long = (g.select(*keys, "__next_lr", *[F.col(c).cast("double").alias(c) for c in feature_cols])
-             .unpivot([*keys, "__next_lr"], list(feature_cols), "feature", "value"))
-    per_feature = long.groupBy(*keys, "feature").agg(
-        F.avg(F.col("value").isNull().cast("double")).alias("null_rate"),
-        F.abs(corr("value", "__next_lr")).alias("la"))
-    per_series = per_feature.groupBy(*keys).agg(
-        F.count_if(F.col("null_rate") > m.max_feature_null_rate).alias("n_high_null"),
-        F.max("la").alias("max_la"))
-    s = s.join(per_series, keys, "left")
-    n_high_null = F.coalesce(F.col("n_high_null"), F.lit(0))
-    max_la = F.col("max_la")
-    psi = psi_long(gold, [c for c in m.psi_columns if c in gold.columns], m.psi_bins, m.psi_min_values, keys)
-    drift = psi.groupBy(*keys).agg(F.count_if(F.col("psi") > m.psi_critical).alias("n_drift"))
-    s = s.join(drift, keys, "left").fillna(0, ["n_drift"])
-    allowed_null = F.lit(3.0 * h) / F.col("n")
-    checks = [
-        ("row_count", F.col("n") >= mr, F.col("n"), F.lit(float(mr)), True),
+    high_null = [(F.avg(F.col(c).isNull().cast("double")) > m.max_feature_null_rate).cast("int") for c in feature_cols]
+    aggs = {"n": F.count(F.lit(1)),
+            "target_null": F.avg(F.col("target").isNull().cast("double")) if "target_nulls" in wanted else None,
+            "leak_corr": corr("close", "target") if "leakage_check" in wanted else None}
+    aggs |= {f"__null_{i}": c for i, c in enumerate(high_null)} if "feature_nulls" in wanted else {}
+    s = gold.groupBy(*keys).agg(*[c.alias(k) for k, c in aggs.items() if c is not None])
+    if "feature_nulls" in wanted:
+        nulls = [F.col(f"__null_{i}") for i in range(len(high_null))]
+        s = s.withColumn("n_high_null", sum(nulls, F.lit(0))).drop(*[f"__null_{i}" for i in range(len(high_null))])
+    if wanted & {"date_continuity", "lookahead_check"}:
+        # the next row's date and return by one positional equi-join of narrow rows (no whole-series window)
+        near = series_positions(gold.select(*keys, "date", "log_return_1d"), keys, "date", pos="__pos", n="__len")
+        near = neighbour(near, keys, ["date", "log_return_1d"], 1, pos="__pos", suffix="__next")
+        if "date_continuity" in wanted:
+            gaps = near.groupBy(*keys).agg(F.max(F.datediff("date__next", "date")).alias("max_gap"))
+            s = s.join(gaps, keys, "left")
+        if "lookahead_check" in wanted:
+            # long format: the plan does not grow with the features, and (series, feature) groups aggregate partially
+            wide = gold.select(*keys, "date", *[F.col(c).cast("double").alias(c) for c in feature_cols])
+            wide = wide.join(near.select(*keys, "date", F.col("log_return_1d__next").alias("__next_lr")), [*keys, "date"]).drop("date")
+            per_feature = (wide.unpivot([*keys, "__next_lr"], list(feature_cols), "feature", "value")
+                           .groupBy(*keys, "feature").agg(F.abs(corr("value", "__next_lr")).alias("la")))
+            s = s.join(per_feature.groupBy(*keys).agg(F.max("la").alias("max_la")), keys, "left")
+    if "distribution_drift" in wanted:
+        psi = psi_long(gold, [c for c in m.psi_columns if c in gold.columns], m.psi_bins, m.psi_min_values, keys)
+        drift = psi.groupBy(*keys).agg(F.count_if(F.col("psi") > m.psi_critical).alias("n_drift"))
+        s = s.join(drift, keys, "left").fillna(0, ["n_drift"])
+    c, allowed_null = F.col, F.lit(3.0 * f.target_horizon_days) / F.col("n")
+    rules = {  # passed, value, threshold
+        "row_count": lambda: (c("n") >= mr, c("n"), F.lit(float(mr))),
         # reported as percentages (2 decimals) and the correlation to 4 decimals;
         # the decisions use the unrounded values
-        ("target_nulls", F.col("target_null") <= allowed_null, F.round(F.col("target_null") * 100, 2),
-         F.round(allowed_null * 100, 2), True),
-        ("leakage_check", F.coalesce(F.abs(F.col("leak_corr")) < m.leakage_max_corr, F.lit(False)),
-         F.round(F.col("leak_corr"), 4), F.lit(m.leakage_max_corr), True),
-        ("date_continuity", F.coalesce(F.col("max_gap") <= m.max_gap_days, F.lit(True)), F.col("max_gap"),
-         F.lit(float(m.max_gap_days)), False),
-        ("feature_nulls", n_high_null == 0, n_high_null, F.lit(0.0), False),
-        ("distribution_drift", F.col("n_drift") == 0, F.col("n_drift"), F.lit(m.psi_critical), False),
-        ("lookahead_check", F.coalesce(max_la < m.lookahead_max_corr, F.lit(True)), max_la,
-         F.lit(m.lookahead_max_corr), False),
-    ]
-    verdict = None
-    for _, passed, _, _, hard in checks:
-        if hard:
-            verdict = passed if verdict is None else (verdict & passed)
-    rows = [_row(c, p, v, t, hd) for c, p, v, t, hd in checks]
-    rows.append(_row("overall", F.coalesce(verdict, F.lit(False)), F.lit(None), F.lit(None), True))
+        "target_nulls": lambda: (c("target_null") <= allowed_null, F.round(c("target_null") * 100, 2), F.round(allowed_null * 100, 2)),
+        "leakage_check": lambda: (F.coalesce(F.abs(c("leak_corr")) < m.leakage_max_corr, F.lit(False)), F.round(c("leak_corr"), 4),
+                                  F.lit(m.leakage_max_corr)),
+        "date_continuity": lambda: (F.coalesce(c("max_gap") <= m.max_gap_days, F.lit(True)), c("max_gap"), F.lit(float(m.max_gap_days))),
+        "feature_nulls": lambda: (c("n_high_null") == 0, c("n_high_null"), F.lit(0.0)),
+        "distribution_drift": lambda: (c("n_drift") == 0, c("n_drift"), F.lit(m.psi_critical)),
+        "lookahead_check": lambda: (F.coalesce(c("max_la") < m.lookahead_max_corr, F.lit(True)), c("max_la"), F.lit(m.lookahead_max_corr)),
+    }
+    rows = [_row(k, *rules[k](), k in HARD) for k in checks if k in rules]
+    if "overall" in checks:
+        verdict = reduce(lambda a, b: a & b, [rules[k]()[0] for k in HARD])
+        rows.append(_row("overall", F.coalesce(verdict, F.lit(False)), F.lit(None), F.lit(None), True))
     # One aggregate row per series -> one exploded row per check; nothing is recomputed.
-    return s.select(*keys, F.explode(F.array(*rows)).alias("x")).select(*keys, "x.*")
-
-
-def empty_report(gold: DataFrame, keys: Sequence[str] = (KEY,)) -> DataFrame:
-    """Q8 guard: an input without rows fails on row_count only (one row, no series key)."""
-    n = gold.agg(F.count(F.lit(1)).alias("n"))
-    return n.where("n = 0").select(F.lit("row_count").alias("check"), F.lit(False).alias("passed"),
-                                   F.col("n").cast("double").alias("value"))
+    report = s.select(*keys, F.explode(F.array(*rows)).alias("x")).select(*keys, "x.*")
+    failing = [k for k in ("row_count", "overall") if k in checks]
+    if not failing:
+        return report
+    none = gold.agg(F.count(F.lit(1)).alias("__n")).where("__n = 0")
+    empty = F.array(*[_row(k, F.lit(False), F.lit(0.0 if k == "row_count" else None), F.lit(float(mr) if k == "row_count" else None), True) for k in failing])
+    return report.unionByName(none.select(F.explode(empty).alias("x")).select(
+        *[F.lit(None).cast(report.schema[k].dataType).alias(k) for k in keys], "x.*"))

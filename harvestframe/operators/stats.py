@@ -28,11 +28,6 @@ def decile_probs(n_bins: int = 10) -> list[float]:
     return [i / n_bins for i in range(n_bins + 1)]
 
 
-def percentiles(c, probs: Sequence[float]) -> Column:
-    """Exact percentiles with linear interpolation (numpy's default)."""
-    return F.percentile(F.col(c) if isinstance(c, str) else c, F.array(*[F.lit(float(p)) for p in probs]))
-
-
 def bin_index(edges: Column, v: Column) -> Column:
     """Numpy.histogram bin of ``v`` for ascending ``edges``: half-open bins, last bin
     closed, NULL when out of range."""
@@ -51,42 +46,31 @@ def cumulative_buckets(v: Column, edges: Sequence[float]) -> list[Column]:
     return out + [F.count(v).alias("le_inf")]
 
 
-# Largest group whose values one task may hold for the single-pass exact percentile.
-MAX_GROUP_ROWS = 2_000_000
-
-
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                      buckets: int = 256, accuracy: int = 10_000, out: str = "q",
-                      max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                      buckets: int = 256, accuracy: int = 10_000, out: str = "q") -> DataFrame:
     """(keys..., out): exact percentiles with linear interpolation (numpy's default) per group.
 
-    The largest group is measured first (one partial aggregate).  Up to
-    ``max_group_rows`` rows, Spark's single-pass ``percentile`` is used (a group's
-    values then fit one task by construction); beyond it, or with
-    ``max_group_rows=None``, the distributed order statistic below, which never
-    holds a group in one task:
-
-    1. per group: row count and ``buckets - 1`` approximate cut points (a mergeable
-       sketch, bounded memory, partial aggregation);
-    2. every value gets the bucket ``#cuts < value`` (monotone, ties share a bucket);
-       bucket counts give each bucket's first global rank;
-    3. the ranks numpy needs (floor/ceil of (n-1)p) are located in their buckets; only
-       those buckets' rows are sorted (``row_number`` per (group, bucket), ~n/buckets rows);
-    4. the two order statistics of each p are interpolated.
+    One plan for every size; no task holds a group:
+
+    1. equal values are counted (partial aggregation), so ties are one row however many they are;
+    2. per group: row count and ``buckets - 1`` cut points over the distinct values (a mergeable
+       sketch, bounded memory);
+    3. every distinct value gets the bucket ``#cuts < value``; bucket counts give each bucket's
+       first global rank;
+    4. the ranks numpy needs (floor/ceil of (n-1)p) are located in their buckets; only those
+       buckets' distinct values (~1/buckets of the group's) are ordered, by a running count;
+    5. the two order statistics of each p are interpolated.
     """
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    if max_group_rows is not None:
-        largest = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        if largest <= max_group_rows:
-            return v.groupBy(*keys).agg(percentiles("__v", probs).alias(out))
+    v = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     cuts = [i / buckets for i in range(1, buckets)]
     stats = v.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"),
+        F.sum("__c").alias("__n"),
         F.percentile_approx("__v", F.array(*[F.lit(c) for c in cuts]), accuracy).alias("__cuts"))
     b = v.join(stats.select(*keys, "__cuts"), keys).withColumn(
         "__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    counts = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    counts = b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__cnt"))
     wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0)))
     # group -> sorted bucket offsets (at most `buckets` entries)
@@ -96,15 +80,15 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
         F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("__pi", "__p"), "__n")
     need = need.withColumn("__h", (F.col("__n") - 1) * F.col("__p"))
     need = need.withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__h"), F.ceil("__h")))))
-    need = need.withColumn("__nb", F.element_at(
-        F.filter("__offs", lambda s: s["__off"] <= F.col("__r")), -1)["__b"]).drop("__offs")
-    wanted = need.select(*keys, F.col("__nb").alias("__b")).distinct()
-    rows = b.join(wanted, [*keys, "__b"], "left_semi").join(counts.select(*keys, "__b", "__off"), [*keys, "__b"])
-    rows = rows.withColumn("__r", F.col("__off") + F.row_number().over(
-        Window.partitionBy(*keys, "__b").orderBy("__v")) - 1)
-    picked = need.join(rows.select(*keys, "__r", "__v"), [*keys, "__r"])
-    per_p = picked.groupBy(*keys, "__pi", "__h").agg(
-        F.min_by("__v", "__r").alias("__lo"), F.max_by("__v", "__r").alias("__hi"))
+    at = F.element_at(F.filter("__offs", lambda s: s["__off"] <= F.col("__r")), -1)
+    need = need.select(*keys, "__pi", "__h", at["__b"].alias("__b"), (F.col("__r") - at["__off"]).alias("__in"))
+    wanted = need.select(*keys, "__b").distinct()
+    upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = b.join(wanted, [*keys, "__b"], "left_semi").withColumn("__upto", F.sum("__c").over(upto))
+    # the rank inside the bucket lies among the equal values of one row
+    picked = need.join(rows, [*keys, "__b"]).where(
+        (F.col("__in") < F.col("__upto")) & (F.col("__in") >= F.col("__upto") - F.col("__c")))
+    per_p = picked.groupBy(*keys, "__pi", "__h").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     frac = F.col("__h") - F.floor("__h")
     per_p = per_p.withColumn("__q", F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac)
     return per_p.groupBy(*keys).agg(

@@ -46,8 +46,7 @@ def robust_stats(train: DataFrame, feature_cols: Sequence[str], keys: Sequence[s
                  .unpivot(keys, list(feature_cols), "feature", "value"))
     q = exact_percentiles(long, [*keys, "feature"], "value", [0.25, 0.5, 0.75])
     iqr = F.col("q")[2] - F.col("q")[0]
-    long = q
-    return long.select(*keys, "feature", F.col("q")[1].alias("center"),
+    return q.select(*keys, "feature", F.col("q")[1].alias("center"),
                        F.when(iqr == 0, F.lit(1.0)).otherwise(iqr).alias("scale"))
 
 

@@ -31,6 +31,12 @@ def gold(spark, sf):
     return build_gold(silver(spark, sf), CFG)
 
 
+def gold_table(spark, sf):
+    """Gold written once (reliable checkpoint in the shared folder), as the pipeline reads its
+    written gold table: operators of several passes then scan it, not rebuild it."""
+    return gold(spark, sf).checkpoint(eager=True)
+
+
 @register("f32_silver_build", S.silver_sql(), "SELECT * FROM silver", kinds_for(SILVER_COLS))
 def f32_silver_build(spark, sf):
     """F32: full silver table for every symbol."""

@@ -14,8 +14,8 @@ from harvestframe.plans import mlprep as M
 from harvestframe.plans.gold import feature_names, market_features
 from harvestframe.plans.lineage import dataset_digest, pipeline_metrics, prediction_histogram, run_record
 from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_features, latest_row, snapshot_long
-from harvestframe.queries_core import gold, silver
-from harvestframe.queries_quality import QSQL, gold_table, report
+from harvestframe.queries_core import gold, gold_table, silver
+from harvestframe.queries_quality import QSQL, report
 from harvestframe.registry import CFG, kinds_for, register
 
 GOLD = S.gold_sql()

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from harvestframe.checks import sql as S
 from harvestframe.config import Config
 from harvestframe.operators import contracts as V
-from harvestframe.operators.quality import min_rows, psi_long, quality_report
+from harvestframe.operators.quality import CHECKS, min_rows, psi_long, quality_report
 from harvestframe.plans.gold import feature_columns, feature_names
-from harvestframe.queries_core import gold, silver
+from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.registry import CFG, kinds_for, register
 from harvestframe.sources import tables as T
 
@@ -197,23 +197,15 @@ QCOLS = ["symbol", "check", "passed", "value", "threshold", "hard"]
 QKINDS = kinds_for(QCOLS, bools=("passed", "hard"))
 
 
-def gold_table(spark, sf):
-    """Gold materialised once (reliable checkpoint in the shared folder), as the pipeline
-    reads its written gold table: the quality plan then scans it twice, not rebuilds it."""
-    from harvestframe.session import shared_dir
-    shared_dir(spark)
-    return gold(spark, sf).checkpoint(eager=True)
-
-
-def report(spark, sf):
+def report(spark, sf, checks=CHECKS):
     g = gold_table(spark, sf)
-    return quality_report(g, feature_columns(g), CFG)
+    return quality_report(g, feature_columns(g), CFG, checks=checks)
 
 
 def _q(name, check, doc):
     @register(name, QSQL, f"SELECT * FROM qall WHERE \"check\" = '{check}'", QKINDS)
     def q(spark, sf):
-        return report(spark, sf).where(F.col("check") == check)
+        return report(spark, sf, [check])
     q.__doc__ = doc
     return q
 

@@ -15,7 +15,7 @@ from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null
 from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
 from harvestframe.plans.silver import WEATHER_COLS, build_silver, clean_futures, clean_weather, correlated_closes
-from harvestframe.queries_core import gold, silver
+from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.registry import CFG, kinds_for, register
 from harvestframe.sources import tables as T
 
@@ -25,13 +25,6 @@ FEATS = feature_names(CFG)
 DEC = "[" + ", ".join(repr(p) for p in decile_probs()) + "]"
 
 
-def gold_table(spark, sf):
-    """Gold materialised once (reliable checkpoint in the shared folder) for multi-pass operators."""
-    from harvestframe.session import shared_dir
-    shared_dir(spark)
-    return gold(spark, sf).checkpoint(eager=True)
-
-
 def weather_daily(spark, sf):
     return clean_weather(T.weather_long(spark, sf), CFG)
 

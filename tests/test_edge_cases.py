@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from conftest import SILVER_ORDER, synthetic_silver
 
@@ -63,3 +64,55 @@ def test_missing_datatype_for_a_station(spark):
     w = spark.createDataFrame(rows, "date string, region string, datatype string, value double")
     r = clean_weather(w).collect()[0]
     assert r.tmax_f == 85.0 and r.tmin_f == 60.0 and r.prcp_in is None and r.snow_mm is None
+
+
+def _bars(closes, **more):
+    days = pd.bdate_range("2023-12-18", periods=len(closes)).date
+    return pd.DataFrame({"symbol": "corn", "date": days, "open": 10.0, "high": 12.0, "low": 9.0, "close": closes, "volume": 5000.0, **more})
+
+
+def test_null_close_same_returns_chunked_or_not(spark):
+    """The forward fill of pct_change, also across a time bucket (the turn of the year)."""
+    from dataclasses import replace
+    from harvestframe.config import Config
+    from harvestframe.plans.silver import clean_futures
+    closes = [None, 10.0, 11.0, None, None, 12.0, 13.0, None, None, None, None, 14.0, 15.0, None, 16.0]
+    raw = spark.createDataFrame(_bars(closes))
+    one, cut = (clean_futures(raw, replace(Config(), series_chunk_rows=c)).toPandas().sort_values("date").reset_index(drop=True) for c in (None, 4))
+    pd.testing.assert_frame_equal(one, cut)
+    want = pd.Series(closes, dtype=float).ffill().pct_change()
+    np.testing.assert_allclose(one["returns_1d"], want, equal_nan=True)
+
+
+def test_repeated_day_counts_once_by_ingest_or_fails(spark):
+    from harvestframe.plans.silver import build_silver
+    first, later = _bars([10.0, 11.0], _ingest_date="2024-01-01"), _bars([20.0, 21.0], _ingest_date="2024-01-02")
+    weather = spark.createDataFrame([("2023-12-18", "a", "TMAX", None, "2024-01-01"), ("2023-12-18", "a", "TMAX", 70.0, "2024-01-02"),
+                                     ("2023-12-18", "a", "TMAX", 60.0, "2024-01-03"), ("2023-12-18", "a", "TMIN", 50.0, "2024-01-01")],
+                                    "date string, region string, datatype string, value double, _ingest_date string")
+    s = build_silver(spark.createDataFrame(pd.concat([later, first])), weather).orderBy("date").collect()
+    assert [r.close for r in s] == [10.0, 11.0] and s[0].tmax_f == 70.0 and s[0].tmin_f == 50.0
+    with pytest.raises(Exception, match="repeated key"):
+        build_silver(spark.createDataFrame(pd.concat([first, first]).drop(columns="_ingest_date")), weather).collect()
+
+
+def test_presence_branches(spark):
+    from harvestframe.plans.gold import build_gold
+    whole = build_gold(spark.createDataFrame(synthetic_silver(n=90, seed=2)[SILVER_ORDER])).orderBy("date").toPandas()
+    for absent, gone in ((["tmax_f", "tmin_f", "prcp_in", "snow_mm"], {"gdd_daily", "prcp_zscore", "tmax_7d_avg", "heat_stress_7d"}),
+                         (["prcp_in"], {"prcp_zscore", "prcp_sum_10d"}), (["wheat_close"], {"corn_wheat_ratio", "corn_wheat_spread"}),
+                         (["crude_close"], {"corn_crude_corr_20d"}), (["usd_close"], {"usd_return_5d", "corn_usd_corr_20d"}),
+                         (["wheat_close", "crude_close", "usd_close"], {"corn_wheat_ratio", "corn_usd_corr_20d"})):
+        g = build_gold(spark.createDataFrame(synthetic_silver(n=90, seed=2)[SILVER_ORDER].drop(columns=absent))).orderBy("date").toPandas()
+        assert not (gone | set(absent)) & set(g.columns)
+        pd.testing.assert_frame_equal(g, whole[list(g.columns)])
+
+
+def test_ema_with_a_gap_is_an_error(spark):
+    from harvestframe.operators.ema import EmaSpec, with_ema
+    rows = [("a", i, x) for i, x in enumerate([None, 1.0, 2.0, None, 5.0])]
+    df = spark.createDataFrame(rows, "symbol string, date int, x double")
+    with pytest.raises(Exception, match="NULL after the first value"):
+        with_ema(df, [EmaSpec("e", "x", 0.5)]).collect()
+    head = with_ema(df.where("date < 3"), [EmaSpec("e", "x", 0.5)]).orderBy("date").collect()
+    assert [r.e for r in head] == [None, 1.0, 1.5]

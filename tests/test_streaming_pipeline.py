@@ -6,21 +6,24 @@ import os
 import pytest
 
 
-def test_stream_landing_late_file(spark, tmp_path):
+def test_stream_landing_replaces_corrections(spark, tmp_path):
+    """A late file adds its rows and replaces those of the same key; other partitions are left alone."""
     from harvestframe.sources.bronze import read_bronze
     from harvestframe.streaming.landing import land_stream
-    schema = "source string, ingest_date string, v int"
+    schema = "day string, v int, source string, ingest_date string"
     landing, root, ckpt = (str(tmp_path / x) for x in ("landing", "bronze", "ckpt"))
-    spark.createDataFrame([("w", "2024-01-01", 1), ("w", "2024-07-01", 2)], schema).write.parquet(landing + "/f1")
-    sch = spark.read.parquet(landing + "/f1").schema
-    land_stream(spark, landing + "/*", sch, root, ckpt).awaitTermination()
-    assert read_bronze(spark, root).count() == 2
-    # a late file for the first half-year only
-    spark.createDataFrame([("w", "2024-01-01", 3)], schema).write.parquet(landing + "/f2")
-    land_stream(spark, landing + "/*", sch, root, ckpt).awaitTermination()
-    got = {(r.ingest_date_s, r.v) for r in read_bronze(spark, root)
-           .selectExpr("cast(ingest_date as string) as ingest_date_s", "v").collect()}
-    assert got == {("2024-01-01", 1), ("2024-01-01", 3), ("2024-07-01", 2)}
+
+    def land(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").partitionBy("source", "ingest_date").parquet(landing)
+        land_stream(spark, landing, spark.createDataFrame([], schema).schema, root, ckpt, ["day"]).awaitTermination()
+        return {(r.d, r.day, r.v) for r in read_bronze(spark, root).selectExpr("cast(ingest_date AS string) AS d", "day", "v").collect()}
+
+    assert land([("01-05", 1, "w", "2024-01-01"), ("07-05", 2, "w", "2024-07-01")]) == {("2024-01-01", "01-05", 1), ("2024-07-01", "07-05", 2)}
+    before = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "bronze" / "source=w" / "ingest_date=2024-07-01").glob("*.parquet")}
+    assert land([("01-05", 3, "w", "2024-01-01"), ("01-06", 4, "w", "2024-01-01")]) == {
+        ("2024-01-01", "01-05", 3), ("2024-01-01", "01-06", 4), ("2024-07-01", "07-05", 2)}
+    after = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "bronze" / "source=w" / "ingest_date=2024-07-01").glob("*.parquet")}
+    assert before == after
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not present")
