@@ -30,6 +30,7 @@ class FeatureConfig:
 
 @dataclass(frozen=True)
 class TransformConfig:
+    # Fixed values that must equal the reference's defaults.
     max_null_rate: float = 0.05
     min_daily_volume: float = 2000.0
     asof_tolerance_days: int = 3
@@ -40,9 +41,9 @@ class TransformConfig:
 
 @dataclass(frozen=True)
 class MonitoringConfig:
+    # Fixed values that must equal the reference's defaults.
     lookback_years: int = 5
     min_row_fraction: float = 0.80
-    psi_warning: float = 0.10
     psi_critical: float = 0.20
     psi_bins: int = 10
     psi_min_values: int = 20
@@ -55,6 +56,7 @@ class MonitoringConfig:
 
 @dataclass(frozen=True)
 class ModelConfig:
+    # Fixed values that must equal the reference's defaults, as far as the booster has them.
     test_size: float = 0.15
     n_cv_splits: int = 5
     gap_days: int = 5

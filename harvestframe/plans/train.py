@@ -1,4 +1,4 @@
-"""M5-M6: gradient-boosted regression with Spark ML and permutation importance.
+"""M5-M6: gradient-boosted regression with Spark ML: hold-out, walk-forward folds, importances, files.
 
 Re-aimed from the reference's single-machine booster: ``GBTRegressor`` trains on
 the cluster; numbers will not equal the reference's.  Early stopping uses a
@@ -8,14 +8,20 @@ validation tail of the *training* rows, never the test set.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestframe.config import Config
-from harvestframe.plans.mlprep import regression_metrics
+from harvestframe.plans.mlprep import chrono_split, fold_bounds, fold_summary, regression_metrics, renumber, robust_apply, robust_stats
+from harvestframe.sources.bronze import write_csv, write_table
+
+# Share of the training rows, the last of each series, that decides when boosting stops.
+VALIDATION_SHARE = 0.15
 
 
 def assemble(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
@@ -33,15 +39,13 @@ def gbt(cfg: Config = Config(), with_validation: bool = True) -> GBTRegressor:
     return est
 
 
-def mark_validation_tail(train: DataFrame, frac: float = 0.15, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy("date")
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return train.withColumn("is_val", (F.row_number().over(w) > n - F.floor(n * frac)))
+def mark_validation_tail(train: DataFrame, n_train: Column, frac: float = VALIDATION_SHARE) -> DataFrame:
+    """``is_val`` on the last rows of each series, from the row's position ``pos`` and the training length."""
+    return train.withColumn("is_val", F.col("pos") >= n_train - F.floor(n_train * F.lit(frac)))
 
 
-def fit(train: DataFrame, feature_cols: Sequence[str], cfg: Config = Config()):
-    data = assemble(mark_validation_tail(train), feature_cols)
-    return gbt(cfg).fit(data)
+def fit(train: DataFrame, feature_cols: Sequence[str], n_train: Column, cfg: Config = Config()) -> GBTRegressionModel:
+    return gbt(cfg).fit(assemble(mark_validation_tail(train, n_train), feature_cols))
 
 
 def evaluate(model, test: DataFrame, feature_cols: Sequence[str], group: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -49,27 +53,66 @@ def evaluate(model, test: DataFrame, feature_cols: Sequence[str], group: Sequenc
     return regression_metrics(pred, list(group))
 
 
-def permutation_importance(model, test: DataFrame, feature_cols: Sequence[str], seed: int = 42) -> DataFrame:
-    """M6: increase in MAE when one feature is shuffled (random re-ordering of its values
-    within the test set, a distributed sort by a random key).  Returns (feature, importance)."""
-    base = model.transform(assemble(test, feature_cols)).agg(F.avg(F.abs(F.col("target") - F.col("prediction"))))
-    base_mae = base.first()[0]
-    out = []
-    # Values are permuted within each series (positions by date vs. by a random key),
-    # so the permutation is as parallel as the series partitioning.
-    idx = test.withColumn("__i", F.row_number().over(Window.partitionBy("symbol").orderBy("date")))
-    for c in feature_cols:
-        perm = (idx.select("symbol", F.col(c).alias("__v"), F.rand(seed).alias("__r"))
-                   .withColumn("__i", F.row_number().over(Window.partitionBy("symbol").orderBy("__r"))))
-        shuffled = idx.drop(c).join(perm.select("symbol", "__i", F.col("__v").alias(c)), ["symbol", "__i"])
-        mae = model.transform(assemble(shuffled, feature_cols)).agg(
-            F.avg(F.abs(F.col("target") - F.col("prediction")))).first()[0]
-        out.append((c, float(mae - base_mae)))
-    spark = test.sparkSession
-    return spark.createDataFrame(out, "feature string, importance double")
+@dataclass(frozen=True)
+class Trained:
+    """A fitted model with the scaler of its rows; ``rows`` are the scaled rows with their role."""
+
+    model: GBTRegressionModel
+    stats: DataFrame
+    rows: DataFrame
+    feature_cols: tuple[str, ...]
+
+    def holdout(self, group: Sequence[str] = ("symbol",)) -> DataFrame:
+        return evaluate(self.model, self.rows.where(F.col("role") == "test"), self.feature_cols, group)
+
+
+def train_model(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config()) -> Trained:
+    """M1, M2, M5: split by time, scale by the training rows, fit on them."""
+    split = chrono_split(gold, feature_cols, cfg)
+    stats = robust_stats(split.where(F.col("role") == "train"), feature_cols)
+    rows = robust_apply(split, stats, feature_cols)
+    n_train = F.col("n") - F.floor(F.col("n") * F.lit(cfg.model.test_size))
+    model = fit(rows.where(F.col("role") == "train"), feature_cols, n_train, cfg)
+    return Trained(model, stats, rows, tuple(feature_cols))
+
+
+def cross_validate(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config()) -> DataFrame:
+    """M3, M4, A10: one fit per walk-forward fold, each with a scaler of its own training rows.
+
+    Returns (metric, mean, std) over the folds' validation metrics.  Folds are a handful of jobs in turn.
+    """
+    train = chrono_split(gold, feature_cols, cfg).where(F.col("role") == "train").drop("pos", "n", "role")
+    rows = renumber(train).withColumn("__f", F.explode(fold_bounds(F.col("n"), cfg.model.n_cv_splits, cfg.model.gap_days)))
+    scored = []
+    for k in range(1, cfg.model.n_cv_splits + 1):
+        fold = rows.where(F.col("__f.fold") == k)
+        own = fold.where(F.col("pos") < F.col("__f.train_end"))
+        stats = robust_stats(own, feature_cols)
+        model = fit(robust_apply(own, stats, feature_cols), feature_cols, F.col("__f.train_end"), cfg)
+        val = robust_apply(fold.where((F.col("pos") >= F.col("__f.val_start")) & (F.col("pos") < F.col("__f.val_end"))), stats, feature_cols)
+        scored.append(model.transform(assemble(val, feature_cols)).select(F.lit(k).alias("fold"), "target", "prediction"))
+    return fold_summary(regression_metrics(reduce(DataFrame.unionByName, scored), ["fold"]), keys=())
 
 
 def tree_importance(model, feature_cols: Sequence[str], spark) -> DataFrame:
     """M6 (cheap form): the model's impurity-based importances as (feature, importance)."""
     imp = model.featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(feature_cols, [float(v) for v in imp])), "feature string, importance double")
+
+
+def save_model(trained: Trained, root: str) -> None:
+    """Model, scaler and the ranked importances (CSV with header) under ``root``."""
+    spark = trained.rows.sparkSession
+    trained.model.write().overwrite().save(f"{root}/model")
+    write_table(trained.stats, f"{root}/scaler")
+    ranked = tree_importance(trained.model, trained.feature_cols, spark).orderBy(F.desc("importance"), "feature")
+    write_csv(ranked.coalesce(1), f"{root}/importance")  # one row per feature
+
+
+def load_model(spark: SparkSession, root: str) -> tuple[GBTRegressionModel, DataFrame]:
+    """The model and the scaler that ``save_model`` wrote."""
+    return GBTRegressionModel.load(f"{root}/model"), spark.read.parquet(f"{root}/scaler")
+
+
+def read_importance(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema("feature string, importance double").option("header", True).csv(f"{root}/importance")

@@ -215,4 +215,5 @@ def l4_pipeline(spark, sf):
     """L4: land -> silver -> gold -> contracts -> quality -> metrics, tables written between layers."""
     from harvestframe.plans.pipeline import run_pipeline
     from harvestframe.queries_core import landed
-    return run_pipeline(spark, *landed(spark, sf), scratch_path(spark, "pipeline"), CFG, today=TODAY)
+    out = run_pipeline(spark, *landed(spark, sf), scratch_path(spark, "pipeline"), CFG, today=TODAY)
+    return out.select("silver_rows", "gold_features", "quality_passed", "trained")

@@ -1,8 +1,8 @@
 """Registered queries: model data M1-M6, scoring C1-C3, lineage L1-L3, fold stats A10.
 
 The deterministic queries evaluate a momentum baseline (prediction = return_5d in
-percent) so that the evaluation operators have an exact SQL oracle; the Spark ML
-model queries (M5, M6, C1, L1) are checked on rows only.
+percent) so that the evaluation operators have an exact SQL oracle; of the Spark ML
+model queries M5 and M6 are checked on rows only, C1 on what the booster does not change.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from harvestframe.checks import sql as S
 from harvestframe.plans import mlprep as M
 from harvestframe.plans.gold import feature_names, market_features
-from harvestframe.plans.lineage import dataset_digest, pipeline_metrics, prediction_histogram, run_record
+from harvestframe.plans.lineage import append_run, dataset_digest, pipeline_metrics, prediction_histogram, run_record
 from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_features, latest_row, snapshot_long
 from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.queries_quality import QSQL, report
 from harvestframe.registry import CFG, kinds_for, register
+from harvestframe.session import scratch_path
 
 GOLD = S.gold_sql()
 MF = market_features(CFG)
@@ -175,59 +176,66 @@ def l3_pipeline_metrics(spark, sf):
     return pipeline_metrics(silver(spark, sf), feature_columns(g), report(spark, sf))
 
 
-# ---------------------------------------------------------------- Spark ML (rows-only checks)
+# ---------------------------------------------------------------- Spark ML
 _MODELS: dict = {}
 
 
-def _fit(spark, sf):
-    """Fit once per (application, data dir); M5, M6 and C1 share the model."""
-    from harvestframe.plans.train import fit
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _MODELS:
-        return _MODELS[key]
-    sp = split(spark, sf)
-    trn = sp.where(F.col("role") == "train")
-    stats = M.robust_stats(trn, MF)
-    scaled = M.robust_apply(sp, stats, MF)
-    model = fit(scaled.where(F.col("role") == "train"), MF, CFG)
-    _MODELS[key] = (model, scaled, stats)
-    return _MODELS[key]
+def trained_model(spark, sf):
+    """The model, fitted once per content of the training data; M5, M6 and C1 share it."""
+    from harvestframe.plans.train import train_model
+    g = gold_table(spark, sf)
+    key = (spark.sparkContext.applicationId, *dataset_digest(g).first())
+    if key not in _MODELS:
+        _MODELS[key] = train_model(g, MF, CFG)
+    return _MODELS[key], g
 
 
 @register("m5_gbt_train")
 def m5_gbt_train(spark, sf):
     """M5: gradient-boosted trees (Spark ML) on the scaled training rows; hold-out metrics per symbol."""
-    from harvestframe.plans.train import evaluate
-    model, scaled, _ = _fit(spark, sf)
-    return evaluate(model, scaled.where(F.col("role") == "test"), MF)
+    return trained_model(spark, sf)[0].holdout()
 
 
 @register("m6_feature_importance")
 def m6_feature_importance(spark, sf):
-    """M6: feature importances of the trained model, ranked."""
-    from harvestframe.plans.train import tree_importance
-    model, _, _ = _fit(spark, sf)
-    return tree_importance(model, MF, spark).orderBy(F.desc("importance"))
-
-
-@register("c1_score_latest")
+    """M6: feature importances of the trained model, written as CSV and read back, ranked."""
+    from harvestframe.plans.train import read_importance, save_model
+    root = scratch_path(spark, "model")
+    save_model(trained_model(spark, sf)[0], root)
+    return read_importance(spark, root).orderBy(F.desc("importance"))
+
+
+@register("c1_score_latest", MSQL + f""",
+lastf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM gold
+                         WHERE {' AND '.join(f'{c} IS NOT NULL' for c in MF)}) WHERE k = 1)""",
+          " UNION ALL ".join(f"SELECT symbol, date, {CFG.features.target_horizon_days} AS horizon_days, true AS scored, '{c}' AS feature, "
+                             f"round(CAST({c} AS DOUBLE), 4) AS value FROM lastf WHERE {c} IS NOT NULL" for c in SNAPSHOT_FEATURES),
+          kinds_for(["symbol", "date", "horizon_days", "scored", "feature", "value"], ints=("horizon_days",), bools=("scored",)))
 def c1_score_latest(spark, sf):
-    """Latest complete row per series -> scale -> predict -> direction + snapshot."""
+    """Latest complete row per series scored with the saved and reloaded model and scaler; the columns
+    that do not depend on the booster: horizon, whether a prediction and a direction came, and the snapshot."""
     from harvestframe.plans.scoring import score_latest
-    model, _, stats = _fit(spark, sf)
-    out = score_latest(gold(spark, sf), model, MF, stats, CFG)
-    return out.withColumn("snapshot", F.to_json("snapshot"))
-
-
-@register("l1_run_record")
+    from harvestframe.plans.train import load_model, save_model
+    trained, g = trained_model(spark, sf)
+    root = scratch_path(spark, "model")
+    save_model(trained, root)
+    model, stats = load_model(spark, root)
+    out = score_latest(g, model, MF, stats, CFG)
+    scored = F.col("predicted_return_pct").isNotNull() & F.col("direction").isin("BULLISH", "BEARISH", "NEUTRAL")
+    return out.select("symbol", "date", "horizon_days", scored.alias("scored"), F.explode("snapshot").alias("feature", "value"))
+
+
+@register("l1_run_record", GOLD, "SELECT 'baseline' AS run_id, count(*) AS rows, min(date) AS start_date, max(date) AS end_date, 5 AS n_metrics FROM gold",
+          kinds_for(["run_id", "rows", "start_date", "end_date", "n_metrics"], ints=("rows", "n_metrics"), dates=("start_date", "end_date"), strs={"run_id"}))
 def l1_run_record(spark, sf):
-    """L1: one run record (metrics, params, rows, date range, digest)."""
-    g = gold(spark, sf)
+    """L1: a run record (metrics, params, rows, date range, digest) appended to a table and read back."""
+    g = gold_table(spark, sf)
     met = {r["metric"]: r["mean"] for r in
            M.fold_summary(M.regression_metrics(folds(spark, sf).where(F.col("role") == "val"), ["fold"]), keys=())
            .collect()}  # five metrics
-    rec = run_record("baseline", met, {"test_size": m.test_size, "n_cv_splits": m.n_cv_splits}, g, "0.1.0")
-    return rec.withColumns({"metrics": F.to_json("metrics"), "params": F.to_json("params")})
+    path = scratch_path(spark, "runs")
+    append_run(run_record("baseline", met, {"test_size": m.test_size, "n_cv_splits": m.n_cv_splits}, g, "0.2.0"), path)
+    return spark.read.parquet(path).select("run_id", "rows", "start_date", "end_date", F.size("metrics").alias("n_metrics"))
 
 
 @register("l2_dataset_digest")
