@@ -160,3 +160,50 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     rows = judged(with_counts(docs).drop("text"))
     return rows.select("doc_id", *[F.col(f"__q.{c}").alias(c) for c in COUNTS if c not in ("n_lines", "n_echoes")],
                        F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
+
+
+def oracle_op8() -> str:
+    """The same counts, sketches, fences and verdicts in SQL."""
+    space = r"[\x20\x09-\x0D]"
+    values = ", ".join(f"{{'ratio': '{k}', 'v': {v}}}" for k, v in {
+        "word_length": "word_chars::DOUBLE / greatest(n_words, 1)", "symbols": "n_symbols::DOUBLE / greatest(n_words, 1)",
+        "dup_lines": "n_dup_lines::DOUBLE / greatest(n_lines, 1)", "repeats": "n_repeat_words::DOUBLE / greatest(n_words, 1)",
+        "echoes": "n_echoes::DOUBLE / greatest(n_words, 1)"}.items())
+
+    def level(name: str, by: str) -> str:
+        value = f"CASE WHEN bin = {ZERO_BIN} THEN 0.0::DOUBLE ELSE 2 * pow({GAMMA}::DOUBLE, bin) / {GAMMA + 1!r}::DOUBLE END"
+        at = ", ".join(f"min({value}) FILTER (WHERE upto >= {q}::DOUBLE * total) AS {c}" for q, c in ((0.25, "q1"), (0.75, "q3")))
+        return f"""
+{name} AS (SELECT {by} ratio, any_value(total) AS total, {at} FROM (
+             SELECT {by} ratio, bin, sum(n) OVER (PARTITION BY {by} ratio ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by} ratio) AS total
+             FROM (SELECT {by} ratio, bin, sum(n) AS n FROM cells GROUP BY ALL)) GROUP BY ALL)"""
+
+    pick = lambda c: f"CASE WHEN a.total >= {MIN_GROUP} THEN a.{c} WHEN b.total >= {MIN_GROUP} THEN b.{c} ELSE g.{c} END"
+    slack = "CASE a.ratio " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in SLACK.items()) + " END"
+    two = ", ".join(f"'{k}'" for k in TWO_SIDED)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
+                  list_filter(string_split_regex(coalesce(text, ''), '{space}+'), lambda x: x <> '') AS w FROM documents),
+     li AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r),
+     u AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, CASE WHEN i <= len(w) - 7 THEN array_to_string(w[i:i + 7], ' ') END AS s FROM d),
+     f AS (SELECT r, i, word, s IS NOT NULL AND count(*) OVER (PARTITION BY r, s) > 1 AS again, lag(word) OVER (PARTITION BY r ORDER BY i) AS prior FROM u),
+     c AS (SELECT r, i, word = prior AS echo, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM f),
+     wc AS (SELECT r, count(*) FILTER (WHERE covered) AS n_repeat_words, count(*) FILTER (WHERE echo) AS n_echoes FROM c GROUP BY r),
+     q AS (SELECT d.r, doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '{space}+', '', 'g')) AS word_chars,
+                  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                  coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_echoes, 0) AS n_echoes
+           FROM d LEFT JOIN li USING (r) LEFT JOIN wc USING (r)),
+     j AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed, unnest([{values}]) AS x FROM q),
+     cells AS (SELECT lang, source, x.ratio AS ratio, CASE WHEN x.v > 0 THEN ceil(ln(x.v) / {math.log(GAMMA)!r}::DOUBLE) ELSE {ZERO_BIN} END AS bin, count(*) AS n
+               FROM j WHERE NOT base_failed GROUP BY ALL),{level('k0', 'lang, source,')},{level('k1', 'lang,')},{level('k2', '')},
+     lim AS (SELECT a.lang, a.source, a.ratio, {pick('q1')} AS q1, {pick('q3')} AS q3, {slack} AS slack
+             FROM k0 a LEFT JOIN k1 b ON a.lang IS NOT DISTINCT FROM b.lang AND a.ratio = b.ratio LEFT JOIN k2 g ON a.ratio = g.ratio),
+     v AS (SELECT j.r, coalesce(bool_and(x.v <= q3 + greatest({SPREAD} * (q3 - q1), slack::DOUBLE)
+                                AND (x.ratio NOT IN ({two}) OR x.v >= q1 - greatest({SPREAD} * (q3 - q1), slack::DOUBLE))), true) AS inside
+           FROM j LEFT JOIN lim ON j.lang IS NOT DISTINCT FROM lim.lang AND j.source IS NOT DISTINCT FROM lim.source AND x.ratio = lim.ratio GROUP BY j.r)
+SELECT DISTINCT ON (j.r) doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept
+FROM j JOIN v USING (r)"""
+
+
+ORACLE_OP8 = oracle_op8()

@@ -6,12 +6,12 @@ from .decontam import ORACLE_OP5, op5_benchmark_decontamination
 from .linededup import ORACLE_OP10, op10_line_dedup
 from .mixing import op2_mix_sources
 from .pseudonyms import op6_pii_pseudonyms
-from .quality import op8_quality_rules
+from .quality import ORACLE_OP8, op8_quality_rules
 from .secretscan import op9_secret_scan
 from .sharding import op1_shard_hilbert
 from .simhash import op3_simhash_near_dedup
 from .tokens import op4_token_orc
-from .urltree import op7_url_filter
+from .urltree import ORACLE_OP7, op7_url_filter
 
 QUERIES = {
     "op1_shard_hilbert": op1_shard_hilbert,
@@ -27,5 +27,7 @@ QUERIES = {
 }
 ORACLE: dict[str, str] = {
     "op5_benchmark_decontamination": ORACLE_OP5,
+    "op7_url_filter": ORACLE_OP7,
+    "op8_quality_rules": ORACLE_OP8,
     "op10_line_dedup": ORACLE_OP10,
 }

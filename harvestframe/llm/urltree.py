@@ -45,7 +45,7 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 def segments(path: Column) -> Column:
     """The parts of a path between slashes, one at the end aside; what lies deeper than ``MAX_DEPTH`` is one last part."""
-    return F.split(F.regexp_replace(path, "^/|/$", ""), "/", MAX_DEPTH)
+    return F.split(F.regexp_replace(path, r"^/|/\z", ""), "/", MAX_DEPTH)
 
 
 def _counts() -> list[Column]:
@@ -118,3 +118,47 @@ def judged_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col:
 def op7_url_filter(spark, sf_dir: str) -> DataFrame:
     """Contract query over all ``pages``."""
     return judged_urls(read_table(spark, sf_dir, "pages"))
+
+
+def oracle_op7(rules=RULES) -> str:
+    """The same judgement in SQL, one group of CTEs per depth."""
+    lower = f"translate({{}}, '{_UPPER}', '{_LOWER}')"
+    order = sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]), r[0] == "block"), reverse=True)
+    when = "".join(f" WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p}'" for _, h, p in order)
+    act = "".join(f" WHEN rule = '{h + p}' THEN '{a}'" for a, h, p in order)
+    counts = "count(*) AS n, count(*) FILTER (WHERE label = 1) AS blocked, count(*) FILTER (WHERE label = 0) AS allowed"
+
+    def differs(part: str) -> str:
+        pooled = f"all_{part}::DOUBLE / all_n"
+        spread = f"sqrt({pooled} * (1 - {pooled}) * (1.0::DOUBLE / n + 1.0::DOUBLE / (all_n - n)))"
+        return f"(all_n = n OR ({spread} > 0 AND abs({part}::DOUBLE / n - (all_{part} - {part})::DOUBLE / (all_n - n)) >= {MIN_Z}::DOUBLE * {spread}))"
+
+    levels = [f"""
+l0 AS (SELECT *, CASE WHEN len(p) > {MAX_DEPTH} THEN list_append(p[1:{MAX_DEPTH - 1}], array_to_string(p[{MAX_DEPTH}:], '/')) ELSE p END AS parts, '' AS template
+       FROM (SELECT *, string_split(regexp_replace(path, '^/|/$', '', 'g'), '/') AS p FROM judged))"""]
+    for d in range(1, MAX_DEPTH + 1):
+        levels.append(f"""
+b{d} AS (SELECT host, template, parts[{d}] AS segment, {counts} FROM l{d - 1} WHERE len(parts) >= {d} GROUP BY ALL),
+n{d} AS (SELECT *, sum(n) OVER w AS all_n, sum(blocked) OVER w AS all_blocked, sum(allowed) OVER w AS all_allowed FROM b{d} WINDOW w AS (PARTITION BY host, template)),
+s{d} AS (SELECT host, template, segment FROM n{d} WHERE n >= {MIN_PAGES} AND n >= {MIN_SHARE}::DOUBLE * all_n AND ({differs('blocked')} OR {differs('allowed')})),
+l{d} AS (SELECT l.* REPLACE (l.template || CASE WHEN len(l.parts) < {d} THEN '' ELSE '/' || coalesce(s.segment, '*') END AS template)
+         FROM l{d - 1} l LEFT JOIN s{d} s ON s.host = l.host AND s.template = l.template AND s.segment = l.parts[{d}])""")
+    last = f"l{MAX_DEPTH}"
+    k = f"{SMOOTHING}::DOUBLE"
+    return f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+     h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+     parsed AS (SELECT page_id, {lower.format('raw')} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+     ruled AS (SELECT *, CASE{when} END AS rule FROM parsed),
+     acted AS (SELECT *, CASE{act} END AS action FROM ruled),
+     judged AS (SELECT *, CASE action WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS label FROM acted),{','.join(levels)},
+     t AS (SELECT host, template, {counts} FROM {last} GROUP BY host, template),
+     hosts AS (SELECT host, sum(blocked) AS hb, sum(blocked + allowed) AS hl FROM t GROUP BY host),
+     share AS (SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(blocked + allowed), 0), 0) AS s FROM t),
+     bad AS (SELECT t.host, t.template FROM t JOIN hosts USING (host), share
+             WHERE (blocked + {k} * ((hb + {k} * s) / (hl + {k}))) / (blocked + allowed + {k}) >= {REJECT}::DOUBLE AND blocked + allowed >= {LABELLED}::DOUBLE * n)
+SELECT page_id, l.host, path, rule, coalesce(action, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, l.template
+FROM {last} l LEFT JOIN bad ON bad.host = l.host AND bad.template = l.template"""
+
+
+ORACLE_OP7 = oracle_op7()
