@@ -20,17 +20,22 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import fresh_path, per_worker, read_table, small_batches
+from .common import fresh_path, per_worker, read_table, small_batches, stage
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 ROW_INDEX, STRIPE_BYTES = 1000, 16 << 20
 #: Most pieces whose ids a worker keeps, and the longest of them.
-KEPT_PIECES, KEPT_LENGTH = 400_000, 40
-#: White space other than a single space or line feed between two other characters.
-_IRREGULAR = re.compile("  | \n|\n |\n\n|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|^[ \n]|[ \n]\\Z")
+KEPT_PIECES, KEPT_LENGTH = 700_000, 40
+#: White space, in pairs or of other kinds than a single space or line feed between two other characters.
+_UNEVEN = ("  ", " \n", "\n ", "\n\n", *"\t\r\x0b\x0c\x1c\x1d\x1e\x1f")
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SAFE_CUT = re.compile("(?<=[!-~])(?= [!-~])")
 
 
+def _irregular(text: str) -> bool:
+    return any(map(text.__contains__, _UNEVEN)) or text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or not text.isascii() and _WIDE.search(text) is not None
+
+
 def _byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next from U+0100."""
     out = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
@@ -84,8 +89,8 @@ class Encoder:
         """Little-endian unsigned 32-bit ids; none for null or empty."""
         if not text:
             return b""
-        if _IRREGULAR.search(text):
-            return b"".join([self.whole(x) if _IRREGULAR.search(x[1:]) else self.piece(x[1:], True) if x[0] == " " else self.whole(x)
+        if _irregular(text):
+            return b"".join([self.whole(x) if _irregular(x[1:]) else self.piece(x[1:], True) if x[0] == " " else self.whole(x)
                              for x in _SAFE_CUT.split(text)])
         first, *rest = text.split(" ")
         get, piece = self.spaced.get, self.piece
@@ -139,8 +144,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.schema(_SCHEMA).orc(path)
     sums = rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))  # reads two columns
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return rows.join(offsets, F.col("part") == F.col("p")).select("doc_id", (F.col("offset") + F.col("start")).alias("start"), "ids")
+    offsets = stage(sums.select(F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "tokens-offsets")
+    return rows.join(F.broadcast(offsets), F.col("part") == F.col("p")).select("doc_id", (F.col("offset") + F.col("start")).alias("start"), "ids")
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
