@@ -91,7 +91,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = docs.withColumn("__row", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
     cut = later_windows(keyed.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("__row").alias("row"), F.col(f"`{text_col}`").alias("text")))
     cut = stage(cut, "line-cuts").select(F.col("row").alias("__cut"), F.col("starts").alias("__starts"))
-    out = (keyed.join(cut, F.col("__row") == F.col("__cut"), "left")
+    # a shuffle join at every size: the cuts grow with the documents
+    out = (keyed.join(cut.hint("merge"), F.col("__row") == F.col("__cut"), "left")
            .withColumn("__new", _without(F.col(f"`{text_col}`"), F.col("__starts"))))
     new = {text_col: "text", "n_lines": "n_lines", "removed_lines": "removed_lines"}
     kept = [F.col(f"__new.{new[c]}").alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
