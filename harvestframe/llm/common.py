@@ -48,8 +48,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that a run of very long texts stays small in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def utf8(texts: pa.Array) -> list[bytes | None]:
