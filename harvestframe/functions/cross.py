@@ -31,9 +31,10 @@ def add(df: DataFrame, f: FeatureConfig, keys=KEY, order=ORDER) -> DataFrame:
             continue
         helpers[f"__{leg}_lr"] = ln_pos(div(close, lag(f"{leg}_close", keys=keys, order=order)))
         if leg == "usd":
-            helpers["__usd_pad"] = pad("usd_close", keys=keys, order=order)
+            if "__usd_pad" not in df.columns:  # a chunked build brings it
+                helpers["__usd_pad"] = pad("usd_close", keys=keys, order=order)
             out["usd_return_5d"] = pct_change_of_padded("__usd_pad", 5, keys=keys, order=order)
         out[f"corn_{leg}_corr_20d"] = rolling_corr("log_return_1d", f"__{leg}_lr", n, keys=keys, order=order)
     if helpers:
         df = df.withColumns(helpers)
-    return df.withColumns(out).drop(*helpers) if out else df
+    return df.withColumns(out).drop(*helpers, "__usd_pad") if out else df

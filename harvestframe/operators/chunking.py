@@ -77,18 +77,18 @@ def series_positions(df: DataFrame, keys: Sequence[str], order: str, bucket: str
     return d.withColumnRenamed(POS, pos)
 
 
-def fill_forward(df: DataFrame, keys: Sequence[str], order: str, col: str, out: str, bucket: str = "year") -> DataFrame:
-    """Forward fill without a whole-series window: inside each (series, time bucket), and before its
-    first value the last value of the buckets before (one row per bucket)."""
+def fill_forward(df: DataFrame, keys: Sequence[str], order: str, cols: dict[str, str], bucket: str = "year") -> DataFrame:
+    """Forward fills (column -> new column) without a whole-series window: inside each (series, time
+    bucket), and before its first value the last value of the buckets before (one row per bucket)."""
     keys = list(keys)
     d = df.withColumn("__bucket", F.date_trunc(bucket, F.col(order)))
-    last = d.where(F.col(col).isNotNull()).groupBy(*keys, "__bucket").agg(F.max_by(col, order).alias("__last"))
-    every = d.select(*keys, "__bucket").distinct().join(last, [*keys, "__bucket"], "left")
+    last = d.groupBy(*keys, "__bucket").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(out) for c, out in cols.items()])
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = every.select(*keys, "__bucket", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    carry = last.select(*keys, "__bucket", *[F.last(out, ignorenulls=True).over(before).alias(f"__carry_{out}") for out in cols.values()])
     inside = Window.partitionBy(*keys, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.join(carry, [*keys, "__bucket"])
-    return d.withColumn(out, F.coalesce(F.last(col, ignorenulls=True).over(inside), F.col("__carry"))).drop("__bucket", "__carry")
+    filled = {out: F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__carry_{out}")) for c, out in cols.items()}
+    return d.withColumns(filled).drop("__bucket", *[f"__carry_{out}" for out in cols.values()])
 
 
 def neighbour(df: DataFrame, keys: Sequence[str], cols: Sequence[str], offset: int, pos: str = "pos",

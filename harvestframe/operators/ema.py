@@ -159,3 +159,39 @@ def with_ema(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str] = ("sy
     if tmp_rn:
         drop.append(rn)
     return df.drop(*drop)
+
+
+def ema_by_blocks(df: DataFrame, specs: Sequence[EmaSpec], keys: Sequence[str], pos: str) -> DataFrame:
+    """``with_ema`` for series too long for one task, from each row's 0-based position ``pos``.
+
+    The scan inside a block needs the block alone.  What spans the series comes as small tables:
+    first value and minimum per series (an aggregate), and the last value of each block, joined to
+    the next block.  No window holds more rows than a block.
+    """
+    keys = list(keys)
+    srcs = sorted({s.src for s in specs})
+    known = [x for c in srcs for x in (
+        F.min(c).alias(f"__min_{c}"), F.min(F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"__at_{c}"),
+        F.min_by(c, F.when(F.col(c).isNotNull(), F.col(pos))).alias(f"__first_{c}"))]
+    df = df.join(df.groupBy(*keys).agg(*known), keys)
+    for c in srcs:
+        started = F.col(pos) >= F.col(f"__at_{c}")
+        gap = F.raise_error(F.lit(f"EMA of {c}: NULL after the first value")).cast("double")
+        value = F.when(started, F.when(F.col(c).isNull(), gap).otherwise(F.col(c))).otherwise(F.col(f"__first_{c}"))
+        df = df.withColumn(f"__x_{c}", value - F.col(f"__min_{c}"))
+    for size, group in _groups(specs):
+        j = F.pmod(F.col(pos), F.lit(size)).cast("double")
+        df = df.withColumn("__blk", F.floor(F.col(pos) / F.lit(size)))
+        run = Window.partitionBy(*keys, "__blk").orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        local = {}
+        for s in group:
+            b = 1.0 - s.alpha
+            weight = F.when(F.col(pos) == 0, F.lit(1.0)).otherwise(F.lit(s.alpha))
+            local[f"__loc_{s.out}"] = F.sum(weight * F.col(f"__x_{s.src}") * F.pow(F.lit(b), -j)).over(run) * F.pow(F.lit(b), j)
+        df = df.withColumns(local)
+        ends = df.where(j == size - 1).select(*keys, (F.col("__blk") + 1).alias("__blk"), *[F.col(f"__loc_{s.out}").alias(f"__end_{s.out}") for s in group])
+        df = df.join(ends, [*keys, "__blk"], "left")
+        df = df.withColumns({s.out: F.when(F.col(pos) >= F.col(f"__at_{s.src}"), F.col(f"__loc_{s.out}") + F.col(f"__min_{s.src}") + F.coalesce(
+            F.pow(F.lit(1.0 - s.alpha), j + 1.0) * F.col(f"__end_{s.out}"), F.lit(0.0))) for s in group})
+        df = df.drop("__blk", *[f"__{p}_{s.out}" for s in group for p in ("loc", "end")])
+    return df.drop(*[f"__{p}_{c}" for c in srcs for p in ("min", "at", "first", "x")])

@@ -14,9 +14,11 @@ from pyspark.sql.types import NumericType
 from harvestframe.config import Config
 from harvestframe.functions import calendar, cross, price, technical, target, volatility, weather
 from harvestframe.functions.numeric import clip_lower, clip_upper
-from harvestframe.operators.chunking import CHUNK, HOME, POS, running_sum_with_carry, with_halo, with_positions
-from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_memory, shared_block, with_ema
+from harvestframe.operators.chunking import CHUNK, HOME, POS, fill_forward, neighbour, running_sum_with_carry, with_halo, with_positions
+from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_by_blocks, shared_block, with_ema
 from harvestframe.operators.windows import lag, pad, row_index
+from harvestframe.session import scratch_path
+from harvestframe.sources.bronze import read_table, write_table
 
 # The layer's column names and the columns that are no features.
 SILVER_PASSTHROUGH = ["returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
@@ -64,18 +66,15 @@ def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
         df = df.withColumn("__blk", F.floor(F.col("__rn") / F.lit(block)))
         order = ("__blk", "__rn")
         ema_kw = {"rn": "__rn", "blk": "__blk", "block": block}
-    df = df.withColumns({
-        "__close_pad": pad("close", keys=keys, order=order),
-        "__close_lag1": lag("close", keys=keys, order=order),
-    })
-    df = df.withColumn("__delta", F.col("close") - F.col("__close_lag1"))
-    df = df.withColumns({
-        "__gain": clip_lower("__delta", 0.0),
-        "__loss": -clip_upper("__delta", 0.0),
-    })
-    df = with_ema(df, ema_specs(cfg), keys=keys, order="date", **ema_kw)              # (b)
-    df = technical.add_macd(df, f)
-    df = with_ema(df, [signal_spec(cfg)], keys=keys, order="date", **ema_kw)          # (c)
+    if "__close_pad" not in df.columns:  # a chunked build brings what reaches beyond a chunk's halo
+        df = df.withColumns({
+            "__close_pad": pad("close", keys=keys, order=order),
+            "__close_lag1": lag("close", keys=keys, order=order),
+        })
+        df = add_changes(df)
+        df = with_ema(df, ema_specs(cfg), keys=keys, order="date", **ema_kw)              # (b)
+        df = technical.add_macd(df, f)
+        df = with_ema(df, [signal_spec(cfg)], keys=keys, order="date", **ema_kw)          # (c)
     df = price.add(df, f, keys, order)
     df = technical.add(df, f, keys, order)
     df = volatility.add(df, f, keys, order)
@@ -86,6 +85,11 @@ def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
     return weather.add_cumulative(df, f, keys, order)
 
 
+def add_changes(df: DataFrame) -> DataFrame:
+    df = df.withColumn("__delta", F.col("close") - F.col("__close_lag1"))
+    return df.withColumns({"__gain": clip_lower("__delta", 0.0), "__loss": -clip_upper("__delta", 0.0)})
+
+
 def signal_spec(cfg: Config = Config()) -> EmaSpec:
     return EmaSpec("macd_signal_line", "macd", alpha_from_span(cfg.features.macd_signal))
 
@@ -99,41 +103,51 @@ def ema_specs(cfg: Config = Config()) -> list[EmaSpec]:
 
 
 def lookback_rows(cfg: Config = Config()) -> int:
-    """Rows of history a chunk needs so every feature equals the unchunked value:
-    EMA memory to 1e-18 (close, then the signal line on MACD) or the longest rolling chain."""
+    """Rows of history a chunk needs: the longest chain of rolling windows.  What reaches further
+    (EMAs, running sums, forward fills) is carried, not recomputed."""
     f = cfg.features
-    mem = max(ema_memory(s.alpha) for s in ema_specs(cfg))
-    ema_chain = 1 + mem + ema_memory(signal_spec(cfg).alpha)
-    rolling_chain = max(f.long_window, 1 + 20 + 60, 1 + f.corr_window, max(f.rolling_windows) + 1)
-    return max(ema_chain, rolling_chain)
+    return max(f.long_window, 1 + 20 + 60, 1 + f.corr_window, max(f.rolling_windows) + 1)
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: each step of phase A joins a frame with its own sums."""
+    spark = df.sparkSession
+    return read_table(spark, write_table(df, scratch_path(spark, name)))
 
 
 def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None = None,
                bucket: str = "year") -> DataFrame:
     """F31.  ``chunk_rows`` splits each series into chunks of that many rows (with halos),
     so a series holding a large share of all rows is spread over many tasks; results
-    are the same as the one-partition-per-series plan."""
+    are the same as the one-partition-per-series plan.  Chunks shorter than the halo would copy
+    each row several times and are refused."""
     chunk_rows = chunk_rows or cfg.series_chunk_rows
     if not chunk_rows:
         g = _features(silver, cfg)
         return g.select(*present_columns(g, cfg))
+    if chunk_rows < lookback_rows(cfg):
+        raise ValueError(f"chunk_rows={chunk_rows} is shorter than the halo of {lookback_rows(cfg)} rows")
     keys = ("symbol",)
     f = cfg.features
-    d = with_positions(silver, keys, "date", F.date_trunc(bucket, F.col("date")))
-    # phase A: a one-row halo gives each chunk the previous close; exact running sums
-    a = with_halo(d, chunk_rows, back=1, ahead=0)
-    a = a.withColumn("__delta", F.col("close") - lag("close", keys=(*keys, CHUNK)))
-    a = a.where(F.col(HOME)).withColumns({
+    # phase A: what spans the series, without a whole-series window
+    fills = {"close": "__close_pad", "usd_close": "__usd_pad"}
+    a = fill_forward(silver, keys, "date", {c: out for c, out in fills.items() if c in silver.columns}, bucket)
+    a = _written(with_positions(a, keys, "date", F.date_trunc(bucket, F.col("date"))), "gold-positions")
+    a = add_changes(neighbour(a, keys, ["close"], -1, pos=POS, suffix="__prev").withColumnRenamed("close__prev", "__close_lag1"))
+    a = _written(technical.add_macd(ema_by_blocks(a, ema_specs(cfg), keys, POS), f), "gold-averages")
+    a = ema_by_blocks(a, [signal_spec(cfg)], keys, POS)
+    a = a.withColumns({
+        CHUNK: F.floor(F.col(POS) / F.lit(chunk_rows)),
         "__obv_term": F.coalesce(F.signum("__delta") * F.col("volume"), F.lit(0.0)),
-        "__gdd": (clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0)
-                  if "tmax_f" in silver.columns else F.lit(None).cast("double")),
-        "__season": weather.season_year("date", f.season_start_month),
-    }).drop("__delta", CHUNK, HOME)
-    a = a.withColumn(CHUNK, F.floor(F.col(POS) / F.lit(chunk_rows)))
+    })
     a = running_sum_with_carry(a, "__obv_term", "__obv", keys, "date")
-    a = running_sum_with_carry(a, "__gdd", "__gdd_cum", (*keys, "__season"), "date", keep_null=True)
-    a = a.drop("__obv_term", "__gdd", "__season", CHUNK)
-    # phase B: full halo, the unchanged feature chain on (symbol, chunk), home rows kept
+    if "tmax_f" in silver.columns:
+        a = a.withColumns({
+            "__gdd": clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
+            "__season": weather.season_year("date", f.season_start_month)})
+        a = running_sum_with_carry(a, "__gdd", "__gdd_cum", (*keys, "__season"), "date", keep_null=True)
+    a = _written(a.drop("__obv_term", "__gdd", "__season", CHUNK), "gold-series")
+    # phase B: the halo, the feature chain on (symbol, chunk), home rows kept
     b = with_halo(a, chunk_rows, back=lookback_rows(cfg), ahead=f.target_horizon_days)
     g = _features(b, cfg, keys=(*keys, CHUNK))
     return g.where(F.col(HOME)).select(*present_columns(g, cfg))

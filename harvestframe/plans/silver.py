@@ -72,7 +72,7 @@ def clean_futures(raw: DataFrame, cfg: Config = Config(), label: str | None = No
     df = df.where(F.col("volume") >= F.lit(float(cfg.transforms.min_daily_volume)))  # P3, before returns
     if cfg.series_chunk_rows:
         # hot-series plan: the forward fill by buckets, the previous row by a positional equi-join
-        df = fill_forward(df, [symbol_col], "date", "close", "__close_pad")
+        df = fill_forward(df, [symbol_col], "date", {"close": "__close_pad"})
         df = neighbour(series_positions(df, [symbol_col], "date"), [symbol_col], ["close", "__close_pad"], -1)
         prev = F.col("close_lag1")
         returns = div(F.col("__close_pad"), F.col("__close_pad_lag1")) - F.lit(1.0)

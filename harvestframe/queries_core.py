@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from harvestframe.checks import sql as S
 from harvestframe.plans.gold import build_gold
 from harvestframe.plans.silver import build_silver
 from harvestframe.registry import CFG, GOLD_COLS, kinds_for, register
+from harvestframe.session import scratch_path
 from harvestframe.sources import tables as T
+from harvestframe.sources.landed import read_bars, read_weather
 
 SILVER_COLS = ["symbol", "date", "open", "high", "low", "close", "volume", "returns_1d", "log_return_1d",
                "high_low_pct", "tmax_f", "tmin_f", "prcp_in", "snow_mm", "wheat_close", "crude_close",
@@ -53,15 +57,21 @@ def f31_gold_build(spark, sf):
 @register("s1_read_weather", S.views_sql(), "SELECT * FROM weather_long",
           kinds_for(["date", "region", "datatype", "value"], dates=(), strs={"date", "region", "datatype"}))
 def s1_read_weather(spark, sf):
-    """Long-format daily observations (date as landed string)."""
-    return T.weather_long(spark, sf)
+    """Long-format daily observations, landed as JSON lines and read with an explicit schema."""
+    path = scratch_path(spark, "landed-weather")
+    T.weather_long(spark, sf).select("date", "datatype", "value", F.lit(",,N").alias("attributes"), F.col("region").alias("station")).write.json(path)
+    return read_weather(spark, path).select("date", F.col("station").alias("region"), "datatype", "value")
 
 
 @register("s2_read_futures", S.views_sql(), "SELECT * FROM bars",
           kinds_for(["symbol", "date", "open", "high", "low", "close", "volume"]))
 def s2_read_futures(spark, sf):
-    """Daily OHLCV per symbol."""
-    return T.bars(spark, sf)
+    """Daily OHLCV per symbol, landed as CSV with capitalised names; names normalised, columns checked."""
+    path = scratch_path(spark, "landed-bars")
+    b = T.bars(spark, sf)
+    b.toDF(*[c.capitalize() for c in b.columns]).withColumnRenamed("Date", "Datetime").write.option("header", True).csv(path)
+    read = read_bars(spark, path, "csv")
+    return read.select("symbol", F.to_date("date").alias("date"), *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")])
 
 
 # ---------------------------------------------------------------- F1-F30 projections of gold
@@ -115,9 +125,9 @@ for _n, _c in FEATURE_QUERIES.items():
 
 @register("f31_gold_build_chunked", S.gold_sql(), f"SELECT {', '.join(GOLD_COLS)} FROM gold", kinds_for(GOLD_COLS))
 def f31_gold_build_chunked(spark, sf):
-    """F31 with each series split into 250-row chunks plus halos (the hot-series plan):
+    """F31 with each series split into 400-row chunks plus halos (the hot-series plan):
     same rows and values as the one-task-per-series plan."""
-    return build_gold(silver(spark, sf), CFG, chunk_rows=250)
+    return build_gold(silver(spark, sf), CFG, chunk_rows=400)
 
 
 @register("f32_silver_build_chunked", S.silver_sql(), "SELECT * FROM silver", kinds_for(SILVER_COLS))

@@ -18,6 +18,7 @@ from harvestframe.session import scratch_path
 from harvestframe.sources import bronze as B
 from harvestframe.sources import planning as PL
 from harvestframe.sources import tables as T
+from harvestframe.sources.landed import read_sources
 
 # Fixed query parameters: the "today" of the planning queries and a read range.
 TODAY = dt.date(1998, 12, 15)
@@ -91,12 +92,14 @@ lf AS (SELECT 'futures' AS source, strftime({HALF_SQL}, '%Y-%m-%d') AS ingest_da
           "SELECT source, count(*) AS rows FROM (SELECT source FROM lw UNION ALL SELECT source FROM lf) GROUP BY source",
           kinds_for(["source", "rows"], ints=("rows",)))
 def s7_read_all_sources(spark, sf):
-    """One read of the bronze root for every source (weather and futures landed side by side)."""
-    root = bronze_root(spark, sf)
+    """Separately landed roots read together by column name; one that was never landed is skipped."""
+    roots = [bronze_root(spark, sf), scratch_path(spark, "futures"), scratch_path(spark, "never-landed")]
     fut = T.bars(spark, sf).withColumns({"source": F.lit("futures"),
                                          "ingest_date": F.date_format(half_year_start(F.col("date")), "yyyy-MM-dd")})
-    B.write_bronze(fut, root, ingest_ts=dt.datetime(2024, 1, 1))
-    return B.read_bronze(spark, root).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    B.write_bronze(fut, roots[1], ingest_ts=dt.datetime(2024, 1, 1))
+    frames = [B.read_bronze(spark, r) if B.table_exists(spark, r) else None for r in roots]
+    frames = [f if f is None else f.withColumn("date", F.col("date").cast("string")) for f in frames]
+    return read_sources(frames).groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
 
 
 SIL_COLS = ["symbol", "date", "open", "high", "low", "close", "volume", "returns_1d", "log_return_1d",

@@ -90,12 +90,15 @@ def test_no_lookahead(gold_pdf):
 
 
 def test_chunked_build_equals_series_build(spark):
-    """A long series split in 400-row chunks (halo ~1430 rows) gives the same gold."""
+    """A long series split in 400-row chunks gives the same gold, whatever reaches beyond their halos."""
     from conftest import SILVER_ORDER, synthetic_silver
     from harvestframe.plans.gold import build_gold, lookback_rows
     pdf = pd.concat([synthetic_silver(n=3000, seed=5, symbol="hot"), synthetic_silver(n=120, seed=6, symbol="cold")])
     pdf = pdf[SILVER_ORDER]
-    assert lookback_rows() < 3000
+    assert lookback_rows() <= 400
+    pdf.loc[(pdf.symbol == "hot") & pdf.index.isin(range(700, 1300)), "usd_close"] = np.nan
+    with pytest.raises(ValueError):
+        build_gold(spark.createDataFrame(pdf.head(10)), chunk_rows=100)
     s = spark.createDataFrame(pdf)
     a = build_gold(s).toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
     b = build_gold(s, chunk_rows=400).toPandas().sort_values(["symbol", "date"]).reset_index(drop=True)
