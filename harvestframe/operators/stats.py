@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestframe.functions.numeric import div
+from harvestframe.session import written
 
 
 def null_rates(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -47,7 +48,7 @@ def cumulative_buckets(v: Column, edges: Sequence[float]) -> list[Column]:
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                      buckets: int = 256, accuracy: int = 10_000, out: str = "q") -> DataFrame:
+                      buckets: int = 48, accuracy: int = 1000, out: str = "q") -> DataFrame:
     """(keys..., out): exact percentiles with linear interpolation (numpy's default) per group.
 
     One plan for every size; no task holds a group:
@@ -60,19 +61,23 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
     4. the ranks numpy needs (floor/ceil of (n-1)p) are located in their buckets; only those
        buckets' distinct values (~1/buckets of the group's) are ordered, by a running count;
     5. the two order statistics of each p are interpolated.
+
+    The counted values, the cuts and the bucket counts are written to the shared folder, since
+    several of the steps read them; the input is read once.
     """
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    v = v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    v = written(v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")), "counted-values")
     cuts = [i / buckets for i in range(1, buckets)]
     stats = v.groupBy(*keys).agg(
         F.sum("__c").alias("__n"),
         F.percentile_approx("__v", F.array(*[F.lit(c) for c in cuts]), accuracy).alias("__cuts"))
+    stats = written(stats, "value-cuts")
     b = v.join(stats.select(*keys, "__cuts"), keys).withColumn(
         "__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
     counts = b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__cnt"))
     wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0)))
+    counts = written(counts, "value-buckets").withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0)))
     # group -> sorted bucket offsets (at most `buckets` entries)
     offs = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__off", "__b"))).alias("__offs"))
     need = stats.select(*keys, "__n").join(offs, keys).select(

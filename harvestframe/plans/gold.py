@@ -17,8 +17,7 @@ from harvestframe.functions.numeric import clip_lower, clip_upper
 from harvestframe.operators.chunking import CHUNK, HOME, POS, fill_forward, neighbour, running_sum_with_carry, with_halo, with_positions
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_by_blocks, shared_block, with_ema
 from harvestframe.operators.windows import lag, pad, row_index
-from harvestframe.session import scratch_path
-from harvestframe.sources.bronze import read_table, write_table
+from harvestframe.session import written
 
 # The layer's column names and the columns that are no features.
 SILVER_PASSTHROUGH = ["returns_1d", "log_return_1d", "high_low_pct", "tmax_f", "tmin_f", "prcp_in",
@@ -109,12 +108,6 @@ def lookback_rows(cfg: Config = Config()) -> int:
     return max(f.long_window, 1 + 20 + 60, 1 + f.corr_window, max(f.rolling_windows) + 1)
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: each step of phase A joins a frame with its own sums."""
-    spark = df.sparkSession
-    return read_table(spark, write_table(df, scratch_path(spark, name)))
-
-
 def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None = None,
                bucket: str = "year") -> DataFrame:
     """F31.  ``chunk_rows`` splits each series into chunks of that many rows (with halos),
@@ -129,12 +122,13 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
         raise ValueError(f"chunk_rows={chunk_rows} is shorter than the halo of {lookback_rows(cfg)} rows")
     keys = ("symbol",)
     f = cfg.features
-    # phase A: what spans the series, without a whole-series window
+    # phase A: what spans the series, without a whole-series window; written in steps, as each step
+    # joins a frame with its own sums
     fills = {"close": "__close_pad", "usd_close": "__usd_pad"}
     a = fill_forward(silver, keys, "date", {c: out for c, out in fills.items() if c in silver.columns}, bucket)
-    a = _written(with_positions(a, keys, "date", F.date_trunc(bucket, F.col("date"))), "gold-positions")
+    a = written(with_positions(a, keys, "date", F.date_trunc(bucket, F.col("date"))), "gold-positions")
     a = add_changes(neighbour(a, keys, ["close"], -1, pos=POS, suffix="__prev").withColumnRenamed("close__prev", "__close_lag1"))
-    a = _written(technical.add_macd(ema_by_blocks(a, ema_specs(cfg), keys, POS), f), "gold-averages")
+    a = written(technical.add_macd(ema_by_blocks(a, ema_specs(cfg), keys, POS), f), "gold-averages")
     a = ema_by_blocks(a, [signal_spec(cfg)], keys, POS)
     a = a.withColumns({
         CHUNK: F.floor(F.col(POS) / F.lit(chunk_rows)),
@@ -146,7 +140,7 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
             "__gdd": clip_lower((F.col("tmax_f") + F.col("tmin_f")) / F.lit(2.0) - F.lit(float(f.gdd_base_temp_f)), 0.0),
             "__season": weather.season_year("date", f.season_start_month)})
         a = running_sum_with_carry(a, "__gdd", "__gdd_cum", (*keys, "__season"), "date", keep_null=True)
-    a = _written(a.drop("__obv_term", "__gdd", "__season", CHUNK), "gold-series")
+    a = written(a.drop("__obv_term", "__gdd", "__season", CHUNK), "gold-series")
     # phase B: the halo, the feature chain on (symbol, chunk), home rows kept
     b = with_halo(a, chunk_rows, back=lookback_rows(cfg), ahead=f.target_horizon_days)
     g = _features(b, cfg, keys=(*keys, CHUNK))
