@@ -71,6 +71,25 @@ def test_noise_is_claimed_and_names_are_not(spark):
     assert len(rows) == len(docs) and hits >= 0.9 * 152 and wrong <= 0.1 * hits
 
 
+def test_thin_strata_of_noise_are_claimed(spark):
+    rng = random.Random(11)
+    symbols = {a: s for a, _, s in S.ALPHABETS}
+    for size, least in ((1, 0.9), (3, 0.9), (10, 0.9), (100, 0.85), (1000, 0.95)):
+        share = []
+        for _ in range(200):
+            ps = [rng.random() for _ in range(size)]
+            counts = [sum(int(p * S.BINS) == b for p in ps) for b in range(S.BINS)]
+            cut = S.cuts_of({("hex_upper", 6): counts}).get(("hex_upper", 6), 2.0)
+            share.append(sum(p >= cut for p in ps) / size)
+        assert sum(share) / len(share) >= least, size
+    crowd = [5000] + [50] * 30 + [0] * (S.BINS - 31)
+    assert S.cuts_of({("base32", 5): [0] * 60 + [1] + [0] * 39, ("base32", 6): crowd}) == {("base32", 5): S.THIN_CUT}
+    keys = [noise(rng, symbols[a], length) for a, length, k in (("hex_upper", 64, 1), ("base32", 40, 3), ("base62", 90, 10)) for _ in range(k)]
+    docs = spark.createDataFrame([(i, f"see {k} there") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    hits = sum([(s.start, s.end) for s in r.found] == [(4, 4 + len(keys[r.doc_id]))] for r in S.secret_spans(docs).collect())
+    assert hits >= 13
+
+
 def test_query_digest(spark, df, docs):
     rows = S.secret_spans(df).select("doc_id", S._written(F.col("base")).alias("w")).collect()
     want = sorted(str((d[0], ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute_base(d[1])))) for d in docs)
