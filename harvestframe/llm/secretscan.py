@@ -149,7 +149,7 @@ def p_random(token: Column, symbols: Column) -> Column:
 
 
 def random_candidates(text: Column) -> Column:
-    """start, end, alphabet, length class and p of the tokens that hold a letter and a digit."""
+    """start, end, alphabet, length class, hash and p of the tokens that hold a letter and a digit."""
     def judged(m: Column) -> Column:
         token = F.regexp_replace(m["value"], "=+$", "")
         name = symbols = F.lit(None).cast("string")
@@ -158,7 +158,7 @@ def random_candidates(text: Column) -> Column:
             name, symbols = F.when(fits, F.lit(alphabet)).otherwise(name), F.when(fits, F.lit(letters)).otherwise(symbols)
         mixed = F.rlike(token, F.lit("[0-9]")) & F.rlike(token, F.lit("[A-Za-z]"))
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.when(mixed, name).alias("alphabet"),
-                        F.floor(F.log2(F.length(token))).cast("int").alias("length_class"),
+                        F.floor(F.log2(F.length(token))).cast("int").alias("length_class"), F.xxhash64(token).alias("hash"),
                         F.when(mixed & name.isNotNull(), let(token, lambda t: p_random(t, symbols))).alias("p"))
 
     found = matches(text, TOKEN, TOKEN_PROBE, 0)
@@ -198,9 +198,10 @@ def cuts_of(strata: dict[tuple[str, int], list[int]]) -> dict[tuple[str, int], f
 
 
 def cuts(candidates: DataFrame) -> dict[tuple[str, int], float]:
-    """``cuts_of`` the tokens."""
-    binned = (candidates.select(F.explode("tokens").alias("t")).select("t.*")
-              .groupBy("alphabet", "length_class", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")).agg(F.count("*").alias("n")))
+    """``cuts_of`` the distinct tokens, known by their hash: copies tell nothing more about a stratum."""
+    distinct = (candidates.select(F.explode("tokens").alias("t"))
+                .select("t.alphabet", "t.length_class", F.least(F.floor(F.col("t.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"), "t.hash").distinct())
+    binned = distinct.groupBy("alphabet", "length_class", "bin").agg(F.count("*").alias("n"))
     strata: dict[tuple[str, int], list[int]] = {}
     for r in binned.collect():  # at most BINS rows per alphabet and power of two of the length
         strata.setdefault((r["alphabet"], r["length_class"]), [0] * BINS)[r["bin"]] = r["n"]
@@ -211,7 +212,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``doc_id, base, found``: arrays of start, rank, kind, end by start, one row per input row.
 
     ``base`` are the pattern matches, ``found`` the tokens claimed by the tests that overlap none of
-    those. Null and empty texts have no spans. Repeated rows are repeated, and count in the strata;
+    those. Null and empty texts have no spans. Repeated rows are repeated, but a token counts once in its stratum;
     an empty table gives no rows. Other columns, of any name, are not read.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))

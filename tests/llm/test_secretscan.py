@@ -90,6 +90,24 @@ def test_thin_strata_of_noise_are_claimed(spark):
     assert hits >= 13
 
 
+def test_copies_do_not_move_the_cuts(spark):
+    rng = random.Random(13)
+    ps = [rng.random() for _ in range(1000)]
+    names = [rng.random() ** 12 for _ in range(2000)] + ps[:100]
+
+    def cut(tokens):
+        rows = [([("base62", 5, i, p)],) for i, p in tokens]
+        return S.cuts(spark.createDataFrame(rows, "tokens array<struct<alphabet:string,length_class:int,hash:bigint,p:double>>"))
+
+    for ps, p, copies in ((ps, 0.45, 300), (names, 0.95, 5000)):
+        once = list(enumerate([*ps, p]))
+        assert cut(once) == cut(once + once[-1:] * copies) != {}
+    key, other = noise(rng, S.ALPHABETS[5][2], 40), noise(rng, S.ALPHABETS[5][2], 40)
+    docs = spark.createDataFrame([(i, f"see {key if i else other} there") for i in range(50)], "doc_id bigint, text string")
+    rows = S.random_candidates(F.col("text"))
+    assert len({t.hash for r in docs.select(rows.alias("tokens")).collect() for t in r.tokens}) == 2
+
+
 def test_query_digest(spark, df, docs):
     rows = S.secret_spans(df).select("doc_id", S._written(F.col("base")).alias("w")).collect()
     want = sorted(str((d[0], ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute_base(d[1])))) for d in docs)
