@@ -1,7 +1,7 @@
 """Secret scans: patterns, and a battery of randomness tests, in DataFrame functions only.
 
-Tokens of 20 characters or more get the smallest alphabet that holds them (hex, base32, ...) and
-three tests of the hypothesis that they are uniform noise in it: chi-squared over the symbols, runs
+Tokens of 20 characters or more get the smallest alphabet that holds them (hex, base32, ...); runs
+that no alphabet holds, as of a key in a path, are split at their separators. Tokens get three tests of the hypothesis that they are uniform noise in it: chi-squared over the symbols, runs
 above and below the middle of the alphabet, and serial correlation of neighbours. Fisher's rule
 combines the three. Short structured tokens pass such tests by chance more often than long ones, so
 the cut is set per stratum of alphabet and length: noise has uniform p-values, hence twice the
@@ -42,6 +42,8 @@ ALPHABETS = (
     ("base64", "[0-9A-Za-z+/]+", _LOWER.upper() + _LOWER + _DIGITS + "+/"),
     ("base64url", "[0-9A-Za-z_-]+", _LOWER.upper() + _LOWER + _DIGITS + "-_"),
 )
+#: Separators that a part of a run may hold, if the run fits no alphabet: all that fit one.
+PARTS, PLAIN = ("+/", "+", "/", "_-", "_", "-", ""), " plain"
 FALSE_SHARE, BINS = 0.1, 100
 #: Least tokens of a stratum that sets its own cut. Noise falls below a p of 0.028, 0.007 and 0.0025 in
 #: 5, 2 and 1 % of cases and below 0.075 in 10 % (simulated; alphabet and length hardly matter): the cut by
@@ -126,7 +128,7 @@ def p_random(token: Column, symbols: Column) -> Column:
     def tests(v: Column) -> Column:
         n = F.size(v).cast("double")
         nth = lambda i: F.element_at(v, i)
-        squares = F.aggregate(F.array_distinct(v), F.lit(0.0), lambda s, x: let(F.size(F.filter(v, lambda y: y == x)), lambda c: s + c * c))
+        squares = F.aggregate(F.array_distinct(v), F.lit(0.0), lambda s, x: let(F.size(F.filter(v, lambda y: y == x)), lambda c: s + c.cast("double") * c))
         chi = (k / n * squares - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
         high = F.aggregate(v, F.lit(0.0), lambda s, x: s + (x * 2 >= k).cast("int"))
         places = F.sequence(F.lit(1), F.size(v) - 1)
@@ -149,20 +151,43 @@ def p_random(token: Column, symbols: Column) -> Column:
 
 
 def random_candidates(text: Column) -> Column:
-    """start, end, alphabet, length class, hash and p of the tokens that hold a letter and a digit."""
+    """start, end, part, alphabet, length class, hash and p of the tokens.
+
+    A run that fits an alphabet is one token. In another, the tokens are the longest parts of 20
+    characters or more of each class in ``PARTS``; these can overlap. Tokens without a letter or
+    without a digit are strata of their own, named by the alphabet and ``PLAIN``.
+    """
     def judged(m: Column) -> Column:
-        token = F.regexp_replace(m["value"], "=+$", "")
+        token = m["value"]
         name = symbols = F.lit(None).cast("string")
         for alphabet, pattern, letters in reversed(ALPHABETS):
             fits = F.rlike(token, F.lit(f"^{pattern}$"))
             name, symbols = F.when(fits, F.lit(alphabet)).otherwise(name), F.when(fits, F.lit(letters)).otherwise(symbols)
         mixed = F.rlike(token, F.lit("[0-9]")) & F.rlike(token, F.lit("[A-Za-z]"))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.when(mixed, name).alias("alphabet"),
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), m["part"].alias("part"), F.concat(name, F.when(mixed, "").otherwise(PLAIN)).alias("alphabet"),
                         F.floor(F.log2(F.length(token))).cast("int").alias("length_class"), F.xxhash64(token).alias("hash"),
-                        F.when(mixed & name.isNotNull(), let(token, lambda t: p_random(t, symbols))).alias("p"))
+                        let(symbols, lambda known: p_random(token, known)).alias("p"))  # known: not chosen again for each character
+
+    def tokens(m: Column) -> Column:
+        def of(token: Column) -> Column:
+            piece = lambda start, end, value, part: F.struct(start.alias("start"), end.alias("end"), value.alias("value"), F.lit(part).alias("part"))
+            pieces = F.array_distinct(F.concat(*[matches(token, f"[0-9A-Za-z{c}]{{20,}}", f"[0-9A-Za-z{c}]{{20}}", 0) for c in PARTS]))
+            end = lambda x: F.when(x["end"] == F.length(token), m["end"]).otherwise(m["start"] + x["end"])
+            split = F.transform(pieces, lambda x: piece(m["start"] + x["start"], end(x), x["value"], True))
+            whole = F.array(piece(m["start"], m["end"], token, False))
+            return F.when(F.rlike(token, F.lit("[+/]")) & F.rlike(token, F.lit("[_-]")), split).otherwise(whole)
+
+        return let(F.regexp_replace(m["value"], "=+$", ""), of)
+
+    return F.transform(F.flatten(F.transform(matches(text, TOKEN, TOKEN_PROBE, 0), tokens)), judged)
+
 
-    found = matches(text, TOKEN, TOKEN_PROBE, 0)
-    return F.filter(F.transform(found, judged), lambda c: c["p"].isNotNull())
+def _apart(tokens: Column) -> Column:
+    """Of tokens that overlap only the one with the highest p, of equal ones the first."""
+    best = F.array_sort(F.transform(tokens, lambda t: F.struct((-t["p"]).alias("minus_p"), t["start"].alias("start"), t["end"].alias("end"))))
+    none = F.array().cast("array<struct<minus_p:double,start:bigint,end:bigint>>")
+    free = lambda kept, t: ~F.exists(kept, lambda k: (k["start"] < t["end"]) & (t["start"] < k["end"]))
+    return F.aggregate(best, none, lambda kept, t: F.when(free(kept, t), F.concat(kept, F.array(t))).otherwise(kept))
 
 
 def cut_of(counts: list[int]) -> float | None:
@@ -184,7 +209,7 @@ def cuts_of(strata: dict[tuple[str, int], list[int]]) -> dict[tuple[str, int], f
     """
     out = {}
     for (alphabet, length), counts in strata.items():
-        near = [(a, c) for (a, n), c in strata.items() if abs(n - length) <= 1]
+        near = [(a, c) for (a, n), c in strata.items() if abs(n - length) <= 1 and a.endswith(PLAIN) == alphabet.endswith(PLAIN)]
         pools = [list(map(sum, zip(*cs))) for cs in ([c for a, c in near if a == alphabet], [c for _, c in near])]
         if sum(counts) >= MIN_STRATUM:
             cut = cut_of(counts)
@@ -221,7 +246,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     at = F.create_map(*[F.lit(x) for (a, n), cut in limits.items() for x in (f"{a} {n}", cut)]) if limits else F.create_map().cast("map<string,double>")
     claimed = F.filter("tokens", lambda t: t["p"] >= F.coalesce(F.try_element_at(at, F.concat_ws(" ", t["alphabet"], t["length_class"])), F.lit(2.0)))
     free = F.filter(claimed, lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    return rows.select("doc_id", "base", F.transform(free, lambda t: _span(t, len(BASE), FOUND)).alias("found"))
+    apart = let(free, lambda ts: F.concat(F.transform(F.filter(ts, lambda t: ~t["part"]), lambda t: _span(t, len(BASE), FOUND)),
+                                          F.transform(_apart(F.filter(ts, lambda t: t["part"])), lambda t: _span(t, len(BASE), FOUND))))
+    return rows.select("doc_id", "base", F.array_sort(apart).alias("found"))
 
 
 def _written(spans: Column) -> Column:

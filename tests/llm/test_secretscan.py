@@ -108,6 +108,27 @@ def test_copies_do_not_move_the_cuts(spark):
     assert len({t.hash for r in docs.select(rows.alias("tokens")).collect() for t in r.tokens}) == 2
 
 
+def test_keys_in_paths_and_keys_without_digits(spark):
+    rng = random.Random(17)
+    url, b64, b62 = S.ALPHABETS[7][2], S.ALPHABETS[6][2], S.ALPHABETS[5][2]
+    given = {"com/my-app/hooks/Zk3Qv9+Xr1Tb7Lw2Pd8Nc4": "Zk3Qv9+Xr1Tb7Lw2Pd8Nc4", "path/to_file/9f8A7bC6d5E4f3A2b1C0d9E8==": "9f8A7bC6d5E4f3A2b1C0d9E8=="}
+    rows = spark.createDataFrame([(t,) for t in given], "text string")
+    for r in rows.select("text", S.random_candidates(F.col("text")).alias("tokens")).collect():
+        assert given[r.text] in [r.text[t.start:t.end] for t in r.tokens]
+    texts = {}
+    for symbols, n in ((url, 40), (b64, 48), (b62[10:], 24)):
+        key = noise(rng, symbols, n)
+        texts[f"é my-app/{key}" if symbols is not b64 else f"some_name-{key}"] = key
+    texts[key] = key  # letters only, by itself
+    texts["my-app/some_name/handlers/index"] = texts["-" * 30 + "/+_"] = None
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spans = {r.doc_id: r.found for r in S.secret_spans(docs).collect()}
+    for i, (text, key) in enumerate(texts.items()):
+        found = [text[s.start:s.end] for s in spans[i]]
+        assert any(f in key or key in f for f in found) if key else not found, (text, found)
+        assert all(a.end <= b.start for a, b in zip(spans[i], spans[i][1:]))
+
+
 def test_query_digest(spark, df, docs):
     rows = S.secret_spans(df).select("doc_id", S._written(F.col("base")).alias("w")).collect()
     want = sorted(str((d[0], ",".join(f"{k}:{a}:{b}" for a, _, k, b in brute_base(d[1])))) for d in docs)
