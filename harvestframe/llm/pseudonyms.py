@@ -28,13 +28,22 @@ ROUNDS = 8
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date")
 
 _PATTERN = re.compile(
-    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9]))"
-    r"|(?P<card>(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4})(?![0-9]))"
+    r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9]))"
+    r"|(?P<card>(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}(?P<gap5>[ -])[0-9]{6}(?P=gap5)[0-9]{5})(?![0-9]))"
     r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<phone>(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|(?:(?<=[0-9][ .-])|(?<![0-9.-]))[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]))"
+    r"|(?P<phone>(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|(?:(?<=[0-9][ .-])|(?<![0-9.-]))[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![\w+])\+[1-9](?:[0-9]{7,14}(?![0-9])|[0-9]{0,2}(?P<step>[ .-])[0-9]{1,4}(?:(?P=step)[0-9]{2,4}(?![0-9/:]|(?!(?P=step))[.-][0-9])){2,4})"
+    r"|(?<![\w.,/#=+-])[2-9][0-9]{9}(?![\w/]|[.,-][0-9]))"
     r"|(?P<ip>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))"
-    r"|(?P<date>(?<![0-9/.-])(?:[0-9]{4}(?P<d1>[-/])[0-9]{2}(?P=d1)[0-9]{2}|[0-9]{2}(?P<d2>[/.])[0-9]{2}(?P=d2)[0-9]{4})(?![0-9]))")
+    r"|(?P<date>(?<![0-9/.-])(?:[0-9]{4}(?P<d1>[-/.])[0-9]{1,2}(?P=d1)[0-9]{1,2}|[0-9]{1,2}(?P<d2>[-/.])[0-9]{1,2}(?P=d2)[0-9]{4})(?![0-9]))")
 _EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]+(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")
+#: Characters of an IBAN by country, to tell where one in groups ends.
+_IBAN_LENGTH = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL IQ", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT ST",
+    26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC"}.items() for c in cs.split()}
+#: Country codes of two digits; 1 and 7 have one, others three.
+_TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
               "".join(map(chr, (*range(0xE0, 0xF7), *range(0xF8, 0x100)))), "".join(map(chr, (*range(0xC0, 0xD7), *range(0xD8, 0xDF)))))
@@ -128,12 +137,27 @@ def _iban_check(country: str, rest: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in rest + country + "00")) % 97
 
 
+def _iban_valid(text: str) -> bool:
+    characters = text.replace(" ", "")
+    return int(characters[2:4]) == _iban_check(characters[:2], characters[4:])
+
+
 def _iban(text: str, permute: Permutation) -> str | None:
-    country, check, rest = text[:2], text[2:4], text[4:]
-    if int(check) != _iban_check(country, rest):
+    if not _iban_valid(text):
         return None
-    rest = _by_alphabet(rest, permute, f"iban {country}")
-    return f"{country}{_iban_check(country, rest):02d}{rest}"
+    characters = text.replace(" ", "")
+    country, rest = characters[:2], _by_alphabet(characters[4:], permute, f"iban {characters[:2]}")
+    return _refill(text, f"{country}{_iban_check(country, rest):02d}{rest}")
+
+
+def _iban_end(text: str) -> int | None:
+    """Where a valid IBAN in groups ends that ``text`` begins with; words may follow it."""
+    left = _IBAN_LENGTH.get(text[:2], len(text) - text.count(" "))
+    for end, c in enumerate(text, 1):
+        left -= c != " "
+        if not left:
+            return end if text[end:end + 1] in ("", " ") and _iban_valid(text[:end]) else None
+    return None
 
 
 def _ssn_valid(x: int) -> bool:
@@ -147,10 +171,16 @@ def _ssn(text: str, permute: Permutation) -> str | None:
 
 
 def _phone(text: str, permute: Permutation) -> str | None:
-    """The last ten digits move, the country code stays."""
+    """The digits after the country code move, among those that a plain number can begin with or the others.
+
+    Without a country code, and with that of North America, the last ten move.
+    """
     digits = re.sub("[^0-9]", "", text)
-    own = f"{permute(int(digits[-10:]), 10**10, f'phone {digits[:-10]}'):010d}"
-    return _refill(text, digits[:-10] + own)
+    code = len(digits) - 10 if text[0] != "+" else 1 if digits[0] in "17" else 2 if digits[:2] in _TWO_DIGITS else 3
+    n = len(digits) - code
+    plain = int(digits[code]) >= 2
+    tweak = "" if digits[:code] == "1" else digits[:code]
+    return _refill(text, digits[:code] + f"{permute(int(digits[code:]), 10**n, f'phone {tweak}', lambda x: (x // 10**(n - 1) >= 2) == plain):0{n}d}")
 
 
 def _ip(text: str, permute: Permutation) -> str | None:
@@ -161,20 +191,26 @@ def _ip(text: str, permute: Permutation) -> str | None:
     return ".".join(map(str, x.to_bytes(4, "big")))
 
 
+def _date_class(day: date) -> tuple[int, bool]:
+    """Dates move within a class: of day or month with one digit, and of days that are no months, so that any spelling holds them."""
+    return (day.day > 9) + (day.day > 12), day.month > 9
+
+
 def _date(text: str, permute: Permutation) -> str | None:
     """Year first, or else day first where that is a date, or else month first."""
-    parts = re.split("[-/.]", text)
-    orders = ("ymd",) if len(parts[0]) == 4 else ("dmy", "mdy")
+    parts = re.split("([-/.])", text)
+    numbers, gap = parts[::2], parts[1]
+    orders = ("ymd",) if len(numbers[0]) == 4 else ("dmy", "mdy")
     for order in orders:
         try:
-            day = date(*(int(parts[order.index(c)]) for c in "ymd")).toordinal()
+            day = date(*(int(numbers[order.index(c)]) for c in "ymd"))
         except ValueError:
             continue
-        if not _FIRST_DAY <= day <= _LAST_DAY:
+        if not _FIRST_DAY <= day.toordinal() <= _LAST_DAY:
             return None
-        valid = lambda x: order != "mdy" or date.fromordinal(x + _FIRST_DAY).day > 12  # noqa: B023, E731
-        new = date.fromordinal(permute(day - _FIRST_DAY, _LAST_DAY - _FIRST_DAY + 1, f"date {order}", valid) + _FIRST_DAY)
-        return _refill(text, "".join({"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}[c] for c in order))
+        valid = lambda x: _date_class(date.fromordinal(x + _FIRST_DAY)) == _date_class(day)  # noqa: B023, E731
+        new = date.fromordinal(permute(day.toordinal() - _FIRST_DAY, _LAST_DAY - _FIRST_DAY + 1, "date", valid) + _FIRST_DAY)
+        return gap.join(f"{ {'y': new.year, 'm': new.month, 'd': new.day}[c]:0{len(n)}d}" for c, n in zip(order, numbers))
     return None
 
 
@@ -185,8 +221,13 @@ _MAKERS = {"iban": _iban, "card": _card, "ssn": _ssn, "phone": _phone, "ip": _ip
 def _matches(text: str) -> Iterator[tuple[int, int, str]]:
     at = 0
     while m := _PATTERN.search(text, at):
-        yield m.start(), m.end(), m.lastgroup if m.lastgroup in _MAKERS else next(k for k in _MAKERS if k != "email" and m.group(k))
-        at = m.end()
+        start, at = m.span()
+        if m.group("iban") and " " in m.group():
+            if (end := _iban_end(m.group())) is None:
+                at = start + 4  # a card can follow
+                continue
+            at = start + end
+        yield start, at, m.lastgroup if m.lastgroup in _MAKERS else next(k for k in _MAKERS if k != "email" and m.group(k))
 
 
 def replaced(text: str, permute: Permutation, known: dict) -> tuple[str, list[tuple[int, int, str]]]:

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from harvestframe.llm import pseudonyms as P
@@ -42,6 +44,31 @@ def test_formats_links_and_round_trip():
         assert [line[a:b] for a, b, _ in spans] == [own, own]
 
 
+def test_written_forms_are_linked():
+    go, back = P.Permutation(b"k"), P.Permutation(b"k", False)
+    same = [("iban", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"), ("iban", "BE68539007547034", "BE68 5390 0754 7034"),
+            ("card", "378282246310005", "3782 822463 10005", "3782-822463-10005"), ("phone", "(555) 123-4567", "5551234567", "+15551234567", "+1 555-123-4567"),
+            ("phone", "+44 20 7946 0958", "+442079460958", "+44-20-7946-0958"), ("phone", "+33 1 23 45 67 89", "+33123456789"),
+            ("date", "1/5/2024", "2024-05-01", "01.05.2024", "2024.5.1"), ("date", "31-12-2024", "2024.12.31", "12/31/2024", "31/12/2024")]
+    for kind, *spellings in same:
+        values = set()
+        for text in spellings:
+            line = f"see {text} AND 2023-07-09, or {text}."
+            new, spans = P.replaced(line, go, {})
+            assert [k for *_, k in spans] == [kind, "date", kind] and [line[a:b] for a, b, _ in spans][::2] == [text, text], (line, spans)
+            first = new[4:new.index(" AND")]
+            assert len(first) == len(text) and first != text and P.replaced(new, back, {})[0] == line
+            assert [c.isalnum() for c in first] == [c.isalnum() for c in text]
+            order = sorted(re.findall("[0-9]+", first), key=int) if kind == "date" else re.findall("[A-Z0-9]", first)
+            values.add(tuple(str(int(x)) for x in order) if kind == "date" else "".join(order)[-10:])
+        assert len(values) == 1, (spellings, values)
+    for i in range(2000):
+        line = f"{i % 28 + 1}/{i % 12 + 1}/{1900 + i % 200} 2{i:09d} +49 {30 + i} {1000 + i} {2000 + i}"
+        assert P.replaced(P.replaced(line, go, {})[0], back, {})[0] == line
+    card = P.replaced("AB12 4111 1111 1111 1111", go, {})
+    assert [s[2] for s in card[1]] == ["card"]
+
+
 def test_documents_round_trip(df, docs):
     new = P.pseudonymised(df, b"key")
     assert set(new.columns) == set(df.columns)
