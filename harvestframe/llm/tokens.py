@@ -50,13 +50,14 @@ class Encoder:
     A byte-level BPE splits a text before it merges bytes, and a space between two characters that
     are not white space always starts a new piece, as does a line feed there, and as punctuation
     after a letter does. Cut at these places, the pieces have the ids that they have in the text.
+    Texts that hold an added token go to the library whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.bare: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
@@ -89,6 +90,8 @@ class Encoder:
         """Little-endian unsigned 32-bit ids; none for null or empty."""
         if not text:
             return b""
+        if any(map(text.__contains__, self.added)):  # the library cuts these out before anything else
+            return self.whole(text)
         if _irregular(text):
             return b"".join([self.whole(x) if _irregular(x[1:]) else self.piece(x[1:], True) if x[0] == " " else self.whole(x)
                              for x in _SAFE_CUT.split(text)])

@@ -23,6 +23,18 @@ def test_pieces_equal_whole_texts(encoder, docs):
         assert encoder.encode(t) == encoder.whole(t), repr(t)
 
 
+def test_added_tokens_as_the_plain_call(encoder):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path(T.TOKENIZER))
+    rng = random.Random(2)
+    parts = ["a", " ", "\n", "word.", "  ", *encoder.added, *encoder.added, encoder.added[0][:-1]]
+    texts = ["a <|endoftext|> b", *["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(2000)]]
+    for t in texts:
+        assert list(array("I", encoder.encode(t))) == plain.encode(t, add_special_tokens=False).ids, repr(t)
+    assert 50256 in array("I", encoder.encode(texts[0]))
+
+
 def test_round_trip(spark, df, docs, encoder):
     path = fresh_path(spark, "test-tokens")
     T.write_tokens(df, path)
