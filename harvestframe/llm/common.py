@@ -8,7 +8,7 @@ import types
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word of the contracts: a run of anything but ASCII white space.
@@ -62,6 +62,20 @@ def n_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the like that is no column of ``df`` in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def row_key(df: DataFrame) -> Column:
+    """SHA-256 (32 bytes) of all columns of a row, nulls and their places included: equal for equal rows alone."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)]),
+                                    {"ignoreNullFields": "false"}), 256))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
