@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import read_table, small_batches, stage, utf8
+from .common import read_table, row_key, small_batches, stage, unused, utf8
 
 LINES = 3
 
@@ -50,7 +50,8 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def later_windows(rows: DataFrame) -> DataFrame:
     """``(row, starts)``: per row of ``rows`` (id, row, text) the windows that are later occurrences."""
-    windows = stage(rows.mapInArrow(_windows, "id bigint, row bigint, nth bigint, h1 bigint, h2 bigint"), "line-windows")
+    kind = rows.schema["id"].dataType.simpleString()
+    windows = stage(rows.mapInArrow(_windows, f"id {kind}, row binary, nth bigint, h1 bigint, h2 bigint"), "line-windows")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "row", "nth")
     repeated = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     repeated = repeated.select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "first")
@@ -84,19 +85,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Lines are the parts between line feeds and compare byte for byte; lines without a word stay and
     belong to no window. A text of fewer than three worded lines is unchanged, a null text stays
     null, and a text of which all lines go is empty. Null ids come after all others; rows of one id
-    are ordered by a hash of their text, and rows equal in both are one occurrence, cut alike. An
+    are ordered by SHA-256 of id and text, and rows equal in both are one occurrence, cut alike. An
     empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    keyed = docs.withColumn("__row", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-    cut = later_windows(keyed.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col("__row").alias("row"), F.col(f"`{text_col}`").alias("text")))
-    cut = stage(cut, "line-cuts").select(F.col("row").alias("__cut"), F.col("starts").alias("__starts"))
+    row, starts = unused(docs, "row"), unused(docs, "starts")
+    keyed = docs.withColumn(row, row_key(docs.select(id_col, text_col)))
+    cut = later_windows(keyed.select(F.col(f"`{id_col}`").alias("id"), F.col(row).alias("row"), F.col(f"`{text_col}`").alias("text")))
+    cut = stage(cut, "line-cuts").select(F.col("row").alias(row), F.col("starts").alias(starts))
     # a shuffle join at every size: the cuts grow with the documents
-    out = (keyed.join(cut.hint("merge"), F.col("__row") == F.col("__cut"), "left")
-           .withColumn("__new", _without(F.col(f"`{text_col}`"), F.col("__starts"))))
+    out = keyed.join(cut.hint("merge"), row, "left").withColumn(starts, _without(F.col(f"`{text_col}`"), F.col(starts)))
     new = {text_col: "text", "n_lines": "n_lines", "removed_lines": "removed_lines"}
-    kept = [F.col(f"__new.{new[c]}").alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*kept, *[F.col(f"__new.{c}").alias(c) for c in ("n_lines", "removed_lines") if c not in docs.columns])
+    kept = [F.col(f"{starts}.{new[c]}").alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*kept, *[F.col(f"{starts}.{c}").alias(c) for c in ("n_lines", "removed_lines") if c not in docs.columns])
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:

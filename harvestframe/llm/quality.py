@@ -4,7 +4,9 @@ Each document's ratios go into quantile sketches, one per (lang, source) and rat
 table of counts in logarithmic bins of 2 % width: adding counts merges two sketches exactly, in any
 order, so partial aggregation builds them and reruns agree. A group of fewer than ``MIN_GROUP``
 documents uses the merged sketch of its language, and a small language that of all documents.
-Fences are set from the quartiles of the sketch and joined back on (lang, source).
+Fences are set from quantiles of the sketch and joined back on (lang, source): word length from the
+quartiles, the shares of bad things from median and 90 % point, so that a tenth of bad documents in a
+source does not move its fence.
 """
 
 from __future__ import annotations
@@ -25,9 +27,10 @@ MIN_GROUP = 100
 GAMMA = 1.02
 #: Bin of the value 0, below every bin of a positive double.
 ZERO_BIN = -100_000
-#: How far beyond the quartiles a fence lies: so many interquartile ranges, and at least the slack.
+#: How far beyond its quantile a fence lies: so many times the spread, and at least the slack.
 SPREAD = 3.0
-SLACK = {"word_length": 2.0, "symbols": 0.1, "dup_lines": 0.5, "repeats": 0.3, "echoes": 0.2}
+SLACK = {"word_length": 2.0, "symbols": 0.1, "dup_lines": 0.35, "repeats": 0.25, "echoes": 0.1}
+QUANTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75, "q9": 0.9}
 TWO_SIDED = ("word_length",)
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
@@ -97,69 +100,67 @@ def sketches(rows: DataFrame, q: Column) -> DataFrame:
             .groupBy("lang", "source", "ratio", bin_.alias("bin")).agg(F.count("*").alias("n")))
 
 
-def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """``by``, ratio, the number of documents and both quartiles, from merged sketches."""
+def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """``by``, ratio, the number of documents and the ``QUANTILES``, from merged sketches."""
     merged = sketch.groupBy(*by, "ratio", "bin").agg(F.sum("n").alias("n"))
     key = Window.partitionBy(*by, "ratio")
     upto = key.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(key))
     value = F.when(F.col("bin") == ZERO_BIN, 0.0).otherwise(2 * F.pow(F.lit(GAMMA), F.col("bin")) / (GAMMA + 1))
     at = lambda share: F.min(F.when(F.col("upto") >= share * F.col("total"), value))
-    return ranked.groupBy(*by, "ratio").agg(F.first("total").alias("total"), at(0.25).alias("q1"), at(0.75).alias("q3"))
+    return ranked.groupBy(*by, "ratio").agg(F.first("total").alias("total"), *[at(share).alias(c) for c, share in QUANTILES.items()])
 
 
 def fences(sketch: DataFrame) -> DataFrame:
     """One row per (lang, source): the lowest and highest value kept, for each ratio."""
-    levels = [quartiles(sketch, by) for by in (["lang", "source"], ["lang"], [])]
-    own, lang, whole = (x.select(*x.columns[:-4], F.col("ratio").alias(f"ratio{i}"), F.struct("total", "q1", "q3").alias(f"s{i}")) for i, x in enumerate(levels))
+    levels = [quantiles(sketch, by) for by in (["lang", "source"], ["lang"], [])]
+    own, lang, whole = (x.select(*x.columns[:x.columns.index("ratio")], F.col("ratio").alias(f"ratio{i}"), F.struct("total", *QUANTILES).alias(f"s{i}")) for i, x in enumerate(levels))
     lang = lang.withColumnRenamed("lang", "lang1")
     both = (own.join(lang, (F.col("lang").eqNullSafe(F.col("lang1"))) & (F.col("ratio0") == F.col("ratio1")), "left")
             .join(whole, F.col("ratio0") == F.col("ratio2"), "left"))
     s = (F.when(F.col("s0.total") >= MIN_GROUP, F.col("s0")).when(F.col("s1.total") >= MIN_GROUP, F.col("s1")).otherwise(F.col("s2")))
     slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("ratio0")]
-    far = F.greatest(SPREAD * (F.col("s.q3") - F.col("s.q1")), slack)
-    limits = both.withColumn("s", s).select("lang", "source", F.col("ratio0").alias("ratio"), (F.col("s.q1") - far).alias("low"), (F.col("s.q3") + far).alias("high"))
+    two = F.col("ratio0").isin(*TWO_SIDED)
+    base = F.when(two, F.col("s.q3")).otherwise(F.col("s.q9"))
+    far = F.greatest(SPREAD * (base - F.when(two, F.col("s.q1")).otherwise(F.col("s.q2"))), slack)
+    limits = both.withColumn("s", s).select("lang", "source", F.col("ratio0").alias("ratio"), (F.col("s.q1") - far).alias("low"), (base + far).alias("high"))
     pick = lambda k, side: F.max(F.when(F.col("ratio") == k, F.col(side))).alias(f"{k}_{side}")
     return limits.groupBy("lang", "source").agg(*[pick(k, "high") for k in SLACK], *[pick(k, "low") for k in TWO_SIDED])
 
 
-def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the struct ``__q`` of ``COUNTS``."""
-    small_batches(docs.sparkSession)
-    return docs.withColumn("__q", counts_column(F.col(f"`{text_col}`")))
-
-
-def judged(counted: DataFrame) -> DataFrame:
-    """``counted`` (lang, source, ``__q``, more) with ``__base_failed`` and ``__kept``.
+def judged(docs: DataFrame, counts: Column) -> DataFrame:
+    """``docs`` (with lang and source) as the struct ``row``, with ``q`` (the struct ``counts`` of COUNTS), ``base_failed`` and ``kept``.
 
     A null text counts as empty and fails the base rules. Null lang and null source are groups of
-    their own. Repeated rows are judged alike and all returned; an empty table gives no rows.
-    The input is written once to the shared folder, so Python reads the texts once.
+    their own. Repeated rows are judged alike and all returned; an empty table gives no rows. Other
+    columns may have any name. The input is written once to the shared folder, so Python reads the
+    texts once.
     """
-    rows = stage(counted, "quality-counts")
-    q = F.col("__q")
+    small_batches(docs.sparkSession)
+    rows = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "lang", "source", counts.alias("q")), "quality-counts")
+    q = F.col("q")
     limit = stage(fences(sketches(rows, q)), "quality-fences")
-    limit = limit.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[F.col(c).alias(f"__{c}") for c in limit.columns[2:]])
+    limit = limit.withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})
     inside = F.lit(True)
     for k, v in ratios(q).items():
-        inside &= v <= F.coalesce(F.col(f"__{k}_high"), F.lit(math.inf))
+        inside &= v <= F.coalesce(F.col(f"{k}_high"), F.lit(math.inf))
         if k in TWO_SIDED:
-            inside &= v >= F.coalesce(F.col(f"__{k}_low"), F.lit(-math.inf))
-    return (rows.join(limit, rows.lang.eqNullSafe(F.col("__lang")) & rows.source.eqNullSafe(F.col("__source")), "left")
-            .select(*[rows[f"`{c}`"] for c in rows.columns], base_failed(q).alias("__base_failed"), (~base_failed(q) & inside).alias("__kept")))
+            inside &= v >= F.coalesce(F.col(f"{k}_low"), F.lit(-math.inf))
+    return (rows.join(limit, F.col("lang").eqNullSafe(F.col("fence_lang")) & F.col("source").eqNullSafe(F.col("fence_source")), "left")
+            .select("row", "q", base_failed(q).alias("base_failed"), (~base_failed(q) & inside).alias("kept")))
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    return judged(with_counts(docs)).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged(docs, counts_column(F.col(f"`{text_col}`"))).where("kept").select("row.*")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Contract query over all ``documents``."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    rows = judged(with_counts(docs).drop("text"))
-    return rows.select("doc_id", *[F.col(f"__q.{c}").alias(c) for c in COUNTS if c not in ("n_lines", "n_echoes")],
-                       F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
+    counted = docs.select("doc_id", "lang", "source", counts_column(F.col("text")).alias("counts"))
+    rows = judged(counted, F.col("counts"))
+    return rows.select("row.doc_id", *[F.col(f"q.{c}").alias(c) for c in COUNTS if c not in ("n_lines", "n_echoes")], "base_failed", "kept")
 
 
 def oracle_op8() -> str:
@@ -172,7 +173,7 @@ def oracle_op8() -> str:
 
     def level(name: str, by: str) -> str:
         value = f"CASE WHEN bin = {ZERO_BIN} THEN 0.0::DOUBLE ELSE 2 * pow({GAMMA}::DOUBLE, bin) / {GAMMA + 1!r}::DOUBLE END"
-        at = ", ".join(f"min({value}) FILTER (WHERE upto >= {q}::DOUBLE * total) AS {c}" for q, c in ((0.25, "q1"), (0.75, "q3")))
+        at = ", ".join(f"min({value}) FILTER (WHERE upto >= {q}::DOUBLE * total) AS {c}" for c, q in QUANTILES.items())
         return f"""
 {name} AS (SELECT {by} ratio, any_value(total) AS total, {at} FROM (
              SELECT {by} ratio, bin, sum(n) OVER (PARTITION BY {by} ratio ORDER BY bin) AS upto, sum(n) OVER (PARTITION BY {by} ratio) AS total
@@ -197,10 +198,10 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text
      j AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed, unnest([{values}]) AS x FROM q),
      cells AS (SELECT lang, source, x.ratio AS ratio, CASE WHEN x.v > 0 THEN ceil(ln(x.v) / {math.log(GAMMA)!r}::DOUBLE) ELSE {ZERO_BIN} END AS bin, count(*) AS n
                FROM j WHERE NOT base_failed GROUP BY ALL),{level('k0', 'lang, source,')},{level('k1', 'lang,')},{level('k2', '')},
-     lim AS (SELECT a.lang, a.source, a.ratio, {pick('q1')} AS q1, {pick('q3')} AS q3, {slack} AS slack
+     lim AS (SELECT a.lang, a.source, a.ratio, {', '.join(f'{pick(c)} AS {c}' for c in QUANTILES)}, {slack} AS slack
              FROM k0 a LEFT JOIN k1 b ON a.lang IS NOT DISTINCT FROM b.lang AND a.ratio = b.ratio LEFT JOIN k2 g ON a.ratio = g.ratio),
-     v AS (SELECT j.r, coalesce(bool_and(x.v <= q3 + greatest({SPREAD} * (q3 - q1), slack::DOUBLE)
-                                AND (x.ratio NOT IN ({two}) OR x.v >= q1 - greatest({SPREAD} * (q3 - q1), slack::DOUBLE))), true) AS inside
+     v AS (SELECT j.r, coalesce(bool_and(CASE WHEN x.ratio IN ({two}) THEN x.v BETWEEN q1 - greatest({SPREAD} * (q3 - q1), slack::DOUBLE)
+                                AND q3 + greatest({SPREAD} * (q3 - q1), slack::DOUBLE) ELSE x.v <= q9 + greatest({SPREAD} * (q9 - q2), slack::DOUBLE) END), true) AS inside
            FROM j LEFT JOIN lim ON j.lang IS NOT DISTINCT FROM lim.lang AND j.source IS NOT DISTINCT FROM lim.source AND x.ratio = lim.ratio GROUP BY j.r)
 SELECT DISTINCT ON (j.r) doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND inside AS kept
 FROM j JOIN v USING (r)"""

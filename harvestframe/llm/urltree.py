@@ -4,7 +4,8 @@ A tree node is a host and a template of the path so far. Of its next segments th
 that are frequent at the node and whose labels differ from those of their siblings; rare segments
 (ids, names) are variable, and frequent ones whose labels do not differ are merged: both become
 ``*``. Nodes of one depth are worked out together, from counts, so neither a host nor a node is ever
-gathered. A template is rejected if its labelled purity, smoothed towards that of its host and of
+gathered. Below a node of fewer than ``MIN_PAGES`` pages nothing can stay literal, so levels end with
+the deepest path that enough pages share, however deep single paths are. A template is rejected if its labelled purity, smoothed towards that of its host and of
 all hosts, is high, and if enough of its pages are labelled.
 """
 
@@ -17,9 +18,8 @@ from .common import read_table, stage
 
 #: (action, host, path); the rules also label the pages from which the templates learn.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MAX_DEPTH = 8
-#: Least pages, and share of its node's pages, of a literal segment; least z of a difference.
-MIN_PAGES, MIN_SHARE, MIN_Z = 5, 0.02, 2.58
+#: Least pages of a literal segment; least z of a difference.
+MIN_PAGES, MIN_Z = 5, 2.58
 #: Weight of the smoothing in labelled pages; purity and labelled share that reject.
 SMOOTHING, REJECT, LABELLED = 10.0, 0.8, 0.2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,8 +44,8 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """The parts of a path between slashes, one at the end aside; what lies deeper than ``MAX_DEPTH`` is one last part."""
-    return F.split(F.regexp_replace(path, r"^/|/\z", ""), "/", MAX_DEPTH)
+    """The parts of a path between slashes, one at the end aside."""
+    return F.split(F.regexp_replace(path, r"^/|/\z", ""), "/")
 
 
 def _counts() -> list[Column]:
@@ -61,27 +61,32 @@ def _differs(part: str) -> Column:
     return F.coalesce(F.abs(own - other) >= MIN_Z * spread, F.lit(True)) & (F.coalesce(spread, F.lit(1.0)) > 0)
 
 
-def literal_segments(rows: DataFrame) -> DataFrame:
-    """``(host, template, segment)`` that stay literal, from rows of host, template, segment, label."""
-    branch = rows.groupBy("host", "template", "segment").agg(*_counts())
+def literal_segments(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(h, t, s)`` that stay literal, and the nodes ``(h, t)`` of enough pages, from rows of host, template, segment, label."""
+    branch = stage(rows.groupBy("host", "template", "segment").agg(*_counts()), "url-branches")
     node = branch.groupBy(F.col("host").alias("h"), F.col("template").alias("t")).agg(*[F.sum(c).alias(f"all_{c}") for c in ("n", "blocked", "allowed")])
-    both = branch.join(node, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")))
-    frequent = (F.col("n") >= MIN_PAGES) & (F.col("n") >= MIN_SHARE * F.col("all_n"))
-    return both.where(frequent & (_differs("blocked") | _differs("allowed"))).select("host", "template", "segment")
+    node = node.where(F.col("all_n") >= MIN_PAGES)
+    both = branch.where(F.col("n") >= MIN_PAGES).join(node, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")))
+    return both.where(_differs("blocked") | _differs("allowed")).select("h", "t", F.col("segment").alias("s")), node.select("h", "t")
 
 
 def templates(rows: DataFrame) -> DataFrame:
     """``rows`` (host, path, label, more) with their ``template``."""
-    rows = stage(rows.withColumn("parts", segments(F.col("path"))).withColumn("template", F.lit("")), "url-level")
-    depth = rows.agg(F.max(F.size("parts"))).first()[0] or 0
-    for d in range(depth):
-        here = rows.withColumn("segment", F.get("parts", F.lit(d)))
-        literal = stage(literal_segments(here.where("segment is not null")), "url-literals")
-        literal = literal.select(F.col("host").alias("h"), F.col("template").alias("t"), F.col("segment").alias("s"))
-        on = (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (F.col("segment") == F.col("s"))
-        step = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("s", F.lit("*"))))
-        rows = stage(here.join(literal, on, "left").withColumn("template", F.concat("template", step)).drop("segment", "h", "t", "s"), "url-level")
-    return rows.drop("parts")
+    names = rows.columns
+    rows = stage(rows.select("*", segments(F.col("path")).alias("parts"), F.lit("").alias("template"), F.lit(True).alias("open")), "url-level")
+    done, d = rows.where("not open"), 0
+    while not rows.where("open").isEmpty():
+        here = rows.where("open").withColumn("segment", F.get("parts", F.lit(d)))
+        literal, big = literal_segments(here)
+        literal, big = stage(literal, "url-literals"), big.select(F.col("h").alias("bh"), F.col("t").alias("bt"))
+        at = (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")) & (F.col("segment") == F.col("s"))
+        node = (F.col("host") == F.col("bh")) & (F.col("template") == F.col("bt"))
+        left = F.size("parts") - d  # parts from this one on
+        rest = F.concat(F.lit("/"), F.when(F.col("bh").isNull(), F.concat(F.repeat(F.lit("*/"), left - 1), F.lit("*"))).otherwise(F.coalesce("s", F.lit("*"))))
+        rows = stage(here.join(literal, at, "left").join(big, node, "left")
+                     .select(*names, "parts", F.concat("template", rest).alias("template"), (F.col("bh").isNotNull() & (left > 1)).alias("open")), "url-level")
+        done, d = done.unionByName(rows.where("not open")), d + 1
+    return done.drop("parts", "open")
 
 
 def rejected(rows: DataFrame) -> DataFrame:
@@ -121,7 +126,7 @@ def op7_url_filter(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle_op7(rules=RULES) -> str:
-    """The same judgement in SQL, one group of CTEs per depth."""
+    """The same judgement in SQL, one recursion per depth."""
     lower = f"translate({{}}, '{_UPPER}', '{_LOWER}')"
     order = sorted(rules, key=lambda r: (len(r[1] + r[2]), len(r[1]), r[0] == "block"), reverse=True)
     when = "".join(f" WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h + p}'" for _, h, p in order)
@@ -133,32 +138,31 @@ def oracle_op7(rules=RULES) -> str:
         spread = f"sqrt({pooled} * (1 - {pooled}) * (1.0::DOUBLE / n + 1.0::DOUBLE / (all_n - n)))"
         return f"(all_n = n OR ({spread} > 0 AND abs({part}::DOUBLE / n - (all_{part} - {part})::DOUBLE / (all_n - n)) >= {MIN_Z}::DOUBLE * {spread}))"
 
-    levels = [f"""
-l0 AS (SELECT *, CASE WHEN len(p) > {MAX_DEPTH} THEN list_append(p[1:{MAX_DEPTH - 1}], array_to_string(p[{MAX_DEPTH}:], '/')) ELSE p END AS parts, '' AS template
-       FROM (SELECT *, string_split(regexp_replace(path, '^/|/$', '', 'g'), '/') AS p FROM judged))"""]
-    for d in range(1, MAX_DEPTH + 1):
-        levels.append(f"""
-b{d} AS (SELECT host, template, parts[{d}] AS segment, {counts} FROM l{d - 1} WHERE len(parts) >= {d} GROUP BY ALL),
-n{d} AS (SELECT *, sum(n) OVER w AS all_n, sum(blocked) OVER w AS all_blocked, sum(allowed) OVER w AS all_allowed FROM b{d} WINDOW w AS (PARTITION BY host, template)),
-s{d} AS (SELECT host, template, segment FROM n{d} WHERE n >= {MIN_PAGES} AND n >= {MIN_SHARE}::DOUBLE * all_n AND ({differs('blocked')} OR {differs('allowed')})),
-l{d} AS (SELECT l.* REPLACE (l.template || CASE WHEN len(l.parts) < {d} THEN '' ELSE '/' || coalesce(s.segment, '*') END AS template)
-         FROM l{d - 1} l LEFT JOIN s{d} s ON s.host = l.host AND s.template = l.template AND s.segment = l.parts[{d}])""")
-    last = f"l{MAX_DEPTH}"
+    levels = f"""
+l AS (SELECT *, string_split(regexp_replace(path, '^/|/$', '', 'g'), '/') AS parts, '' AS template, 0 AS d FROM judged
+      UNION ALL
+      SELECT page_id, host, path, rule, action, label, parts,
+             template || CASE WHEN len(parts) <= d THEN '' WHEN n >= {MIN_PAGES} AND ({differs('blocked')} OR {differs('allowed')}) THEN '/' || parts[d + 1] ELSE '/*' END, d + 1
+      FROM (SELECT *, count(*) OVER b AS n, count(*) FILTER (WHERE label = 1) OVER b AS blocked, count(*) FILTER (WHERE label = 0) OVER b AS allowed,
+                   count(*) OVER a AS all_n, count(*) FILTER (WHERE label = 1) OVER a AS all_blocked, count(*) FILTER (WHERE label = 0) OVER a AS all_allowed
+            FROM l WINDOW a AS (PARTITION BY host, template, len(parts) > d), b AS (PARTITION BY host, template, len(parts) > d, parts[d + 1]))
+      WHERE d < (SELECT max(len(string_split(path, '/'))) FROM judged)),
+last AS (SELECT * FROM l WHERE d = (SELECT max(d) FROM l))"""
     k = f"{SMOOTHING}::DOUBLE"
     return f"""
-WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
      h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
      parsed AS (SELECT page_id, {lower.format('raw')} AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
      ruled AS (SELECT *, CASE{when} END AS rule FROM parsed),
      acted AS (SELECT *, CASE{act} END AS action FROM ruled),
-     judged AS (SELECT *, CASE action WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS label FROM acted),{','.join(levels)},
-     t AS (SELECT host, template, {counts} FROM {last} GROUP BY host, template),
+     judged AS (SELECT *, CASE action WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS label FROM acted),{levels},
+     t AS (SELECT host, template, {counts} FROM last GROUP BY host, template),
      hosts AS (SELECT host, sum(blocked) AS hb, sum(blocked + allowed) AS hl FROM t GROUP BY host),
      share AS (SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(blocked + allowed), 0), 0) AS s FROM t),
      bad AS (SELECT t.host, t.template FROM t JOIN hosts USING (host), share
              WHERE (blocked + {k} * ((hb + {k} * s) / (hl + {k}))) / (blocked + allowed + {k}) >= {REJECT}::DOUBLE AND blocked + allowed >= {LABELLED}::DOUBLE * n)
 SELECT page_id, l.host, path, rule, coalesce(action, CASE WHEN bad.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, l.template
-FROM {last} l LEFT JOIN bad ON bad.host = l.host AND bad.template = l.template"""
+FROM last l LEFT JOIN bad ON bad.host = l.host AND bad.template = l.template"""
 
 
 ORACLE_OP7 = oracle_op7()

@@ -2,8 +2,11 @@ import collections
 import re
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from harvestframe.llm import mixing as M
+from harvestframe.llm.common import row_key
 
 
 def brute_targets(sizes):
@@ -77,17 +80,53 @@ def test_many_leaves_meet_the_target(spark, monkeypatch):
     assert all(abs(a - b) <= 0.01 * max(a, b) for a, b in got.values())
 
 
-def test_pivot_keeps_mass_and_means():
-    rng = np.random.default_rng(5)
-    size, p = rng.integers(1, 50, 12).astype(float), rng.random(12)
-    mean = np.zeros(12)
-    runs = 4000
-    for k in range(runs):
-        q, at = M.pivot(size.tolist(), p.tolist(), rng.random(12).tolist())
-        assert abs(np.dot(q, size) - np.dot(p, size)) < 1e-6
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 200])
+def test_rounding_keeps_mass_and_inclusion_rates(n):
+    rng = np.random.default_rng(n)
+    size = np.sort(rng.integers(1, 100, n))[::-1]
+    p = np.full(n, 0.3) if n % 2 == 0 else rng.random(n)
+    p[3::4] = 0.7
+    runs = 6000 if n < 100 else 1500
+    mean, left = np.zeros(n), []
+    for _ in range(runs):
+        q, at = M.rounded(size, p, rng.random(n), rng.random(n))
+        assert abs(q @ size - p @ size) < 1e-6 * size.sum()
         assert all(x in (0.0, 1.0) or i == at for i, x in enumerate(q))
-        mean += np.array(q) / runs
-    assert np.abs(mean - p).max() < 0.05
+        if at >= 0:
+            left.append(size[at])
+            q[at] = rng.random() < q[at]
+        mean += q / runs
+    assert (np.abs(mean - p) <= 4 * np.sqrt(p * (1 - p) / runs) + 1e-9).all()
+    if n == 200:
+        assert np.mean(left) <= 5  # mostly one of the smallest is left over
+
+
+def test_inclusion_rates_of_the_operator(spark):
+    """Sources of three unequal documents each: every document is taken at its source's rate."""
+    docs = [(s * 3 + k, f"s{s} " + "w " * (n - 1), f"{s:04d}") for s in range(900) for k, n in enumerate((7, 5, 3))]
+    rows = M.mix(spark.createDataFrame(docs, "doc_id bigint, text string, source string")).collect()
+    rate = {r.source: r.target / r.source_size for r in rows}
+    assert {round(x, 9) for x in rate.values()} == {0.5, 1.0, 1.5}
+    for size in (7, 5, 3):
+        for want in (0.5, 1.5):
+            copies = [r.copies for r in rows if r.size == size and abs(rate[r.source] - want) < 1e-9]
+            assert len(copies) == 300 and abs(np.mean(copies) - want) < 3.5 * 0.5 / 300 ** 0.5
+    taken = collections.Counter()
+    for r in rows:
+        taken[r.source] += r.size * r.copies
+    assert abs(sum(taken.values()) - 900 * 15) <= 4 * 7 * 900 ** 0.5
+
+
+def test_rows_that_differ_in_nulls_alone(spark):
+    """A null in one column or the other makes two rows; every name is allowed; maps are compared too."""
+    docs = [(1, "a b c", None, "en", "r", "c", 1), (1, "a b c", "en", None, "r", "c", 1), (1, "a b c", "en", "en", None, "c", 1), (1, "a b c", "en", "en", "r", None, 1)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, row string, copies string, __again int")
+    df = df.withColumn("more", F.create_map(F.lit("k"), F.col("lang")))
+    assert len({r.row for r in M.mix(df).collect()}) == 4
+    want = collections.Counter({r.row: r.copies for r in M.mix(df).collect()})
+    got = collections.Counter(bytes(r[0]) for r in M.take_mix(df).select(row_key(df)).collect())
+    assert got == +collections.Counter({bytes(k): v for k, v in want.items()})
+    assert M.take_mix(df).columns == df.columns
 
 
 def test_empty(nothing):

@@ -34,9 +34,12 @@ def brute_kept(docs):
             if not values:
                 continue
             at = lambda s: next(v for i, v in enumerate(values) if i + 1 >= s * len(values))
-            q1, q3 = (0.0 if x == Q.ZERO_BIN else 2 * Q.GAMMA**x / (Q.GAMMA + 1) for x in (at(0.25), at(0.75)))
-            far = max(Q.SPREAD * (q3 - q1), Q.SLACK[k])
-            ok = ok and v <= q3 + far and (k not in Q.TWO_SIDED or v >= q1 - far)
+            q1, q2, q3, q9 = (0.0 if x == Q.ZERO_BIN else 2 * Q.GAMMA**x / (Q.GAMMA + 1) for x in map(at, (0.25, 0.5, 0.75, 0.9)))
+            if k in Q.TWO_SIDED:
+                far = max(Q.SPREAD * (q3 - q1), Q.SLACK[k])
+                ok = ok and q1 - far <= v <= q3 + far
+            else:
+                ok = ok and v <= q9 + max(Q.SPREAD * (q9 - q2), Q.SLACK[k])
         out.append(ok)
     return out
 
@@ -54,7 +57,7 @@ def test_verdicts_match_brute_force(to_frame, docs):
                     "en", "a" if i % 3 else "b", 0) for i in range(260)]
     more += [(2000 + i, " ".join(f"w{j * i} #" for j in range(30)), "en", "a", 0) for i in range(1, 6)]
     df = to_frame(more)
-    rows = Q.judged(Q.with_counts(df)).select("doc_id", "text", "__base_failed", "__kept").collect()
+    rows = Q.judged(df, Q.counts_column(df.text)).select("row.doc_id", "row.text", "base_failed", "kept").collect()
     want = collections.Counter((d[0], d[1], n < 20 or 100 * rep > 30 * n, k) for d, k in zip(more, brute_kept(more)) for n, _, _, _, _, rep, _ in [brute_counts(d[1])])
     assert collections.Counter(map(tuple, rows)) == want
     assert any(not k and not f for *_, f, k in want), "no row shows the adaptive fences"
@@ -63,14 +66,31 @@ def test_verdicts_match_brute_force(to_frame, docs):
 
 
 def test_sketches_merge_exactly(spark, df):
-    rows = Q.with_counts(df).select("lang", "source", "__q")
     from pyspark.sql import functions as F
-    whole = Q.sketches(rows, F.col("__q"))
-    halves = [Q.sketches(x, F.col("__q")) for x in rows.randomSplit([0.5, 0.5], 1)]
+    rows = df.select("lang", "source", Q.counts_column(df.text).alias("q"))
+    whole = Q.sketches(rows, F.col("q"))
+    halves = [Q.sketches(x, F.col("q")) for x in rows.randomSplit([0.5, 0.5], 1)]
     merged = halves[0].unionByName(halves[1]).groupBy("lang", "source", "ratio", "bin").agg(F.sum("n").alias("n"))
     assert sorted(map(str, whole.collect())) == sorted(map(str, merged.collect()))
 
 
+def test_each_fence_rejects(spark, to_frame):
+    """A document past the base rules is rejected by each fence alone; columns keep any name."""
+    from pyspark.sql import functions as F
+    rng = random.Random(8)
+    plain = lambda n: [rng.choice("abcdefghij") + "".join(rng.choice("klmnop") for _ in range(4)) for _ in range(n)]
+    docs = [(i, "\n".join(" ".join(plain(10)) for _ in range(6)), "en", "a", 0) for i in range(150)]
+    passage = plain(14)
+    one = {1001: [w + "x" * 30 for w in plain(40)], 1002: plain(40) + ["#"] * 9, 1004: plain(36) + passage + passage[:13] + plain(37), 1005: [w for w in plain(20) for _ in range(2)]}
+    docs += [(i, " ".join(words), "en", "a", 0) for i, words in one.items()]
+    docs.append((1003, "\n".join(" ".join(x) for x in [*[plain(9) for _ in range(7)], *[["same", "line"]] * 6]), "en", "a", 0))
+    frame = to_frame(docs).withColumn("q", F.lit(1)).withColumn("base_failed", F.lit(2)).withColumn("word_length_high", F.lit(0.0)).withColumn("row.x", F.lit(3))
+    rows = Q.judged(frame, Q.counts_column(frame.text)).select("row.doc_id", "q.*", "base_failed", "kept").collect()
+    assert {r.doc_id for r in rows if not r.kept} == {1001, 1002, 1003, 1004, 1005} and not any(r.base_failed for r in rows)
+    kept = Q.keep_good(frame)
+    assert kept.columns == frame.columns and kept.count() == 150
+
+
 def test_labelled_documents(spark):
     import os
     import pytest

@@ -26,7 +26,7 @@ def brute(urls):
         rule, action = brute_rule(host, path)
         core = path[1:] if path.startswith("/") else path
         core = core[:-1] if core.endswith("/") else core
-        rows.append([host, path, rule, action, {"block": 1, "allow": 0}.get(action), core.split("/", U.MAX_DEPTH - 1), ""])
+        rows.append([host, path, rule, action, {"block": 1, "allow": 0}.get(action), core.split("/"), ""])
     for d in range(max(len(r[5]) for r in rows)):
         branch = collections.defaultdict(lambda: [0, 0, 0])
         node = collections.defaultdict(lambda: [0, 0, 0])
@@ -40,7 +40,7 @@ def brute(urls):
         def literal(key):
             n, *own = branch[key]
             big, *whole = node[key[:2]]
-            if n < U.MIN_PAGES or n < U.MIN_SHARE * big:
+            if n < U.MIN_PAGES:
                 return False
             if n == big:
                 return True
@@ -82,6 +82,9 @@ def make():
         for _ in range(n):
             lang = rng.choice(["de", "de", "en", "fr", "es"])
             urls.append(f"http://{host}/{lang}/{rng.randint(0, 10**6)}{rng.choice(['', '/', '.html'])}")
+    deep = "/".join("abcdefghij")
+    urls += [f"http://deep.example.com/{lang}/{deep}/{lang}{i % 3}" for lang in ("de", "en") for i in range(30)]  # differs beyond eight segments
+    urls += [f"http://broad.example.com/{'de' if i < 8 else 'en'}/{i}" for i in range(700)]  # a branch of 1 % of its node
     urls += [f"http://few.example.com/{'de' if i % 10 else 'xx' + str(i)}/{i}" for i in range(60)]
     urls += [f"http://few{i}.example.com/{lang}/{i}" for i in range(3) for lang in ("de", "de", "de", "de", "en")]
     return urls + urls[20:25] * 3
