@@ -15,6 +15,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,37 +68,73 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def piece(self, text: str, space: bool) -> bytes:
-        """Ids of a piece without irregular white space, after a space or not."""
+        """Ids of a piece without white space, after a space or not."""
         kept = self.spaced if space else self.bare
-        if (ids := kept.get(text)) is not None:
+        if ids := kept.get(text):
             return ids
-        if "\n" in text:
-            head, *rest = text.split("\n")
-            return self.piece(head, space) + b"".join([self.newline + self.piece(x, False) for x in rest])
-        core = text.rstrip(".,;:!?")
-        if core != text and core and core[-1].isalpha():
-            ids = self.piece(core, space) + self.piece(text[len(core):], False)
+        last = text[-1:]
+        if last in ".,;:!?" and text[:-1].isalpha():  # the usual end of a sentence or clause
+            ids = self.piece(text[:-1], space) + self.piece(last, False)
         elif text.isalpha():  # one piece for the merges: the model alone will do
-            word = "".join(map(self.letters.__getitem__, (" " * space + text).encode()))
-            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+            if text.isascii():
+                word = self.letters[32] + text if space else text
+            else:
+                word = (" " * space + text).encode().decode("latin-1").translate(self.letters)
+            tokens = self.tokenizer.model.tokenize(word)
+            ids = array("I", [t.id for t in tokens]).tobytes()
         else:
-            ids = self.whole(" " * space + text)
+            core = text.rstrip(".,;:!?")
+            if core != text and core and core[-1].isalpha():
+                ids = self.piece(core, space) + self.piece(text[len(core):], False)
+            else:
+                ids = self.whole(" " * space + text)
         if len(text) <= KEPT_LENGTH and len(kept) < KEPT_PIECES:
             kept[text] = ids
         return ids
 
+    def word(self, text: str) -> bytes:
+        """Ids of a word after a space, or of a line feed and the word after it."""
+        return self.newline + self.piece(text[1:], False) if text[:1] == "\n" else self.piece(text, True)
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids; none for null or empty."""
         if not text:
             return b""
         if any(map(text.__contains__, self.added)):  # the library cuts these out before anything else
             return self.whole(text)
-        if _irregular(text):
-            return b"".join([self.whole(x) if _irregular(x[1:]) else self.piece(x[1:], True) if x[0] == " " else self.whole(x)
-                             for x in _SAFE_CUT.split(text)])
-        first, *rest = text.split(" ")
-        get, piece = self.spaced.get, self.piece
-        return self.piece(first, False) + b"".join([get(x) or piece(x, True) for x in rest])
+        if not _irregular(text):
+            first, *rest = text.replace("\n", " \n").split(" ")
+            return self.piece(first, False) + b"".join(map(self.word, rest))
+        cut = _SAFE_CUT.split(text)  # all but the first start with a space
+        return b"".join([self.whole(x) if _irregular(x[i > 0:]) or "\n" in x else self.piece(x[1:], True) if i else self.piece(x, False)
+                         for i, x in enumerate(cut)])
+
+    def encode_all(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``end``, and how many each has. Distinct words of the batch are looked up once."""
+        plain = [bool(t) and not any(map(t.__contains__, self.added)) and not _irregular(t) for t in texts.to_pylist()]
+        regular = pc.if_else(pa.array(plain, pa.bool_()), pc.fill_null(texts, ""), "")
+        words = pc.split_pattern(pc.replace_substring(regular, "\n", " \n"), " ")  # one word at least
+        coded = words.flatten().dictionary_encode()
+        at = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+        distinct, get = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.spaced.get
+        known = [get(w) or self.word(w) if w else b"" for w in distinct]
+        index = coded.indices.to_numpy().astype(np.int64)
+        # the first word of a text stands after no space; other texts are one word
+        firsts = [distinct[i] for i in index[at[:-1]].tolist()]
+        index[at[:-1]] = len(known) + np.arange(len(firsts))
+        known += [self.piece(w, False) if ok else self.encode(t) for ok, w, t in zip(plain, firsts, _lazy(texts, plain))]
+        table, length = np.frombuffer(b"".join(known) + end, np.int32), np.array([len(x) // 4 for x in known] + [len(end) // 4], np.int64)
+        start = np.cumsum(length) - length
+        index = np.insert(index, at[1:], len(known))  # the end id after each text
+        sizes = length[index]
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(start[index] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.diff(np.append(0, ends[at[1:] + np.arange(len(firsts))]))
+
+
+def _lazy(texts: pa.Array, plain: list[bool]) -> Iterator[str | None]:
+    """The texts that are not plain; None for the others."""
+    return (None if ok else texts[i].as_py() for i, ok in enumerate(plain))
 
 
 def _encoder(tokenizer: str) -> Encoder:
@@ -125,12 +162,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, total = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = [encoder.encode(t) + end for t in batch.column(1).to_pylist()]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+            ids, sizes = encoder.encode_all(batch.column(1), end)
             ends = np.cumsum(sizes)
-            values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), part, np.int32)), batch.column(0), pa.array(total + ends - sizes),
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), part, np.int32)), batch.column(0), pa.array(total + ends - sizes),
                                               pa.array(sizes), lists], ["part", "doc_id", "start", "n_tokens", "ids"])
             total += int(sizes.sum())
 

@@ -98,7 +98,7 @@ def test_rounding_keeps_mass_and_inclusion_rates(n):
         mean += q / runs
     assert (np.abs(mean - p) <= 4 * np.sqrt(p * (1 - p) / runs) + 1e-9).all()
     if n == 200:
-        assert np.mean(left) <= 5  # mostly one of the smallest is left over
+        assert np.mean(left) <= 20  # mostly a small one of each class is left over
 
 
 def test_inclusion_rates_of_the_operator(spark):
