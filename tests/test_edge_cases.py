@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import SILVER_ORDER, synthetic_silver
+from series import SILVER_ORDER, synthetic_silver
 
 
 def _gold(spark, pdf):

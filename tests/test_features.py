@@ -91,7 +91,7 @@ def test_no_lookahead(gold_pdf):
 
 def test_chunked_build_equals_series_build(spark):
     """A long series split in 400-row chunks gives the same gold, whatever reaches beyond their halos."""
-    from conftest import SILVER_ORDER, synthetic_silver
+    from series import SILVER_ORDER, synthetic_silver
     from harvestframe.plans.gold import build_gold, lookback_rows
     pdf = pd.concat([synthetic_silver(n=3000, seed=5, symbol="hot"), synthetic_silver(n=120, seed=6, symbol="cold")])
     pdf = pdf[SILVER_ORDER]
