@@ -24,6 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -141,6 +142,15 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
     return docs.select("lang", "number", "text").mapInArrow(read, "lang string, chunk binary, block bigint, places binary, counts binary")
 
 
+def _starts(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before."""
+    return np.append(True, pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)).astype(bool)
+
+
+def _list(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def term_rows(chunks: DataFrame) -> DataFrame:
     """``(lang, term, block, times, places, counts)``: each distinct chunk is cut once, where all its rows meet.
 
@@ -149,20 +159,29 @@ def term_rows(chunks: DataFrame) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, terms = None, []
+        last, found = None, []
         for batch in batches:
-            at, out, times = [], [], []
-            for i, chunk in enumerate(batch.column(1).to_pylist()):
-                if chunk != last:
-                    last, terms = chunk, list(Counter(TERM.findall(chunk.lower())).items())  # bytes: A-Z alone are lower-cased
-                for term, n in terms:
-                    at.append(i)
+            if not batch.num_rows:
+                continue
+            first = _starts(batch.column(1))
+            of_run, out, times = np.cumsum(first) - 1, [], []
+            chunks = _list(batch.column(1).take(pa.array(np.flatnonzero(first))))
+            many = np.zeros(len(chunks), np.int64)
+            for i, chunk in enumerate(chunks):
+                if chunk != last:  # the first one may go on from the batch before
+                    last, found = chunk, TERM.findall(chunk.lower())  # bytes: A-Z alone are lower-cased
+                    found = [(found[0], 1)] if len(found) == 1 else list(Counter(found).items())
+                many[i] = len(found)
+                for term, n in found:
                     out.append(term)
                     times.append(n)
-            rows = pa.Table.from_batches([batch]).take(pa.array(at, pa.int64())).combine_chunks()
-            columns = {"lang": rows["lang"], "term": pa.array(out, pa.binary()), "block": rows["block"],
-                       "times": pa.array(times, pa.int64()), "places": rows["places"], "counts": rows["counts"]}
-            yield from pa.table(columns).to_batches()
+            width = many[of_run]  # terms to a row
+            at = pa.array(np.repeat(np.arange(len(of_run)), width))
+            begin = np.cumsum(many) - many
+            place = np.arange(len(at)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(begin[of_run], width)
+            lang, _, block, places, counts = (c.take(at) for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([lang, pa.array(out, pa.binary()).take(pa.array(place)), block, pa.array(np.array(times, np.int64)[place]), places, counts],
+                                             ["lang", "term", "block", "times", "places", "counts"])
 
     dealt = chunks.repartition("chunk").sortWithinPartitions("chunk")
     return dealt.mapInArrow(cut, "lang string, term binary, block bigint, times bigint, places binary, counts binary")
@@ -256,12 +275,15 @@ def term_counts(terms: DataFrame) -> DataFrame:
         def take(rows: pa.Table) -> None:
             """Add whole blocks of rows to the counts; their names go on from the last one."""
             nonlocal counts
-            keys = []
-            for name in zip(rows["term"].to_pylist(), rows["lang"].to_pylist()):
-                if not names or names[-1] != name:
-                    names.append(name)
-                keys.append(len(names) - 1)
-            fresh = _merged(rows.append_column("key", pa.array(np.array(keys, np.int64))))
+            rows = rows.combine_chunks()
+            term, lang = rows["term"].chunk(0), rows["lang"].chunk(0)
+            first = _starts(term) | _starts(lang)
+            at = pa.array(np.flatnonzero(first))
+            found = list(zip(_list(term.take(at)), _list(lang.take(at))))
+            on = bool(names) and names[-1] == found[0]  # goes on from the rows before
+            keys = np.cumsum(first) - 1 + len(names) - on
+            names.extend(found[on:])
+            fresh = _merged(rows.append_column("key", pa.array(keys)))
             counts = _by_source(*[np.append(a, b) for a, b in zip(counts, fresh)])
 
         for batch in batches:
