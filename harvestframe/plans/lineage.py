@@ -5,35 +5,48 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestframe.config import Config
 from harvestframe.operators.stats import cumulative_buckets
 
 
+#: Seeds of the two 64-bit halves of a row's hash.
+SEEDS = (0x5EED, 0xD16E57)
+
+
+def row_hashes(cols: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row. Spark's hash skips NULLs, so each column goes in with its place and whether it is NULL."""
+    parts = [x for i, c in enumerate(cols) for x in (F.lit(i), F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in SEEDS]
+
+
+def digest_of(cols: Sequence[str]) -> Column:
+    """Sums and exclusive ors of the row hashes: the sums count repeated rows, neither knows an order."""
+    sums = [F.sum(h.cast("decimal(38,0)")).cast("string") for h in row_hashes(cols)]
+    xors = [F.bit_xor(h).cast("string") for h in row_hashes(cols)]
+    return F.concat_ws(":", *sums, *xors)
+
+
 def dataset_digest(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """L2: order-insensitive content digest (rows, sum of 64-bit row hashes as decimal).
+    """L2: order-insensitive content digest (rows, digest) of a multiset of rows.
 
     Same rows in any order or partitioning give the same digest; one pass, partial
-    aggregation, nothing collected."""
-    cols = list(cols or df.columns)
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).cast("string").alias("digest"),
-                  F.sum(F.xxhash64(*[F.col(c) for c in cols]) % F.lit(1_000_003)).alias("checksum"))
+    aggregation, nothing collected. Rows that differ in where a NULL is, or in how often
+    they occur, give another one. No rows: an empty sum."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), digest_of(list(cols or df.columns)).alias("digest"))
 
 
 def run_record(run_id: str, metrics: dict, params: dict, gold: DataFrame, code_version: str) -> DataFrame:
     """L1: one row describing a training run; append it to a Parquet ``runs`` table."""
-    cols = list(gold.columns)
-    h = F.xxhash64(*[F.col(c) for c in cols]).cast("decimal(38,0)")
     mp = F.create_map(*[x for k, v in metrics.items() for x in (F.lit(k), F.lit(float(v)))]) if metrics \
         else F.create_map().cast("map<string,double>")
     pp = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]) if params \
         else F.create_map().cast("map<string,string>")
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return gold.agg(F.count(F.lit(1)).alias("rows"), F.min("date").alias("start_date"),
-                    F.max("date").alias("end_date"), F.sum(h).cast("string").alias("digest")).select(
+                    F.max("date").alias("end_date"), digest_of(gold.columns).alias("digest")).select(
         F.lit(run_id).alias("run_id"), F.lit(now).alias("created_at"), F.lit(code_version).alias("code_version"),
         mp.alias("metrics"), pp.alias("params"), "rows", "start_date", "end_date", "digest")
 

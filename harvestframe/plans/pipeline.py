@@ -20,7 +20,7 @@ from harvestframe.operators.quality import quality_report
 from harvestframe.plans.gold import build_gold, feature_columns, market_features
 from harvestframe.plans.lineage import append_run, pipeline_metrics, run_record
 from harvestframe.plans.silver import build_silver
-from harvestframe.plans.train import cross_validate, save_model, train_model
+from harvestframe.plans.train import cross_validate, holdout_importance, save_model, train_model
 from harvestframe.sources.bronze import read_bronze, read_table, table_exists, write_bronze, write_table
 
 CODE_VERSION = "0.2.0"
@@ -62,7 +62,7 @@ def run_pipeline(spark: SparkSession, bars: DataFrame | None, weather_long: Data
     if do_train:
         used = list(feature_cols or [c for c in market_features(cfg) if c in feats])
         trained = train_model(gold, used, cfg)
-        save_model(trained, root)
+        save_model(trained, root, holdout_importance(trained))
         hold = trained.holdout(()).first().asDict()
         found = {f"holdout_{k}": float(hold[k]) for k in METRICS if hold[k] is not None}
         found |= {f"cv_{r['metric']}": float(r["mean"]) for r in cross_validate(gold, used, cfg).collect() if r["mean"] is not None}

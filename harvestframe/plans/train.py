@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestframe.config import Config
+from harvestframe.plans.importance import model_scorer, permutation_importance
 from harvestframe.plans.mlprep import chrono_split, fold_bounds, fold_summary, regression_metrics, renumber, robust_apply, robust_stats
 from harvestframe.sources.bronze import write_csv, write_table
 
@@ -100,12 +101,19 @@ def tree_importance(model, feature_cols: Sequence[str], spark) -> DataFrame:
     return spark.createDataFrame(list(zip(feature_cols, [float(v) for v in imp])), "feature string, importance double")
 
 
-def save_model(trained: Trained, root: str) -> None:
-    """Model, scaler and the ranked importances (CSV with header) under ``root``."""
+def holdout_importance(trained: Trained, repeats: int = 3) -> DataFrame:
+    """M6: permutation importance on the hold-out rows."""
+    rows = renumber(trained.rows.where(F.col("role") == "test").drop("pos", "n"))
+    return permutation_importance(rows, trained.feature_cols, model_scorer(trained.model), repeats)
+
+
+def save_model(trained: Trained, root: str, importance: DataFrame | None = None) -> None:
+    """Model, scaler and the ranked importances (CSV with header) under ``root``: those given, else the trees' own."""
     spark = trained.rows.sparkSession
     trained.model.write().overwrite().save(f"{root}/model")
     write_table(trained.stats, f"{root}/scaler")
-    ranked = tree_importance(trained.model, trained.feature_cols, spark).orderBy(F.desc("importance"), "feature")
+    ranked = importance if importance is not None else tree_importance(trained.model, trained.feature_cols, spark)
+    ranked = ranked.select("feature", "importance").orderBy(F.desc("importance"), "feature")
     write_csv(ranked.coalesce(1), f"{root}/importance")  # one row per feature
 
 

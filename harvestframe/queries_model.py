@@ -7,12 +7,16 @@ model queries M5 and M6 are checked on rows only, C1 on what the booster does no
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestframe.checks import sql as S
 from harvestframe.plans import mlprep as M
 from harvestframe.plans.gold import feature_names, market_features
-from harvestframe.plans.lineage import append_run, dataset_digest, pipeline_metrics, prediction_histogram, run_record
+from harvestframe.plans.importance import PRIMES, STEP, linear_scorer, permutation_importance
+from harvestframe.plans.lineage import append_run, dataset_digest, digest_of, pipeline_metrics, prediction_histogram, run_record
 from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_features, latest_row, snapshot_long
 from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.queries_quality import QSQL, report
@@ -205,6 +209,42 @@ def m6_feature_importance(spark, sf):
     return read_importance(spark, root).orderBy(F.desc("importance"))
 
 
+@register("m6_permutation_importance")
+def m6_permutation_importance(spark, sf):
+    """M6: permutation importance of the trained model on the hold-out rows, written as CSV and read back, ranked."""
+    from harvestframe.plans.train import holdout_importance, read_importance, save_model
+    trained, root = trained_model(spark, sf)[0], scratch_path(spark, "model")
+    save_model(trained, root, holdout_importance(trained))
+    return read_importance(spark, root).orderBy(F.desc("importance"))
+
+
+# Fixed scorer of the importance that SQL can follow; a weight of 0 is a feature that cannot matter.
+LINEAR = {"return_5d": 80.0, "rsi": 0.05, "atr_pct": 60.0, "price_to_sma_20": 30.0, "is_monday": 0.0}
+REPEATS = 3
+
+
+def linear_importance_sql() -> str:
+    plain = " + ".join(f"{w} * a.{c}" for c, w in LINEAR.items())
+    dealt = " UNION ALL ".join(f"SELECT '{c}' AS feature, r, avg(abs(a.target - ({plain} - {w} * a.{c} + {w} * b.{c}))) AS mae FROM dealt a "
+                               "JOIN te b ON b.symbol = a.symbol AND b.tpos = a.donor GROUP BY r" for c, w in LINEAR.items())
+    return MSQL + f""",
+te AS (SELECT * EXCLUDE (pos, n), row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS tpos, count(*) OVER (PARTITION BY symbol) AS tn
+       FROM sp2 WHERE role = 'test'),
+dealt AS (SELECT te.*, r, ([{', '.join(map(str, PRIMES))}][r % {len(PRIMES)} + 1] * tpos + 1 + (r * {STEP}) % greatest(tn - 1, 1)) % tn AS donor
+          FROM te, (SELECT unnest(range({REPEATS})) AS r)),
+base AS (SELECT avg(abs(a.target - ({plain}))) AS mae FROM te a),
+grown AS ({dealt}),
+imp AS (SELECT feature, avg(grown.mae - base.mae) AS importance, stddev_samp(grown.mae - base.mae) AS spread FROM grown, base GROUP BY feature)"""
+
+
+@register("m6_permutation_linear", linear_importance_sql(), "SELECT *, row_number() OVER (ORDER BY importance DESC, feature) AS rank FROM imp",
+          kinds_for(["feature", "importance", "spread", "rank"], ints=("rank",), strs=("feature",)))
+def m6_permutation_linear(spark, sf):
+    """M6: permutation importance of a fixed linear scorer on the hold-out rows."""
+    rows = M.renumber(split(spark, sf).where(F.col("role") == "test").drop("pos", "n"))
+    return permutation_importance(rows, list(LINEAR), linear_scorer(LINEAR.values()), REPEATS)
+
+
 @register("c1_score_latest", MSQL + f""",
 lastf AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM gold
                          WHERE {' AND '.join(f'{c} IS NOT NULL' for c in MF)}) WHERE k = 1)""",
@@ -242,3 +282,27 @@ def l1_run_record(spark, sf):
 def l2_dataset_digest(spark, sf):
     """L2: order-insensitive digest of the gold table (same data -> same digest)."""
     return dataset_digest(gold(spark, sf))
+
+
+def _digest_cases_sql() -> str:
+    cases = {"same_rows": "SELECT k, a, b FROM v", "null_moved": "SELECT k, b AS a, a AS b FROM v",
+             "row_repeated": "SELECT k, a, b FROM v UNION ALL SELECT k, a, b FROM v WHERE k % 50 = 1",
+             "other_row_repeated": "SELECT k, a, b FROM v WHERE k % 50 <> 1 UNION ALL SELECT k, a, b FROM v WHERE k % 50 = 2"}
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"case\", NOT EXISTS (({q}) EXCEPT ALL SELECT k, a, b FROM v) AND "
+                              f"NOT EXISTS (SELECT k, a, b FROM v EXCEPT ALL ({q})) AS same FROM (SELECT 1)" for name, q in cases.items())
+
+
+@register("l2_digest_cases", "v AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS a, o_custkey AS b FROM orders)",
+          _digest_cases_sql(), [("case", "s"), ("same", "b")])
+def l2_digest_cases(spark, sf):
+    """L2: which changed copies of a table the digest tells from it: reordered, a NULL in the other of two equal
+    columns, a repeated row, one row in the place of another."""
+    from harvestframe.sources import tables as T
+    v = T.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")).alias("a"), F.col("o_custkey").alias("b"))
+    cases = {"same_rows": v.orderBy(F.desc("k")), "null_moved": v.select("k", F.col("b").alias("a"), F.col("a").alias("b")),
+             "row_repeated": v.unionByName(v.where("k % 50 = 1")),
+             "other_row_repeated": v.where("k % 50 <> 1").unionByName(v.where("k % 50 = 2"))}
+    marked = [df.withColumn("case", F.lit(name)) for name, df in {"": v, **cases}.items()]
+    one = reduce(DataFrame.unionByName, marked).groupBy("case").agg(F.concat_ws(":", F.count("*"), digest_of(["k", "a", "b"])).alias("digest"))
+    plain = one.where("case = ''").select(F.col("digest").alias("plain"))
+    return one.where("case <> ''").join(F.broadcast(plain), F.lit(True)).select("case", (F.col("digest") == F.col("plain")).alias("same"))
