@@ -229,7 +229,7 @@ def l4_two_runs(spark, sf):
     from harvestframe.plans.incremental import daily_build, read_layer
     from harvestframe.queries_core import landed
     bars, weather = landed(spark, sf)
-    root, cut, begin = scratch_path(spark, "two-runs"), dt.date(1997, 12, 31), dt.date(1990, 1, 1)
+    root, cut, begin = scratch_path(spark, "two-runs"), dt.date(2000, 12, 31), dt.date(1992, 1, 1)
     daily_build(spark, bars.where(F.col("date") <= F.lit(cut)), weather.where(F.to_date("date") <= F.lit(cut)), root, CFG, cut, begin)
-    daily_build(spark, bars, weather, root, CFG, dt.date(1998, 12, 31), begin)
+    daily_build(spark, bars, weather, root, CFG, dt.date(2001, 12, 31), begin)
     return read_layer(spark, root, "gold").select(*GOLD_COLS)
