@@ -26,6 +26,8 @@ class FeatureConfig:
     corr_window: int = 20
     # 1 = calendar year (what the reference computes); 4 = the documented April start.
     season_start_month: int = 1
+    # True: averages re-weight over NULL closes between others, at a sort per average; False: such a close fails the build.
+    ema_gaps: bool = False
 
 
 @dataclass(frozen=True)

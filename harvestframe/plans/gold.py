@@ -15,7 +15,7 @@ from harvestframe.config import Config
 from harvestframe.functions import calendar, cross, price, technical, target, volatility, weather
 from harvestframe.functions.numeric import clip_lower, clip_upper
 from harvestframe.operators.chunking import CHUNK, HOME, POS, fill_forward, neighbour, running_sum_with_carry, with_halo, with_positions
-from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_by_blocks, shared_block, with_ema
+from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_by_blocks, ema_over_gaps, ema_over_gaps_by_blocks, shared_block, with_ema
 from harvestframe.operators.windows import lag, pad, row_index
 from harvestframe.session import written
 
@@ -71,9 +71,10 @@ def _features(df: DataFrame, cfg: Config, keys=("symbol",)) -> DataFrame:
             "__close_lag1": lag("close", keys=keys, order=order),
         })
         df = add_changes(df)
-        df = with_ema(df, ema_specs(cfg), keys=keys, order="date", **ema_kw)              # (b)
+        gaps = f.ema_gaps
+        df = ema_over_gaps(df, ema_specs(cfg), keys) if gaps else with_ema(df, ema_specs(cfg), keys=keys, order="date", **ema_kw)  # (b)
         df = technical.add_macd(df, f)
-        df = with_ema(df, [signal_spec(cfg)], keys=keys, order="date", **ema_kw)          # (c)
+        df = ema_over_gaps(df, [signal_spec(cfg)], keys) if gaps else with_ema(df, [signal_spec(cfg)], keys=keys, order="date", **ema_kw)  # (c)
     df = price.add(df, f, keys, order)
     df = technical.add(df, f, keys, order)
     df = volatility.add(df, f, keys, order)
@@ -128,8 +129,9 @@ def build_gold(silver: DataFrame, cfg: Config = Config(), chunk_rows: int | None
     a = fill_forward(silver, keys, "date", {c: out for c, out in fills.items() if c in silver.columns}, bucket)
     a = written(with_positions(a, keys, "date", F.date_trunc(bucket, F.col("date"))), "gold-positions")
     a = add_changes(neighbour(a, keys, ["close"], -1, pos=POS, suffix="__prev").withColumnRenamed("close__prev", "__close_lag1"))
-    a = written(technical.add_macd(ema_by_blocks(a, ema_specs(cfg), keys, POS), f), "gold-averages")
-    a = ema_by_blocks(a, [signal_spec(cfg)], keys, POS)
+    average = ema_over_gaps_by_blocks if f.ema_gaps else ema_by_blocks
+    a = written(technical.add_macd(average(a, ema_specs(cfg), keys, POS), f), "gold-averages")
+    a = average(a, [signal_spec(cfg)], keys, POS)
     a = a.withColumns({
         CHUNK: F.floor(F.col(POS) / F.lit(chunk_rows)),
         "__obv_term": F.coalesce(F.signum("__delta") * F.col("volume"), F.lit(0.0)),

@@ -10,13 +10,15 @@ from harvestframe.functions.numeric import div, ln_pos
 from harvestframe.functions.weather import names as weather_names
 from harvestframe.operators import windows as Wn
 from harvestframe.operators.asof import asof_date_map
-from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, with_ema
+from harvestframe.operators.chunking import POS, with_positions
+from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_over_gaps, ema_over_gaps_by_blocks, with_ema
 from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null
 from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
 from harvestframe.plans.silver import WEATHER_COLS, build_silver, clean_futures, clean_weather, correlated_closes
 from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.registry import CFG, kinds_for, register
+from harvestframe.session import written
 from harvestframe.sources import tables as T
 
 SIL = S.silver_sql()
@@ -290,6 +292,37 @@ def w8_ema_hourly(spark, sf):
     return out.select("symbol", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("hour"), "ema_5", "ema_60", "gain_ema")
 
 
+GAP_COLS = kinds_for(["symbol", "hour", "ema_5", "ema_60", "rise_ema"], strs={"symbol", "hour"})
+GAP_SPECS = [EmaSpec("ema_5", "close", alpha_from_span(5)), EmaSpec("ema_60", "close", alpha_from_span(60)),
+             EmaSpec("rise_ema", "rise", alpha_from_com(13))]
+GAP_SELECT = "SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS hour, e5 AS ema_5, e60 AS ema_60, up AS rise_ema FROM hg"
+
+
+def every_hour(spark, sf):
+    """Each symbol's hours from its first to its last, with NULLs for hours without events and for ``rise`` of hours that do not rise."""
+    hb = T.hourly_bars(spark, sf).select("symbol", "ts", "close", F.when(F.col("close") > F.col("open"), F.col("close") - F.col("open")).alias("rise"))
+    ends = hb.groupBy("symbol").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
+    grid = ends.select("symbol", F.explode(F.expr("sequence(lo, hi, interval 1 hour)")).alias("ts"))
+    return grid.join(hb, ["symbol", "ts"], "left")
+
+
+def _named_hours(df):
+    return df.select("symbol", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("hour"), "ema_5", "ema_60", "rise_ema")
+
+
+@register("w8_ema_gaps", S2.gap_ema_sql(), GAP_SELECT, GAP_COLS)
+def w8_ema_gaps(spark, sf):
+    """Averages over every hour, re-weighted where hours have no value."""
+    return _named_hours(ema_over_gaps(every_hour(spark, sf), GAP_SPECS, order="ts"))
+
+
+@register("w8_ema_gaps_split", S2.gap_ema_sql(), GAP_SELECT, GAP_COLS)
+def w8_ema_gaps_split(spark, sf):
+    """The same without a window over a whole series."""
+    hours = with_positions(every_hour(spark, sf), ["symbol"], "ts", F.date_trunc("month", "ts"))
+    return _named_hours(ema_over_gaps_by_blocks(written(hours, "hours"), GAP_SPECS, ["symbol"], POS))
+
+
 @register("w9_positional", SIL,
           f"SELECT symbol, date, row_number() OVER {S.W} - 1 AS pos, count(*) OVER (PARTITION BY symbol) AS n, "
           f"CASE WHEN row_number() OVER {S.W} - 1 < count(*) OVER (PARTITION BY symbol) // 2 THEN 'first' ELSE 'second' END AS half "

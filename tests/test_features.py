@@ -111,3 +111,31 @@ def test_chunked_build_equals_series_build(spark):
         assert (np.isnan(x) == np.isnan(y)).all(), c
         m = ~np.isnan(x)
         np.testing.assert_allclose(y[m], x[m], rtol=1e-10, atol=1e-8, err_msg=c)
+
+
+def test_averages_over_missing_closes_match_pandas(spark):
+    """With ``ema_gaps`` a NULL close re-weights the averages, chunked or not; without it the build fails."""
+    from dataclasses import replace
+    from series import SILVER_ORDER, synthetic_silver
+    from harvestframe.config import Config
+    from harvestframe.plans.gold import build_gold
+    pdf = synthetic_silver(n=1500, seed=5)[SILVER_ORDER].astype({"close": object})
+    pdf.loc[np.random.default_rng(1).random(1500) < 0.1, "close"] = None
+    pdf.loc[range(600, 680), "close"] = None
+    s = spark.createDataFrame(pdf)
+    with pytest.raises(Exception, match="NULL after the first value"):
+        build_gold(s).collect()
+    cfg = Config()
+    cfg = replace(cfg, features=replace(cfg.features, ema_gaps=True))
+    close = pdf["close"].astype(float).reset_index(drop=True)
+    mean = lambda x, **kw: x.ewm(adjust=False, **kw).mean()
+    macd = mean(close, span=12) - mean(close, span=26)
+    delta = close.diff()
+    up, down = mean(delta.clip(lower=0), com=13), mean(-delta.clip(upper=0), com=13)
+    want = {"macd": macd, "macd_signal_line": mean(macd, span=9), "rsi": 100 - 100 / (1 + up / down.replace(0, np.nan))}
+    frames = [build_gold(s, cfg, chunk_rows=n).orderBy("date").toPandas() for n in (None, 400)]
+    for got in frames:
+        for name, exp in want.items():
+            np.testing.assert_allclose(got[name].astype(float), exp, rtol=1e-9, atol=1e-9, err_msg=name)
+    for c in frames[0].columns.drop(["symbol", "date"]):
+        np.testing.assert_allclose(frames[1][c].astype(float), frames[0][c].astype(float), rtol=1e-9, atol=1e-8, err_msg=c)

@@ -257,3 +257,44 @@ def test_landed_readers(spark, tmp_path):
     assert both.count() == 2 and {"station", "close"} <= set(both.columns)
     with pytest.raises(FileNotFoundError):
         L.read_sources([None])
+
+
+def gapped_series(n=2500):
+    rng = np.random.default_rng(11)
+    frames = []
+    for s, rows, missing in (("a", n, 0.4), ("b", n, 0.02), ("c", 30, 0.9), ("d", 1, 0.0), ("e", 5, 1.0)):
+        x = 100 + np.cumsum(rng.normal(0, 1, rows))
+        x[rng.random(rows) < missing] = np.nan
+        y = x.copy()
+        y[:rows // 3] = np.nan                    # starts late
+        y[rows // 2: rows // 2 + rows // 4] = np.nan  # a gap longer than any average remembers
+        frames.append(pd.DataFrame({"symbol": s, "date": np.arange(rows), "x": x, "y": y}))
+    return pd.concat(frames)
+
+
+@pytest.mark.parametrize("chunked", [False, True])
+def test_ema_over_gaps_matches_pandas(spark, monkeypatch, chunked):
+    from harvestframe.operators import ema
+    monkeypatch.setattr(ema, "SEGMENT", 400)  # the long gap covers whole segments
+    pdf = gapped_series()
+    specs = [ema.EmaSpec(f"{c}{i}", c, a) for c in "xy" for i, a in enumerate((1 / 3, 2 / 61, 0.9))]
+    df = spark.createDataFrame(pdf).withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in "xy"})
+    out = ema.ema_over_gaps_by_blocks(df, specs, ["symbol"], "date") if chunked else ema.ema_over_gaps(df, specs)
+    assert out.columns[:4] == ["symbol", "date", "x", "y"] and len(out.columns) == 10
+    out = out.toPandas().sort_values(["symbol", "date"])
+    for s, g in pdf.groupby("symbol"):
+        o = out[out.symbol == s]
+        assert len(o) == len(g)
+        for sp in specs:
+            np.testing.assert_allclose(o[sp.out].astype(float).values, g[sp.src].ewm(alpha=sp.alpha, adjust=False).mean().values, rtol=1e-10)
+
+
+def test_ema_over_gaps_without_gaps_equals_the_row_blocks(spark):
+    from harvestframe.operators.ema import EmaSpec, ema_over_gaps, with_ema
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame(pd.DataFrame({"symbol": "a", "date": np.arange(900), "x": rng.normal(0, 5, 900)}))
+    specs = [EmaSpec("e", "x", 0.1)]
+    one, two = (f(df, specs).orderBy("date").toPandas() for f in (with_ema, ema_over_gaps))
+    np.testing.assert_allclose(one["e"], two["e"], rtol=1e-10, atol=1e-12)
+    with pytest.raises(ValueError, match="alpha"):
+        ema_over_gaps(df, [EmaSpec("e", "x", 1.0)])
