@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestframe.config import Config
-from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles
+from harvestframe.operators.stats import bin_index, corr, counted_values, decile_probs, percentiles_of_counts
 from harvestframe.operators.chunking import neighbour, series_positions
 
 KEY = "symbol"
+# Tasks per (series, column) that bin values, and the place value of the second of two packed counts.
+SALTS, PAIR = 16, 10 ** 14
 
 
 def _row(check: str, passed, value, threshold, hard: bool):
@@ -45,28 +47,29 @@ def psi_long(gold: DataFrame, columns: Sequence[str], n_bins: int = 10, min_valu
     long = base.unpivot([*keys, "__rn", "__n"], list(columns), "column", "value").where(F.col("value").isNotNull())
     long = long.withColumn("half", F.when(F.col("__rn") < F.floor(F.col("__n") / 2), "ref").otherwise("cur"))
     gk = [*keys, "column"]
-    edges = exact_percentiles(long.where(F.col("half") == "ref"), gk, "value", decile_probs(n_bins), out="edges")
-    edges = edges.withColumn("edges", F.array_distinct("edges"))
-    # one pass counts the bins and, with the values outside all bins (bin -1), the sizes
-    binned = (long.join(edges, gk).withColumn("bin", F.coalesce(bin_index(F.col("edges"), F.col("value")), F.lit(-1)))
-                  .groupBy(*gk, "bin").agg(F.count_if(F.col("half") == "ref").alias("c_ref"),
-                                           F.count_if(F.col("half") == "cur").alias("c_cur")))
-    sizes = binned.groupBy(*gk).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"))
-    grid = (edges.join(sizes, gk)
-                 .where((F.col("n_ref") >= min_values) & (F.col("n_cur") >= min_values))
-                 .select(*gk, "n_ref", "n_cur", F.size("edges").alias("n_edges"),
-                         F.explode(F.sequence(F.lit(0), F.greatest(F.size("edges") - 2, F.lit(0)))).alias("bin")))
-    full = grid.join(binned, [*gk, "bin"], "left").fillna(0, ["c_ref", "c_cur"])
-    eps = F.lit(1e-6)
-    r = F.col("c_ref") / F.col("n_ref")
-    c = F.col("c_cur") / F.col("n_cur")
-    r = F.when(r == 0, eps).otherwise(r)
-    c = F.when(c == 0, eps).otherwise(c)
-    term = (c - r) * F.ln(c / r)
-    return (full.groupBy(*gk, "n_ref", "n_cur", "n_edges")
-                .agg(F.sum(term).alias("psi"))
-                .select(*gk, F.when(F.col("n_edges") < 2, F.lit(0.0)).otherwise(F.col("psi")).alias("psi"),
-                        "n_ref", "n_cur"))
+    # each value's counts in both halves, as one number: the percentiles and the bins then read one shuffle
+    pair = F.sum(F.when(F.col("half") == "ref", F.lit(1)).otherwise(F.lit(PAIR)).cast("decimal(28,0)"))
+    values = counted_values(long, gk, "value", pair)
+    c_ref, c_cur = (F.col("__c") % PAIR).cast("bigint"), F.expr(f"__c div {PAIR}").cast("bigint")
+    edges = percentiles_of_counts(values, gk, decile_probs(n_bins), c_ref, out="edges")
+    # salted by value: a column of one long series is binned by many tasks
+    edges = edges.select(*gk, F.array_distinct("edges").alias("edges"),
+                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__salt"))
+    binned = (values.select(*gk, "__v", c_ref.alias("c_ref"), c_cur.alias("c_cur"),
+                            F.pmod(F.xxhash64("__v"), F.lit(SALTS)).alias("__salt"))
+                    .join(edges, [*gk, "__salt"]).withColumn("bin", bin_index(F.col("edges"), F.col("__v"))))
+    counts = [F.sum(F.when(F.col("bin") == i, F.col(c)).otherwise(0)).alias(f"{c}_{i}")
+              for c in ("c_ref", "c_cur") for i in range(n_bins)]
+    full = (binned.groupBy(*gk).agg(F.sum("c_ref").alias("n_ref"), F.sum("c_cur").alias("n_cur"),
+                                    F.max(F.size("edges")).alias("n_edges"), *counts)
+                  .where((F.col("n_ref") >= min_values) & (F.col("n_cur") >= min_values)))
+
+    def term(i: int):
+        r, c = F.col(f"c_ref_{i}") / F.col("n_ref"), F.col(f"c_cur_{i}") / F.col("n_cur")
+        r, c = F.when(r == 0, F.lit(1e-6)).otherwise(r), F.when(c == 0, F.lit(1e-6)).otherwise(c)
+        return F.when(F.col("n_edges") > i + 1, (c - r) * F.ln(c / r)).otherwise(F.lit(0.0))
+
+    return full.select(*gk, reduce(lambda a, b: a + b, [term(i) for i in range(n_bins)]).alias("psi"), "n_ref", "n_cur")
 
 
 CHECKS = ("row_count", "target_nulls", "leakage_check", "date_continuity", "feature_nulls", "distribution_drift",

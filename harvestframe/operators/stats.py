@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestframe.functions.numeric import div
-from harvestframe.session import written
 
 
 def null_rates(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symbol",)) -> DataFrame:
@@ -47,54 +46,68 @@ def cumulative_buckets(v: Column, edges: Sequence[float]) -> list[Column]:
     return out + [F.count(v).alias("le_inf")]
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                      buckets: int = 48, accuracy: int = 1000, out: str = "q") -> DataFrame:
-    """(keys..., out): exact percentiles with linear interpolation (numpy's default) per group.
+def value_bucket(v: Column, per_e: int = 65536) -> Column:
+    """A whole number that never falls as ``v`` rises: logarithmic buckets, a share 1/per_e of the value wide.
 
-    One plan for every size; no task holds a group:
+    The infinities and NaN (above all others, as in Spark's order) take the outermost buckets.
+    """
+    x = F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.ln(F.abs(v)) + F.lit(800.0)) * F.lit(float(per_e)))
+    edge = F.lit(float(1 << 52))
+    # coalesce: a column that cannot be NULL puts no extra filter below the shared shuffle
+    return F.coalesce(F.floor(F.least(F.greatest(x, -edge), edge)), F.lit(0).cast("bigint"))
+
+
+def counted_values(df: DataFrame, keys: Sequence[str], value: str, count: Column | None = None) -> DataFrame:
+    """(keys..., __v, __c): each group's distinct values and how often they occur, counted before the shuffle."""
+    count = F.count(F.lit(1)) if count is None else count
+    v = df.withColumn("__v", F.col(value).cast("double")).where(F.col("__v").isNotNull())
+    for k in keys:
+        v = v.where(F.col(k).isNotNull())
+    return v.groupBy(*keys, "__v").agg(count.alias("__c"))
+
+
+def percentiles_of_counts(values: DataFrame, keys: Sequence[str], probs: Sequence[float], count: Column | None = None,
+                          out: str = "q", per_e: int = 65536) -> DataFrame:
+    """(keys..., out): exact percentiles with linear interpolation (numpy's default) of counted values.
 
-    1. equal values are counted (partial aggregation), so ties are one row however many they are;
-    2. per group: row count and ``buckets - 1`` cut points over the distinct values (a mergeable
-       sketch, bounded memory);
-    3. every distinct value gets the bucket ``#cuts < value``; bucket counts give each bucket's
-       first global rank;
-    4. the ranks numpy needs (floor/ceil of (n-1)p) are located in their buckets; only those
-       buckets' distinct values (~1/buckets of the group's) are ordered, by a running count;
-    5. the two order statistics of each p are interpolated.
+    1. a histogram per group over ``value_bucket``: merged by addition, a row per bucket in use;
+    2. its running count gives each bucket's first rank, and so the buckets that hold the ranks
+       numpy needs (floor and ceil of (n-1)p);
+    3. only the values of those buckets are put in order, each bucket by itself, and the rows at
+       the ranks taken.
 
-    The counted values, the cuts and the bucket counts are written to the shared folder, since
-    several of the steps read them; the input is read once.
+    All probabilities and groups at once, without a job of its own. ``values`` is read twice from
+    one shuffle. A task orders one bucket: the distinct values within a share 1/``per_e`` of each other.
     """
     keys = list(keys)
-    v = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    v = written(v.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c")), "counted-values")
-    cuts = [i / buckets for i in range(1, buckets)]
-    stats = v.groupBy(*keys).agg(
-        F.sum("__c").alias("__n"),
-        F.percentile_approx("__v", F.array(*[F.lit(c) for c in cuts]), accuracy).alias("__cuts"))
-    stats = written(stats, "value-cuts")
-    b = v.join(stats.select(*keys, "__cuts"), keys).withColumn(
-        "__b", F.size(F.filter("__cuts", lambda c: c < F.col("__v")))).drop("__cuts")
-    counts = b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__cnt"))
-    wo = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = written(counts, "value-buckets").withColumn("__off", F.coalesce(F.sum("__cnt").over(wo), F.lit(0)))
-    # group -> sorted bucket offsets (at most `buckets` entries)
-    offs = counts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("__off", "__b"))).alias("__offs"))
-    need = stats.select(*keys, "__n").join(offs, keys).select(
-        *keys, "__offs",
-        F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("__pi", "__p"), "__n")
-    need = need.withColumn("__h", (F.col("__n") - 1) * F.col("__p"))
-    need = need.withColumn("__r", F.explode(F.array_distinct(F.array(F.floor("__h"), F.ceil("__h")))))
-    at = F.element_at(F.filter("__offs", lambda s: s["__off"] <= F.col("__r")), -1)
-    need = need.select(*keys, "__pi", "__h", at["__b"].alias("__b"), (F.col("__r") - at["__off"]).alias("__in"))
-    wanted = need.select(*keys, "__b").distinct()
-    upto = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = b.join(wanted, [*keys, "__b"], "left_semi").withColumn("__upto", F.sum("__c").over(upto))
-    # the rank inside the bucket lies among the equal values of one row
-    picked = need.join(rows, [*keys, "__b"]).where(
-        (F.col("__in") < F.col("__upto")) & (F.col("__in") >= F.col("__upto") - F.col("__c")))
-    per_p = picked.groupBy(*keys, "__pi", "__h").agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-    frac = F.col("__h") - F.floor("__h")
-    per_p = per_p.withColumn("__q", F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac)
-    return per_p.groupBy(*keys).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("__pi", "__q"))), lambda s: s["__q"]).alias(out))
+    b = values.withColumn("__c", F.col("__c") if count is None else count).where("__c > 0")
+    b = b.select(*keys, "__v", "__c", value_bucket(F.col("__v"), per_e).alias("__b"))
+    w = Window.partitionBy(*keys)
+    upto = w.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = b.groupBy(*keys, "__b").agg(F.sum("__c").alias("__cnt")).select(
+        *keys, "__b", (F.sum("__cnt").over(upto) - F.col("__cnt")).alias("__off"),
+        F.sum("__cnt").over(upto).alias("__end"), F.sum("__cnt").over(w).alias("__n"))
+    h = [(F.col("__n") - 1) * F.lit(float(p)) for p in probs]
+    ranks = F.array_distinct(F.array(*[F.struct(F.lit(i).alias("i"), (x - F.floor(x)).alias("frac"), r(x).alias("r"))
+                                       for i, x in enumerate(h) for r in (F.floor, F.ceil)]))
+    need = hist.select(*keys, "__b", "__off", F.filter(
+        ranks, lambda s: (s["r"] >= F.col("__off")) & (s["r"] < F.col("__end"))).alias("__need")).where(F.size("__need") > 0)
+    inside = Window.partitionBy(*keys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = b.join(need, [*keys, "__b"]).withColumn("__upto", F.col("__off") + F.sum("__c").over(inside))
+    # a rank lies among the equal values of one row
+    hits = F.filter("__need", lambda s: (s["r"] < F.col("__upto")) & (s["r"] >= F.col("__upto") - F.col("__c")))
+    hits = rows.select(*keys, "__v", F.explode(hits).alias("__s"))
+    at = hits.groupBy(*keys).agg(F.collect_list(F.struct("__s.i", "__s.frac", F.col("__v").alias("v"))).alias("__at"))
+    own = F.transform(F.array(*[F.lit(i) for i in range(len(probs))]), lambda i: F.filter("__at", lambda s: s["i"] == i))
+
+    def between(a: Column) -> Column:
+        lo, hi = F.array_min(F.transform(a, lambda s: s["v"])), F.array_max(F.transform(a, lambda s: s["v"]))
+        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * a[0]["frac"])
+
+    return at.select(*keys, F.transform(own, between).alias(out))
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], out: str = "q",
+                      per_e: int = 65536) -> DataFrame:
+    """(keys..., out): exact percentiles per group with linear interpolation; NULLs and rows with a NULL key are left out."""
+    return percentiles_of_counts(counted_values(df, keys, value), keys, probs, out=out, per_e=per_e)

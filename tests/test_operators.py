@@ -159,19 +159,53 @@ def test_bronze_idempotent_overwrite(spark, tmp_path):
     assert list_partitions(spark, root).count() == 2
 
 
-def test_exact_percentiles_match_numpy(spark):
+@pytest.mark.parametrize("per_e", [2, 65536])
+def test_exact_percentiles_match_numpy(spark, per_e):
     from harvestframe.operators.stats import exact_percentiles
     rng = np.random.default_rng(0)
     pdf = pd.concat([pd.DataFrame({"g": "a", "v": rng.normal(0, 1, 5000)}),
                      pd.DataFrame({"g": "b", "v": rng.integers(0, 5, 999).astype(float)}),
                      pd.DataFrame({"g": "flag", "v": (rng.random(20_000) < 0.3).astype(float)}),
+                     pd.DataFrame({"g": "wide", "v": rng.normal(0, 1, 500) * 10.0 ** rng.integers(-300, 300, 500)}),
+                     pd.DataFrame({"g": "narrow", "v": 1.7e9 + rng.random(3000) * 1e-3}),
+                     pd.DataFrame({"g": "signs", "v": rng.integers(-6, 7, 2001) * 1000.0}),
+                     pd.DataFrame({"g": "zeros", "v": [0.0, -0.0, 5e-324, -5e-324, 0.0, 1.0]}),
                      pd.DataFrame({"g": "c", "v": [3.0]}), pd.DataFrame({"g": "d", "v": [1.0, 2.0]})])
     probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r.g: r.q for r in exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", probs, buckets=16).collect()}
+    got = {r.g: r.q for r in exact_percentiles(spark.createDataFrame(pdf), ["g"], "v", probs, per_e=per_e).collect()}
     for g, sub in pdf.groupby("g"):
         np.testing.assert_allclose(got[g], np.percentile(sub.v.values, [p * 100 for p in probs]), rtol=1e-12, atol=1e-12)
 
 
+def test_exact_percentiles_of_infinities_nulls_and_no_rows(spark):
+    from harvestframe.operators.stats import exact_percentiles
+    inf, schema = float("inf"), "g string, v double"
+    rows = [("a", -inf), ("a", 1.0), ("a", inf), ("a", None), (None, 4.0), ("b", None)]
+    got = exact_percentiles(spark.createDataFrame(rows, schema), ["g"], "v", [0.0, 0.5, 1.0]).collect()
+    assert [(r.g, r.q) for r in got] == [("a", [-inf, 1.0, inf])]
+    assert exact_percentiles(spark.createDataFrame([], schema), ["g"], "v", [0.5]).collect() == []
+
+
+def test_percentiles_and_psi_start_no_job_while_planned(spark):
+    from harvestframe.operators.quality import psi_long
+    from harvestframe.operators.stats import exact_percentiles
+    rows = [("s", dt.date(2024, 1, 1) + dt.timedelta(i), float(i % 37)) for i in range(200)]
+    df = spark.createDataFrame(rows, "symbol string, date date, v double")
+    spark.sparkContext.setJobGroup("planning", "no job")
+    try:
+        psi = psi_long(df, ["v"])
+        exact_percentiles(df, ["symbol"], "v", [0.5])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    r = psi.collect()[0]
+    ref, cur = np.arange(100) % 37, np.arange(100, 200) % 37
+    edges = np.unique(np.percentile(ref, np.linspace(0, 100, 11)))
+    a, b = (np.histogram(x, edges)[0] / 100 for x in (ref, cur))
+    a, b = np.where(a == 0, 1e-6, a), np.where(b == 0, 1e-6, b)
+    assert abs(r.psi - ((b - a) * np.log(b / a)).sum()) < 1e-9 and (r.n_ref, r.n_cur) == (100, 100)
+
+
 @pytest.mark.parametrize("keep,expected", [("first", 1.0), ("last", 3.0)])
 def test_dedupe_keeps_by_ingest_order(spark, keep, expected):
     from harvestframe.operators.reshape import dedupe_keep
