@@ -10,7 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 
 from harvestframe.config import Config
 from harvestframe.plans.importance import model_scorer, permutation_importance
-from harvestframe.plans.mlprep import chrono_split, fold_bounds, fold_summary, regression_metrics, renumber, robust_apply, robust_stats
+from harvestframe.plans.mlprep import chrono_split, fold_summary, regression_metrics, renumber, robust_apply, robust_stats, walk_forward
+from harvestframe.session import written
 from harvestframe.sources.bronze import write_csv, write_table
 
 # Share of the training rows, the last of each series, that decides when boosting stops.
@@ -77,22 +80,48 @@ def train_model(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Conf
     return Trained(model, stats, rows, tuple(feature_cols))
 
 
-def cross_validate(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config()) -> DataFrame:
-    """M3, M4, A10: one fit per walk-forward fold, each with a scaler of its own training rows.
+def fold_rows(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config(),
+              keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """All walk-forward folds as one table keyed by fold: (keys..., date, fold, role, train_end, target, features).
+
+    Each fold's features are scaled by its own training rows; one pass fits the scalers of all folds.
+    The table is written once, so that every fit reads just its fold.
+    """
+    keys = list(keys)
+    train = chrono_split(gold, feature_cols, cfg, keys).where(F.col("role") == "train").drop("pos", "n", "role")
+    rows = walk_forward(renumber(train, keys), cfg, keys)
+    stats = robust_stats(rows.where(F.col("role") == "train"), feature_cols, ["fold", *keys])
+    rows = robust_apply(rows, stats, feature_cols, ["fold", *keys])
+    train_end = F.floor(F.col("n") / F.lit(cfg.model.n_cv_splits + 1)) * F.col("fold")
+    return written(rows.select(*keys, "date", "fold", "role", "pos", train_end.alias("train_end"), "target", *feature_cols), "fold-rows")
+
+
+def fold_predictions(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config(),
+                     side_by_side: int = 5, keys: Sequence[str] = ("symbol",)) -> DataFrame:
+    """(keys..., date, fold, target, prediction): every validation row scored by the model of its fold.
 
-    Returns (metric, mean, std) over the folds' validation metrics.  Folds are a handful of jobs in turn.
+    Up to ``side_by_side`` folds are fitted at once: their jobs share the executors, so a fold's short
+    tree levels do not leave them idle.  A fold without training or validation rows is left out.
     """
-    train = chrono_split(gold, feature_cols, cfg).where(F.col("role") == "train").drop("pos", "n", "role")
-    rows = renumber(train).withColumn("__f", F.explode(fold_bounds(F.col("n"), cfg.model.n_cv_splits, cfg.model.gap_days)))
-    scored = []
-    for k in range(1, cfg.model.n_cv_splits + 1):
-        fold = rows.where(F.col("__f.fold") == k)
-        own = fold.where(F.col("pos") < F.col("__f.train_end"))
-        stats = robust_stats(own, feature_cols)
-        model = fit(robust_apply(own, stats, feature_cols), feature_cols, F.col("__f.train_end"), cfg)
-        val = robust_apply(fold.where((F.col("pos") >= F.col("__f.val_start")) & (F.col("pos") < F.col("__f.val_end"))), stats, feature_cols)
-        scored.append(model.transform(assemble(val, feature_cols)).select(F.lit(k).alias("fold"), "target", "prediction"))
-    return fold_summary(regression_metrics(reduce(DataFrame.unionByName, scored), ["fold"]), keys=())
+    rows = fold_rows(gold, feature_cols, cfg, keys)
+    have = rows.groupBy("fold").agg(F.count_if(F.col("role") == "train").alias("t"), F.count_if(F.col("role") == "val").alias("v"))
+    folds = sorted(r["fold"] for r in have.where("t > 0 and v > 0").collect())  # at most n_cv_splits
+
+    def scored(k: int) -> DataFrame:
+        fold = rows.where(F.col("fold") == k)
+        model = fit(fold.where(F.col("role") == "train"), feature_cols, F.col("train_end"), cfg)
+        val = model.transform(assemble(fold.where(F.col("role") == "val"), feature_cols))
+        return val.select(*keys, "date", "fold", "target", "prediction")
+
+    if not folds:
+        return rows.select(*keys, "date", "fold", "target", F.lit(0.0).alias("prediction")).limit(0)
+    with ThreadPool(min(side_by_side, len(folds))) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(rows.sparkSession)(scored), folds))
+
+
+def cross_validate(gold: DataFrame, feature_cols: Sequence[str], cfg: Config = Config()) -> DataFrame:
+    """A10: (metric, mean, std) over the folds' validation metrics, each fold scored by its own model."""
+    return fold_summary(regression_metrics(fold_predictions(gold, feature_cols, cfg), ["fold"]), keys=())
 
 
 def tree_importance(model, feature_cols: Sequence[str], spark) -> DataFrame:

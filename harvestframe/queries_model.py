@@ -21,7 +21,7 @@ from harvestframe.plans.scoring import SNAPSHOT_FEATURES, direction, latest_feat
 from harvestframe.queries_core import gold, gold_table, silver
 from harvestframe.queries_quality import QSQL, report
 from harvestframe.registry import CFG, kinds_for, register
-from harvestframe.session import scratch_path
+from harvestframe.session import scratch_path, written
 
 GOLD = S.gold_sql()
 MF = market_features(CFG)
@@ -200,6 +200,31 @@ def m5_gbt_train(spark, sf):
     return trained_model(spark, sf)[0].holdout()
 
 
+_FOLDS: dict = {}
+
+
+def scored_folds(spark, sf):
+    """The validation rows scored by their fold's model, fitted once per content of the training data."""
+    from harvestframe.plans.train import fold_predictions
+    g = gold_table(spark, sf)
+    key = (spark.sparkContext.applicationId, *dataset_digest(g).first())
+    if key not in _FOLDS:
+        _FOLDS[key] = written(fold_predictions(g, MF, CFG), "fold-predictions")
+    return _FOLDS[key]
+
+
+@register("m4_fold_models")
+def m4_fold_models(spark, sf):
+    """M4: mae, rmse, r2, directional accuracy, corr per series and fold, scored by the model of each fold."""
+    return M.regression_metrics(scored_folds(spark, sf), ["symbol", "fold"])
+
+
+@register("a10_fold_models")
+def a10_fold_models(spark, sf):
+    """A10: mean and sample std over the folds of each metric of the fold models."""
+    return M.fold_summary(M.regression_metrics(scored_folds(spark, sf), ["fold"]), keys=())
+
+
 @register("m6_feature_importance")
 def m6_feature_importance(spark, sf):
     """M6: feature importances of the trained model, written as CSV and read back, ranked."""
