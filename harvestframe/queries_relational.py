@@ -12,7 +12,7 @@ from harvestframe.operators import windows as Wn
 from harvestframe.operators.asof import asof_date_map
 from harvestframe.operators.chunking import POS, with_positions
 from harvestframe.operators.ema import EmaSpec, alpha_from_com, alpha_from_span, ema_over_gaps, ema_over_gaps_by_blocks, with_ema
-from harvestframe.operators.reshape import dedupe_keep, pivot_first_non_null
+from harvestframe.operators.reshape import dedupe_keep, union_all, pivot_first_non_null
 from harvestframe.operators.stats import bin_index, corr, decile_probs, exact_percentiles, null_rates
 from harvestframe.plans.gold import feature_columns, feature_names
 from harvestframe.plans.silver import WEATHER_COLS, build_silver, clean_futures, clean_weather, correlated_closes
@@ -555,6 +555,16 @@ def t4_dedupe(spark, sf):
     return dedupe_keep(both, ["symbol", "date"], ["ingest_date"], "first").select("symbol", "date", "close", "ingest_date")
 
 
+@register("t5_union_by_name", S.views_sql(),
+          "SELECT symbol, date, close, NULL AS datatype, CAST(NULL AS DOUBLE) AS value FROM bars UNION ALL "
+          "SELECT region, CAST(date AS DATE), NULL, datatype, value FROM weather_long",
+          kinds_for(["symbol", "date", "close", "datatype", "value"], dates=("date",), strs={"symbol", "datatype"}))
+def t5_union_by_name(spark, sf):
+    """T5: bars and weather cells stacked by column name; what a side lacks is NULL, repeated rows stay."""
+    w = T.weather_long(spark, sf).select("datatype", "value", F.to_date("date").alias("date"), F.col("region").alias("symbol"))
+    return union_all([T.bars(spark, sf).select("symbol", "date", "close"), w])
+
+
 @register("t5_union", S.views_sql(), "SELECT * FROM weather_long",
           kinds_for(["date", "region", "datatype", "value"], dates=(), strs={"date", "region", "datatype"}))
 def t5_union(spark, sf):
